@@ -1,0 +1,41 @@
+"""Size checks that decide between physical strategies."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 200_000
+SMALL_BYTES = 64 * 1024 * 1024
+VALUE_OVERHEAD = 16
+
+
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
+    """Whether the rows provably fit the given bounds.
+
+    Looks at no more than ``max_rows + 1`` rows, so asking about a large
+    table is cheap; text is measured, not estimated.
+    """
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + VALUE_OVERHEAD
+         for c in df.columns),
+        F.lit(0).cast("bigint"),
+    )
+    rows, size = (
+        df.limit(max_rows + 1)
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))
+        .first()
+    )
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, **bounds: int) -> DataFrame:
+    return F.broadcast(df) if is_small(df, **bounds) else df
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the most frequent key; counted with map-side combining."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
