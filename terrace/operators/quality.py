@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.convert import to_bigint
-from terrace.functions.text import has_outer_blanks, text_length
+from terrace.functions.text import has_outer_blanks, is_present, text_length
 from terrace.operators.history import SPLIT_ABOVE, next_in_key
 from terrace.operators.joins import unconnected as unconnected_rows
 
@@ -27,15 +29,18 @@ EARLIEST_BIRTH = date(1924, 1, 1)
 
 @dataclass(frozen=True)
 class Rule:
-    """Either ``broken``, a test of one row, or ``find``, a query for violations."""
+    """Either ``broken``, which makes a test of one row, or ``find``, a query.
+
+    Both are called when the rule runs, so rules can be listed beforehand.
+    """
 
     name: str
-    broken: Column | None = None
+    broken: Callable[[], Column] | None = None
     find: Callable[[DataFrame], DataFrame] | None = None
     severity: str = FAIL
 
     def violations(self, df: DataFrame) -> DataFrame:
-        return df.filter(self.broken) if self.find is None else self.find(df)
+        return df.filter(self.broken()) if self.find is None else self.find(df)
 
 
 def duplicates(df: DataFrame, columns: Sequence[str], name: str = "duplicate_count") -> DataFrame:
@@ -58,7 +63,7 @@ def domain(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def not_null(c: str) -> Rule:
-    return Rule(f"not_null_{c}", F.col(c).isNull())
+    return Rule(f"not_null_{c}", lambda: F.col(c).isNull())
 
 
 def unique(c: str) -> Rule:
@@ -71,13 +76,11 @@ def unique_together(*columns: str) -> Rule:
 
 def unique_where_present(*columns: str) -> Rule:
     """Natural key: unique among rows where every part is present."""
-    present = F.lit(True)
-    for c in columns:
-        present &= F.col(c).isNotNull()
-    return Rule(
-        f"natural_key_{'_'.join(columns)}",
-        find=lambda df: duplicates(df.filter(present), columns),
-    )
+
+    def find(df: DataFrame) -> DataFrame:
+        return duplicates(df.dropna(how="any", subset=list(columns)), columns)
+
+    return Rule(f"natural_key_{'_'.join(columns)}", find=find)
 
 
 def primary_key(*columns: str) -> Rule:
@@ -102,35 +105,40 @@ def related(c: str, parent: DataFrame, key: str, severity: str = FAIL) -> Rule:
     return Rule(f"related_{c}", find=find, severity=severity)
 
 
+def _any(tests: Sequence[Column]) -> Column:
+    """True when some test is; a test that is NULL does not count."""
+    return reduce(or_, [F.coalesce(t, F.lit(False)) for t in tests], F.lit(False))
+
+
 def no_outer_blanks(*columns: str) -> Rule:
-    test = F.lit(False)
-    for c in columns:
-        test |= F.coalesce(has_outer_blanks(F.col(c)), F.lit(False))
-    return Rule(f"no_outer_blanks_{'_'.join(columns)}", test)
+    return Rule(
+        f"no_outer_blanks_{'_'.join(columns)}",
+        lambda: _any([has_outer_blanks(F.col(c)) for c in columns]),
+    )
 
 
 def not_negative(c: str) -> Rule:
-    return Rule(f"not_negative_{c}", F.col(c).isNull() | (F.col(c) < 0))
+    return Rule(f"not_negative_{c}", lambda: F.col(c).isNull() | (F.col(c) < 0))
 
 
 def ends_after_start(start: str, end: str) -> Rule:
-    return Rule(f"ends_after_start_{end}", F.col(end) < F.col(start))
+    return Rule(f"ends_after_start_{end}", lambda: F.col(end) < F.col(start))
 
 
 def valid_compact_date(c: str) -> Rule:
     """Raw yyyymmdd, text or integer; a missing value is no violation."""
-    low, high = COMPACT_RANGE
-    number = to_bigint(F.col(c))
-    unreadable = F.col(c).isNotNull() & number.isNull()
-    test = (number <= 0) | (text_length(number) != 8) | (number > high) | (number < low)
-    return Rule(f"valid_date_{c}", unreadable | F.coalesce(test, F.lit(False)))
+
+    def broken() -> Column:
+        low, high = COMPACT_RANGE
+        number = to_bigint(F.col(c))
+        unreadable = F.col(c).isNotNull() & number.isNull()
+        return _any([unreadable, number <= 0, text_length(number) != 8, number > high, number < low])
+
+    return Rule(f"valid_date_{c}", broken)
 
 
 def in_date_order(first: str, *later: str) -> Rule:
-    test = F.lit(False)
-    for c in later:
-        test |= F.coalesce(F.col(first) > F.col(c), F.lit(False))
-    return Rule(f"date_order_{first}", test)
+    return Rule(f"date_order_{first}", lambda: _any([F.col(first) > F.col(c) for c in later]))
 
 
 def broken_measures(sales: str, quantity: str, price: str) -> Column:
@@ -150,18 +158,24 @@ def consistent_measures(sales: str, quantity: str, price: str) -> Rule:
 
 
 def date_in_range(c: str, latest: Column, earliest: date = EARLIEST_BIRTH) -> Rule:
-    test = (F.col(c) < F.lit(earliest)) | (F.col(c) > latest)
-    return Rule(f"in_range_{c}", find=lambda df: df.filter(test).select(c).distinct(), severity=WARN)
+
+    def find(df: DataFrame) -> DataFrame:
+        return df.filter((F.col(c) < F.lit(earliest)) | (F.col(c) > latest)).select(c).distinct()
+
+    return Rule(f"in_range_{c}", find=find, severity=WARN)
 
 
 def accepted_values(c: str, values: Sequence[str]) -> Rule:
-    return Rule(f"accepted_{c}", F.col(c).isNotNull() & ~F.col(c).isin(*values))
+    return Rule(f"accepted_{c}", lambda: ~F.col(c).isin(*values))
 
 
-def converts(raw: str, converted: Column) -> Rule:
-    """A raw value that is present but does not convert."""
-    present = F.coalesce(F.trim(F.col(raw).cast("string")) != "", F.lit(False))
-    return Rule(f"converts_{raw}", present & converted.isNull(), severity=WARN)
+def converts(raw: str, conversion: Callable[[Column], Column]) -> Rule:
+    """A raw value that is present must convert."""
+    return Rule(
+        f"converts_{raw}",
+        lambda: is_present(F.col(raw)) & conversion(F.col(raw)).isNull(),
+        severity=WARN,
+    )
 
 
 def connected(dimensions: Sequence[tuple[str, DataFrame, str]], severity: str = WARN) -> Rule:
@@ -188,7 +202,7 @@ def summarized(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     row_rules = [r for r in rules if r.find is None]
     if row_rules:
         counts = df.agg(
-            *[F.count_if(r.broken).alias(f"_r{i}") for i, r in enumerate(row_rules)]
+            *[F.count_if(r.broken()).alias(f"_r{i}") for i, r in enumerate(row_rules)]
         )
         entries = F.array(
             *[

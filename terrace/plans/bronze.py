@@ -46,10 +46,10 @@ def one_row_per_key(staged: DataFrame, source: Source, blank_keys: str = "reject
 
 
 def stage(
-    layers: Layers, source: Source, path: str, batch_id: str, loaded_at: datetime, blank_keys: str = "reject"
+    layers: Layers, source: Source, path: str, batch_id: str, loaded_at: datetime, keep_blank: bool = True
 ) -> str:
     """Scan the files into a fresh staging version and return its path."""
-    scan = scan_by_name(layers.spark, path, source.columns, keep_blank=blank_keys == "keep")
+    scan = scan_by_name(layers.spark, path, source.columns, keep_blank=keep_blank)
     return layers.write("staging", source.name, with_lineage(scan, source.columns, batch_id, loaded_at))
 
 
@@ -62,13 +62,15 @@ def load_source(
     blank_keys: str = "reject",
     prefer: str = "last_row",
     lineage: bool = True,
+    keep_blank: bool = True,
 ) -> tuple[LoadCounts, DataFrame]:
     """Upsert the delivered files into bronze and publish the new version.
 
     Returns the counts and the audit rows of the files. Without ``lineage``
-    the metadata columns stay NULL, which needs the relaxed schema.
+    the metadata columns stay NULL, which needs the relaxed schema. Empty
+    fields are empty text, or NULL without ``keep_blank``.
     """
-    staged_path = stage(layers, source, path, batch_id, loaded_at, blank_keys)
+    staged_path = stage(layers, source, path, batch_id, loaded_at, keep_blank)
     staged = with_row_numbers(layers.read_path(staged_path))
     schema = relaxed(raw_schema(source))
     picked = one_row_per_key(staged, source, blank_keys, prefer)

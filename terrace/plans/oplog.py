@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from decimal import Decimal
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,9 +44,13 @@ class RunLog:
         self.append(table, self.spark.createDataFrame(row, relaxed(schema)).coalesce(1))
 
     def read(self, table: str) -> DataFrame:
-        """All rows of a log table; an empty log has the right columns too."""
-        self.append(table, empty(self.spark, OPS[table]))
-        return self.spark.read.schema(relaxed(OPS[table])).parquet(f"{self.root}/{table}")
+        """All rows of a log table; one nobody has written to yet is empty."""
+        try:
+            return self.spark.read.schema(relaxed(OPS[table])).parquet(f"{self.root}/{table}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty(self.spark, OPS[table])
 
     # -- runs -------------------------------------------------------------
     def start_job(self, name: str) -> str:

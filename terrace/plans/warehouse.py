@@ -63,6 +63,7 @@ class Warehouse:
                 loaded, audit = load_source(
                     self.layers, source, paths[source.name], batch, self.clock(),
                     self.blank_keys, self.prefer,
+                    keep_blank=not self.preset.typed_delivery,
                 )
                 self.log.record_files(job, audit)
             except Exception as error:

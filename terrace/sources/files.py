@@ -135,5 +135,14 @@ def file_facts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with header and CRLF line ends, one file per partition."""
-    df.write.options(header=True, lineSep="\r\n", emptyValue="").csv(path)
+    """CSV with header and CRLF line ends, one file per partition.
+
+    The writer would strip blanks by default; values are written unchanged.
+    """
+    df.write.options(
+        header=True,
+        lineSep="\r\n",
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)

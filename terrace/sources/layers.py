@@ -26,9 +26,19 @@ class Layers:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: tuple[int, dict[str, str]] | None = None
 
     # -- manifest ---------------------------------------------------------
+    def refresh(self) -> None:
+        """Look at the manifest again; needed when another session published."""
+        self._known = None
+
     def _state(self) -> tuple[int, dict[str, str]]:
+        if self._known is None:
+            self._known = self._last_line()
+        return self._known
+
+    def _last_line(self) -> tuple[int, dict[str, str]]:
         """Sequence and paths in force; one small row reaches the driver."""
         try:
             log = self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest")
@@ -42,10 +52,12 @@ class Layers:
     def publish(self, paths: Mapping[tuple[str, str], str], at: datetime) -> int:
         """Switch the given tables to their new versions, all at once."""
         sequence, tables = self._state()
+        tables = dict(tables)
         tables.update({f"{layer}.{table}": path for (layer, table), path in paths.items()})
         row = [(sequence + 1, at, tables)]
         line = self.spark.createDataFrame(row, _MANIFEST).coalesce(1)
         line.write.mode("append").json(f"{self.root}/_manifest")
+        self._known = (sequence + 1, tables)
         return sequence + 1
 
     # -- tables -----------------------------------------------------------
