@@ -17,9 +17,9 @@ from terrace.operators.dedup import (
     with_keys_present,
 )
 from terrace.operators.upsert import upsert
-from terrace.schemas import LINEAGE_COLUMNS, Source, raw_schema
+from terrace.schemas import LINEAGE_COLUMNS, Source, raw_schema, typed_schema
 from terrace.session import written
-from terrace.sources.files import file_facts, scan_by_name, with_lineage, with_row_numbers
+from terrace.sources.files import file_facts, scan_by_name, scan_typed, with_lineage, with_row_numbers
 from terrace.sources.layers import Layers
 
 
@@ -92,8 +92,25 @@ def load_source(
     return counts, audited_files(layers, source, path, staged, loaded_at)
 
 
-def audited_files(layers: Layers, source: Source, path: str, staged: DataFrame, loaded_at: datetime) -> DataFrame:
-    rows = staged.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
+def replace_source(
+    layers: Layers, source: Source, path: str, loaded_at: datetime, tolerate: bool = False
+) -> tuple[LoadCounts, DataFrame]:
+    """Load the delivered files typed, replacing the bronze table.
+
+    A value of the wrong type fails the load, or is NULL when tolerated.
+    """
+    rows = scan_typed(layers.spark, path, typed_schema(source), tolerate=tolerate)
+    kept = rows.select(*source.columns, F.col("_metadata.file_path").alias("source_file"))
+    bronze_path = layers.write("bronze", source.name, kept)
+    layers.publish({("bronze", source.name): bronze_path}, loaded_at)
+    loaded = layers.read_path(bronze_path)
+    n = loaded.count()
+    return LoadCounts(n, n, 0, 0), audited_files(layers, source, path, loaded, loaded_at)
+
+
+def audited_files(layers: Layers, source: Source, path: str, loaded: DataFrame, loaded_at: datetime) -> DataFrame:
+    """Facts and row count of each delivered file, also of empty ones."""
+    rows = loaded.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
     return (
         file_facts(layers.spark, path)
         .join(rows, "source_file", "left")

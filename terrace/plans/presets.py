@@ -29,6 +29,7 @@ class Preset:
     countries: Mapping[str, str] = field(default_factory=lambda: dict(COUNTRY_DENMARK))
     blank_country: str | None = None  # None: the blank passes through
     typed_delivery: bool = False  # keys as delivered, whole amounts, no key filter
+    typed_bronze: bool = False  # bronze holds typed rows and is replaced by each load
     latest_customer: bool = False
     end_mode: str = "repair"
     repair_amounts: bool = False
@@ -51,6 +52,7 @@ CURRENT = Preset(
     countries=dict(COUNTRY_GERMANY),
     blank_country="n/a",
     typed_delivery=True,
+    typed_bronze=True,
     latest_customer=True,
     end_mode="recompute",
     repair_amounts=True,

@@ -14,7 +14,7 @@ from terrace.operators import quality as q
 from terrace.operators.conform import conformed, relaxed
 from terrace.operators.upsert import upsert
 from terrace.plans import gold, rules, silver
-from terrace.plans.bronze import LoadCounts, load_source
+from terrace.plans.bronze import LoadCounts, load_source, replace_source
 from terrace.plans.oplog import RunLog, utc_now
 from terrace.plans.presets import INCREMENTAL, Preset
 from terrace.schemas import GOLD, LAYERS, SILVER, SOURCES, Source, raw_schema
@@ -41,6 +41,7 @@ class Warehouse:
     as_of: date | None = None
     blank_keys: str = "reject"
     prefer: str = "last_row"
+    tolerate_malformed: bool = False
     clock: Callable[[], datetime] = utc_now
 
     def __post_init__(self) -> None:
@@ -49,7 +50,9 @@ class Warehouse:
 
     # -- steps ------------------------------------------------------------
     def set_up(self) -> None:
-        """Create the bronze tables that do not exist yet."""
+        """Create the bronze tables that do not exist yet and are not replaced anyway."""
+        if self.preset.typed_bronze:
+            return
         wanted = {("bronze", s.name): raw_schema(s) for s in SOURCES}
         self.layers.create_if_absent(wanted, self.clock())
 
@@ -60,11 +63,7 @@ class Warehouse:
         for source in sources:
             task = self.log.start_task(job, f"bronze.{source.name}")
             try:
-                loaded, audit = load_source(
-                    self.layers, source, paths[source.name], batch, self.clock(),
-                    self.blank_keys, self.prefer,
-                    keep_blank=not self.preset.typed_delivery,
-                )
+                loaded, audit = self._load(source, paths[source.name], batch)
                 self.log.record_files(job, audit)
             except Exception as error:
                 self._failed(job, f"bronze.{source.name}", error, task)
@@ -106,6 +105,14 @@ class Warehouse:
         self.publish_counts()
 
     # -- inside a step ----------------------------------------------------
+    def _load(self, source: Source, path: str, batch: str) -> tuple[LoadCounts, DataFrame]:
+        if self.preset.typed_bronze:
+            return replace_source(self.layers, source, path, self.clock(), self.tolerate_malformed)
+        return load_source(
+            self.layers, source, path, batch, self.clock(), self.blank_keys, self.prefer,
+            keep_blank=not self.preset.typed_delivery,
+        )
+
     def _step(self, name: str, work: Callable[[str], None]) -> None:
         job = self.log.start_job(name)
         try:

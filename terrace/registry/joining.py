@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from terrace.operators import history, joins, upsert
 from terrace.operators.sizing import broadcast_if_small
 from terrace.registry.inputs import portable, table
+from terrace.session import written
 
 # Product versions: a start in every year a part was shipped, end the day
 # before the next start, the last one open.
@@ -18,7 +19,8 @@ versions AS (SELECT part, start_day,
 
 def _starts(spark, sf_dir):
     day = F.to_date(F.date_trunc("year", "l_shipdate")).alias("start_day")
-    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part"), day).distinct()
+    starts = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part"), day).distinct()
+    return written(starts, "starts")  # read several times: group sizes, then the query
 
 
 def versions(spark, sf_dir, split_above=history.SPLIT_ABOVE):

@@ -72,7 +72,7 @@ def _published(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
     paths = {("gold", "fact"): layers.write("gold", "fact", orders), ("gold", "dim"): layers.write("gold", "dim", customers)}
     layers.publish(paths, _AT)
-    layers.write("gold", "fact", orders.limit(0))
+    layers.write("gold", "fact", orders.filter("false"))
     return layers.read("gold", "fact").withColumn("part", F.lit("fact")).unionByName(
         layers.read("gold", "dim").withColumn("part", F.lit("dim"))
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from terrace.functions.text import row_digest
+from terrace.operators.sizing import broadcast_if_small
 
 MALFORMED = "_malformed_line"
 
@@ -105,14 +106,15 @@ def with_lineage(scan: DataFrame, columns: Sequence[str], batch_id: str, loaded_
 def with_row_numbers(staged: DataFrame, name: str = "source_row_number") -> DataFrame:
     """Replace the scan position by the row number within each file, from 1.
 
-    ``staged`` must be written first: positions belong to one scan. There is
-    one row per split in the table of offsets.
+    ``staged`` must be written first: positions belong to one scan. The table
+    of offsets has one row per split and is broadcast after its size is checked.
     """
     splits = staged.groupBy("source_file", "_block").agg(
         F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     earlier = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    offsets = broadcast_if_small(offsets)
     number = F.col("_before") + F.col("_at") - F.col("_first") + 1
     return (
         staged.join(offsets, ["source_file", "_block"])
