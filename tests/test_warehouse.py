@@ -1,14 +1,17 @@
-"""The whole run on delivered files: fresh, repeated, failing."""
+"""The whole run on delivered files: fresh, repeated, failing, typed."""
 
 import datetime as dt
+import tempfile
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
-from conftest import at, rows
+from conftest import BIRTHS, SALES, at, deliver, rows
 from pyspark.sql import functions as F
 
 from terrace.plans import presets
 from terrace.plans.warehouse import CheckFailed, Warehouse
+from terrace.schemas import SOURCE_BY_NAME
 
 D = dt.date
 
@@ -26,54 +29,64 @@ def warehouse(spark, folder, **kw):
     return Warehouse(spark, folder + "/wh", as_of=D(2024, 3, 1), clock=Clock(), **kw)
 
 
-def test_fresh_run(spark, folder, delivered):
+@pytest.fixture(scope="module")
+def loaded(spark):
+    """One complete run, shared by the tests in file order."""
+    folder = tempfile.mkdtemp(prefix="terrace-case-")
     w = warehouse(spark, folder)
-    w.run(delivered)
-    read = w.layers.read
+    paths = deliver(folder)
+    w.run(paths)
+    return w, paths
+
 
-    bronze = read("bronze", "crm_cust_info")
+def test_bronze_keeps_last_row_of_each_key(loaded):
+    w, _ = loaded
+    bronze = w.layers.read("bronze", "crm_cust_info")
     assert rows(bronze, "cst_id", "source_row_number") == [
         (" 11 ", 1), ("12", 2), ("13", 7), ("14", 6), ("abc", 4)
     ]
-    tasks = {r.task_name: r for r in w.log.task_runs().collect()}
-    t = tasks["bronze.crm_cust_info"]
+    t = {r.task_name: r for r in w.log.task_runs().collect()}["bronze.crm_cust_info"]
     assert (t.task_status, t.rows_read, t.rows_inserted, t.rows_updated, t.rows_rejected) == ("Success", 7, 5, 0, 1)
     assert t.duration_sec > 0
 
-    silver = read("silver", "crm_cust_info")
+
+def test_silver_is_typed_and_decoded(loaded):
+    w, _ = loaded
+    silver = w.layers.read("silver", "crm_cust_info")
     assert rows(silver, "cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status",
                 "cst_gndr", "cst_create_date") == [
         (11, "AW1", "Ann", "Lee", "Single", "Female", D(2024, 1, 5)),
         (12, "AW2", "Bob", "Ng, Jr", "Married", "Male", None),
         (13, "AW3", "Cy", "Foxx", "Married", "UnKnown", D(2024, 1, 2)),
     ]
-    products = read("silver", "crm_prd_info")
+    products = w.layers.read("silver", "crm_prd_info")
     assert products.count() == 447
     assert products.filter("prd_end_dt is null").count() == 335
     assert products.filter("prd_end_dt < prd_start_dt").count() == 0
 
-    customers = read("gold", "dim_customers")
+
+def test_gold_star(loaded):
+    w, _ = loaded
+    customers, dim = w.layers.read("gold", "dim_customers"), w.layers.read("gold", "dim_products")
     assert rows(customers, "customer_key", "customer_id", "full_name", "country", "gender", "age", "age_group") == [
         (1, 11, "Ann Lee", "United States", "Female", 33, "30-39"),
         (2, 12, "Bob Ng, Jr", "Denmark", "Male", -975, "Under 20"),
         (3, 13, "Cy Foxx", "", "M", 24, "20-29"),
     ]
-    dim = read("gold", "dim_products")
-    assert dim.count() == 447
     assert dim.agg(F.min("product_key"), F.max("product_key"), F.countDistinct("product_key")).first() == (1, 447, 447)
     assert dim.filter("category_id is null").count() == 7
     assert dim.filter("category_id is null and maintenance_flag <> 'No'").count() == 0
-
-    fact = read("gold", "fact_sales").alias("f").join(
-        dim.select("product_key", "product_id").alias("p"), "product_key", "left"
-    )
-    got = rows(fact, "sales_key", "order_number", "product_id", "customer_key", "order_date", "sales_amount", "price")
-    assert got == [
+    fact = w.layers.read("gold", "fact_sales").join(dim.select("product_key", "product_id"), "product_key", "left")
+    assert rows(fact, "sales_key", "order_number", "product_id", "customer_key", "order_date", "sales_amount", "price") == [
         (1, "SO1", 210, 1, D(2012, 6, 15), Decimal("0.0000"), Decimal("5.0000")),
         (2, "SO1", 212, 1, D(2012, 6, 15), Decimal("20.0000"), Decimal("10.0000")),
         (3, "SO2", None, 2, None, Decimal("10.0000"), Decimal("-4.0000")),
         (4, "SO3", None, None, D(2005, 1, 1), Decimal("10.0000"), Decimal("10.0000")),
     ]
+
+
+def test_run_log(loaded):
+    w, _ = loaded
     counts = {(r.schema_name, r.table_name): r.row_count for r in w.log.read("table_row_counts").collect()}
     assert len(counts) == 15 and counts[("gold", "fact_sales")] == 4
     audit = {r.source_name: r for r in w.log.read("source_file_audit").collect()}
@@ -84,16 +97,13 @@ def test_fresh_run(spark, folder, delivered):
     checks = {(r.model_name, r.test_name): r for r in w.log.read("data_quality_results").collect()}
     assert checks[("silver.crm_cust_info", "primary_key_cst_id")].test_status == "Pass"
     assert checks[("gold.fact_sales", "connected_customer_key_product_key")].failed_row_count == 2
+    assert w.log.read("alerts").count() == 0
 
 
-def test_second_run_updates(spark, folder, delivered):
-    w = warehouse(spark, folder)
-    w.set_up()
-    first = w.load_bronze(delivered)
-    again = w.load_bronze(delivered)
-    assert (first["crm_sales_details"].inserted, first["crm_sales_details"].updated) == (4, 0)
-    assert (again["crm_sales_details"].inserted, again["crm_sales_details"].updated) == (0, 4)
-    w.load_silver()
+def test_repeated_load_updates(loaded):
+    w, paths = loaded
+    again = w.load_bronze(paths, [SOURCE_BY_NAME["crm_sales_details"]])["crm_sales_details"]
+    assert (again.inserted, again.updated) == (0, 4)
     before = {r.cst_id: r for r in w.layers.read("silver", "crm_cust_info").collect()}
     w.load_silver(rebuild=False)
     after = {r.cst_id: r for r in w.layers.read("silver", "crm_cust_info").collect()}
@@ -103,15 +113,15 @@ def test_second_run_updates(spark, folder, delivered):
         assert row.meta_updated_at > before[key].meta_updated_at
 
 
-def test_colliding_keys_stop_the_step(spark, folder, delivered):
-    w = warehouse(spark, folder)
-    w.run(delivered)
+def test_colliding_keys_stop_the_step(loaded):
+    w, paths = loaded
     kept = rows(w.layers.read("silver", "crm_cust_info"))
-    text = open(delivered["crm_cust_info"], encoding="utf-8-sig", newline="").read()
-    open(delivered["crm_cust_info"], "w", newline="").write(text + "11,AW1,Ann,Lee,S,F,2024-01-05\r\n")
-    w.load_bronze(delivered)
+    with open(paths["crm_cust_info"], "a", newline="") as f:
+        f.write("11,AW1,Ann,Lee,S,F,2024-01-05\r\n")
+    w.load_bronze(paths, [SOURCE_BY_NAME["crm_cust_info"]])
     with pytest.raises(CheckFailed):
         w.load_silver()
+    w.layers.refresh()
     assert rows(w.layers.read("silver", "crm_cust_info")) == kept
     failed = w.log.job_runs().filter("pl_status = 'Failed'").collect()
     assert len(failed) == 1 and "primary_key_cst_id" in failed[0].status_message
@@ -119,37 +129,59 @@ def test_colliding_keys_stop_the_step(spark, folder, delivered):
     assert alert.severity == "Critical" and alert.sent_at is None
 
 
-def test_missing_file_fails_the_task(spark, folder, delivered):
+def test_missing_file_fails_the_task(spark, folder):
     w = warehouse(spark, folder)
+    paths = {**deliver(folder), "erp_loc_a101": folder + "/absent.csv"}
     w.set_up()
-    delivered["crm_sales_details"] = folder + "/absent.csv"
     with pytest.raises(Exception):
-        w.load_bronze(delivered)
+        w.load_bronze(paths, [SOURCE_BY_NAME["erp_cust_az12"], SOURCE_BY_NAME["erp_loc_a101"]])
     states = rows(w.log.task_runs(), "task_name", "task_status")
-    assert states == [
-        ("bronze.crm_cust_info", "Success"), ("bronze.crm_prd_info", "Success"),
-        ("bronze.crm_sales_details", "Failed"),
-    ]
+    assert states == [("bronze.erp_cust_az12", "Success"), ("bronze.erp_loc_a101", "Failed")]
 
 
-def test_current_products_variant(spark, folder, delivered):
-    w = warehouse(spark, folder, preset=presets.CURRENT)
-    w.run(delivered)
+def test_typed_delivery_of_current_products(spark, folder):
+    customers = (
+        "cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date\r\n"
+        "11,AW1, Ann ,Lee , s,f ,2024-01-05\r\n11,AW1,Anna,Lee,M,F,2024-01-06\r\n"
+        "13,AW3,Cy,Foxx,M,,2024-01-02\r\n,AW4,No,Id,M,M,2024-01-02\r\n"
+    )
+    w = warehouse(spark, folder, preset=presets.CURRENT, tolerate_malformed=True)
+    w.run(deliver(folder, crm_cust_info=customers))
     read = w.layers.read
+    assert dict(read("bronze", "crm_sales_details").dtypes)["sls_order_dt"] == "int"
     assert read("gold", "dim_products").count() == 345
-    assert rows(read("gold", "dim_customers"), "customer_id", "country", "gender", "birthdate") == [
-        (11, "United States", "Female", D(1990, 5, 5)), (12, "Germany", "Male", None),
-        (13, "n/a", "Male", D(2000, 2, 29)), (14, None, "Female", None),
+    assert rows(read("gold", "dim_customers"), "customer_id", "first_name", "country", "gender", "birthdate") == [
+        (11, "Anna", "United States", "Female", D(1990, 5, 5)), (13, "Cy", "n/a", "Male", D(2000, 2, 29)),
     ]
-    fact = read("gold", "fact_sales")
-    assert rows(fact, "order_number", "sales_amount", "price") == [
-        ("SO1", 10, 5), ("SO1", 20, 10), ("SO2", 12, 3), ("SO3", 10, 10)
+    assert rows(read("gold", "fact_sales"), "order_number", "sales_amount", "price") == [
+        ("SO1", 10, 5), ("SO1", 20, 10), ("SO2", 12, 3), ("SO3", 10, 10), ("SO4", 1, 1),
     ]
 
 
-def test_blank_keys_kept_on_request(spark, folder, delivered):
-    w = warehouse(spark, folder, blank_keys="keep")
-    w.set_up()
-    counts = w.load_bronze(delivered)
-    assert counts["crm_cust_info"].rejected == 0
-    assert w.layers.read("bronze", "crm_cust_info").filter("cst_id = ''").count() == 1
+def test_malformed_typed_value_fails_the_load(spark, folder):
+    w = warehouse(spark, folder, preset=presets.CURRENT)
+    bad = SALES.replace("20120615", "soon", 1)
+    with pytest.raises(Exception):
+        w.load_bronze(deliver(folder, crm_sales_details=bad), [SOURCE_BY_NAME["crm_sales_details"]])
+    assert w.log.read("alerts").count() == 1
+
+
+def test_blank_keys_kept_on_request(spark, folder):
+    source = SOURCE_BY_NAME["erp_cust_az12"]
+    text = BIRTHS + ",1980-01-01,\r\nAW9,1981-01-01\r\n"
+    for blank_keys, rejected, kept in (("keep", 0, 5), ("reject", 1, 4)):
+        w = Warehouse(spark, f"{folder}/{blank_keys}", blank_keys=blank_keys, clock=Clock())
+        w.set_up()
+        counts = w.load_bronze(deliver(folder, erp_cust_az12=text), [source])["erp_cust_az12"]
+        assert (counts.read, counts.rejected, counts.inserted) == (5, rejected, kept)
+    bronze = w.layers.read("bronze", "erp_cust_az12")
+    assert rows(bronze.filter("CID = 'AW9'"), "BDATE", "GEN") == [("1981-01-01", None)]
+
+
+def test_country_map_can_be_replaced(spark):
+    from terrace.plans.silver import locations
+
+    german = replace(presets.INCREMENTAL, countries=presets.COUNTRY_GERMANY, blank_country="n/a")
+    raw = spark.createDataFrame([("AW-1", "DE"), ("AW-2", " "), ("AW-3", " USA ")], "CID string, CNTRY string")
+    assert rows(locations(raw, german)) == [("AW1", "Germany"), ("AW2", "n/a"), ("AW3", "United States")]
+    assert rows(locations(raw)) == [("AW1", "Denmark"), ("AW2", ""), ("AW3", "United States")]
