@@ -11,17 +11,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions.text import folded
+
 
 def enriched(
     df: DataFrame,
     lookup: DataFrame,
     on: Mapping[str, str],
     take: Mapping[str, str],
+    fold: bool = False,
 ) -> DataFrame:
     """Left join bringing renamed columns of a lookup.
 
     ``on`` maps a column of ``df`` to its counterpart, ``take`` a lookup
-    column to the name it gets.
+    column to the name it gets. With ``fold`` text keys match regardless of
+    case and trailing blanks.
     """
     side = lookup.select(
         *[F.col(there).alias(f"_k_{i}") for i, there in enumerate(on.values())],
@@ -29,7 +33,8 @@ def enriched(
     )
     test: Column = F.lit(True)
     for i, here in enumerate(on):
-        test &= df[here] == side[f"_k_{i}"]
+        a, b = df[here], side[f"_k_{i}"]
+        test &= folded(a) == folded(b) if fold else a == b
     return df.join(side, test, "left").drop(*[f"_k_{i}" for i in range(len(on))])
 
 

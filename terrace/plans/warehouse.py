@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from terrace.plans.bronze import LoadCounts, load_source, replace_source
 from terrace.plans.oplog import RunLog, utc_now
 from terrace.plans.presets import INCREMENTAL, Preset
 from terrace.schemas import GOLD, LAYERS, SILVER, SOURCES, Source, raw_schema
+from terrace.session import concurrently
 from terrace.sources.layers import Layers
 
 TABLES = (
@@ -42,6 +44,7 @@ class Warehouse:
     blank_keys: str = "reject"
     prefer: str = "last_row"
     tolerate_malformed: bool = False
+    threads: int = 4
     clock: Callable[[], datetime] = utc_now
 
     def __post_init__(self) -> None:
@@ -133,12 +136,12 @@ class Warehouse:
         return F.lit(self.as_of or self.clock().date()).cast("date")
 
     def _silver(self, job: str, rebuild: bool) -> None:
-        stamp = F.lit(self.clock()).cast("timestamp")
+        stamp, today = F.lit(self.clock()).cast("timestamp"), self._today()
         existing = set(self.layers.tables("silver"))
-        paths = {}
-        for source in SOURCES:
+
+        def build(source: Source) -> tuple[str, Checked]:
             name = source.name
-            model = silver.build(name, self.layers.read("bronze", name), self.preset, self._today())
+            model = silver.build(name, self.layers.read("bronze", name), self.preset, today)
             keep = self.preset.upsert_silver and not rebuild and name != "crm_prd_info"
             if keep and ("silver", name) in existing:
                 rows = upsert(
@@ -150,59 +153,77 @@ class Warehouse:
                 rows = model.withColumns({"meta_created_at": stamp, "meta_updated_at": stamp})
             if not self.preset.typed_delivery:
                 rows = conformed(rows, relaxed(SILVER[name]))
-            paths[("silver", name)] = self.layers.write("silver", name, rows)
-        for key, path in paths.items():
-            table = self.layers.read_path(path)
-            gates = [] if self.preset.typed_delivery else rules.silver_gates(key[1])
-            self._checked(job, ".".join(key), table, gates, rules.silver_rules(key[1], self._today()))
-        self.layers.publish(paths, self.clock())
+            path = self.layers.write("silver", name, rows)
+            gates = [] if self.preset.typed_delivery else rules.silver_gates(name)
+            others = rules.silver_rules(name, today)
+            return path, checked(f"silver.{name}", self.layers.read_path(path), gates, others)
+
+        built = concurrently(self.spark, [partial(build, s) for s in SOURCES], self.threads)
+        self._require(job, [result for _, result in built])
+        self.layers.publish(
+            {("silver", s.name): path for s, (path, _) in zip(SOURCES, built)}, self.clock()
+        )
 
     def _gold(self, job: str) -> None:
-        read, stamp = self.layers.read, F.lit(self.clock()).cast("timestamp")
-        paths: dict[tuple[str, str], str] = {}
+        read, stamp, today = self.layers.read, F.lit(self.clock()).cast("timestamp"), self._today()
 
-        def write(name: str, rows: DataFrame) -> DataFrame:
+        def write(name: str, rows: DataFrame) -> str:
             if not self.preset.current_products:
                 rows = conformed(rows.withColumn("meta_created_at", stamp), relaxed(GOLD[name]))
-            path = paths[("gold", name)] = self.layers.write("gold", name, rows)
-            return self.layers.read_path(path)
-
-        customers = write(
-            "dim_customers",
-            gold.dim_customers(
-                read("silver", "crm_cust_info"), read("silver", "erp_cust_az12"),
-                read("silver", "erp_loc_a101"), self._today(), self.preset,
-            ),
-        )
-        products = write(
-            "dim_products",
-            gold.dim_products(read("silver", "crm_prd_info"), read("silver", "erp_px_cat_g1v2"), self.preset),
-        )
-        fact = write(
-            "fact_sales",
-            gold.fact_sales(read("silver", "crm_sales_details"), products, customers, self.preset),
-        )
-        self._checked(job, "gold.dim_customers", customers, rules.gold_gates("dim_customers"), [])
-        self._checked(job, "gold.dim_products", products, rules.gold_gates("dim_products"), [])
-        with_key = not self.preset.current_products
-        self._checked(
-            job, "gold.fact_sales", fact,
-            rules.gold_gates("fact_sales") if with_key else [],
-            rules.fact_rules(products, customers, with_key),
-        )
-        self.layers.publish(paths, self.clock())
-
-    def _checked(self, job: str, model: str, df: DataFrame, gates: list, others: list) -> None:
+            return self.layers.write("gold", name, rows)
+
+        def customers() -> str:
+            tables = [read("silver", n) for n in ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")]
+            return write("dim_customers", gold.dim_customers(*tables, today, self.preset))
+
+        def products() -> str:
+            tables = [read("silver", n) for n in ("crm_prd_info", "erp_px_cat_g1v2")]
+            return write("dim_products", gold.dim_products(*tables, self.preset))
+
+        paths = concurrently(self.spark, [customers, products], self.threads)
+        dim_customer, dim_product = (self.layers.read_path(p) for p in paths)
+        sold = read("silver", "crm_sales_details")
+        paths.append(write("fact_sales", gold.fact_sales(sold, dim_product, dim_customer, self.preset)))
+
+        tables = dict(zip(("dim_customers", "dim_products", "fact_sales"), map(self.layers.read_path, paths)))
+        has_key = not self.preset.current_products
+        plans = []
+        for name, df in tables.items():
+            gates = rules.gold_gates(name) if has_key or name != "fact_sales" else []
+            others = rules.fact_rules(dim_product, dim_customer, has_key) if name == "fact_sales" else []
+            plans.append(partial(checked, f"gold.{name}", df, gates, others))
+        self._require(job, concurrently(self.spark, plans, self.threads))
+        self.layers.publish({("gold", n): p for n, p in zip(tables, paths)}, self.clock())
+
+    def _require(self, job: str, results: list[Checked]) -> None:
         """Record every rule; raise when a gate does not hold."""
-        if not gates and not others:
-            return
-        results = q.summarized(model, df, [*gates, *others]).collect()  # one row per rule
-        self.log.record_checks(job, self.spark.createDataFrame(results))
-        names = {r.name for r in gates}
-        broken = [r for r in results if r.test_name in names and r.failed_row_count > 0]
+        lines = [line for result in results for line in result.lines]
+        if lines:
+            self.log.record_checks(job, self.spark.createDataFrame(lines))
+        broken = [problem for result in results for problem in result.broken_gates]
         if broken:
-            text = ", ".join(f"{r.test_name}: {r.failed_row_count}" for r in broken)
-            raise CheckFailed(f"{model}: {text}")
+            raise CheckFailed(", ".join(broken))
+
+
+@dataclass(frozen=True)
+class Checked:
+    """Outcome of the rules of one table: a line per rule, and failed gates."""
+
+    lines: list
+    broken_gates: list[str]
+
+
+def checked(model: str, df: DataFrame, gates: Sequence[q.Rule], others: Sequence[q.Rule]) -> Checked:
+    if not gates and not others:
+        return Checked([], [])
+    lines = q.summarized(model, df, [*gates, *others]).collect()  # one row per rule
+    names = {r.name for r in gates}
+    broken = [
+        f"{model} {r.test_name}: {r.failed_row_count}"
+        for r in lines
+        if r.test_name in names and r.failed_row_count > 0
+    ]
+    return Checked(lines, broken)
 
 
 __all__ = ["Warehouse", "CheckFailed", "TABLES", "LAYERS"]

@@ -183,3 +183,38 @@ def with_raw(*names: str) -> str:
 
 
 WITH_DIRTY = f"WITH dirty AS ({plain(DIRTY_LINES)})"
+
+
+# Comparison SQL of expressions several queries share. It is phrased
+# differently from the Spark side on purpose.
+def sql_lookup(value: str, codes: dict[str, str], default: str) -> str:
+    """The meaning of a code, or ``default`` (an SQL expression)."""
+    table_of = ", ".join(f"'{code}': '{meaning}'" for code, meaning in codes.items())
+    return f"coalesce(MAP {{{table_of}}}[{value}], {default})"
+
+
+def sql_band(age: str) -> str:
+    decade = f"{age} // 10 * 10"
+    return (
+        f"CASE WHEN {age} IS NULL THEN 'Unknown' WHEN {age} >= 50 THEN '50+' WHEN {age} < 20 THEN 'Under 20'"
+        f" ELSE cast({decade} AS varchar) || '-' || cast({decade} + 9 AS varchar) END"
+    )
+
+
+def sql_age(birth: str, day: str = AS_OF) -> str:
+    whole = f"(year(DATE '{day}') - year({birth}))"
+    return f"cast({whole} - cast({birth} + to_years(cast({whole} AS integer)) > DATE '{day}' AS integer) AS integer)"
+
+
+def sql_sales(sales: str, quantity: str, price: str) -> str:
+    expected = f"{quantity} * abs({price})"
+    return f"CASE WHEN {sales} > 0 AND coalesce({sales} = {expected}, true) THEN {sales} ELSE {expected} END"
+
+
+def sql_price(sales: str, quantity: str, price: str) -> str:
+    return f"cast(CASE WHEN {price} > 0 THEN {price} ELSE {sales} // nullif({quantity}, 0) END AS integer)"
+
+
+def sql_sound_measures(sales: str, quantity: str, price: str) -> str:
+    positive = " AND ".join(f"{c} > 0" for c in (sales, quantity, price))
+    return f"coalesce({sales} = {quantity} * {price} AND {positive}, false)"

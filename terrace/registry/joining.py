@@ -48,6 +48,16 @@ def _with_category(spark, sf_dir):
     return joins.enriched(lines, lookup, {"l_partkey": "p_partkey"}, {"p_type": "category", "p_brand": "subcategory"})
 
 
+def _folded_lookup(spark, sf_dir):
+    """Segments written in lower case with trailing blanks still match."""
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lower("c_mktsegment"), F.lit(" ")).alias("segment")
+    )
+    totals = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    totals = totals.filter("c_mktsegment <> 'BUILDING'")
+    return joins.enriched(customers, totals, {"segment": "c_mktsegment"}, {"n": "n"}, fold=True)
+
+
 def _two_lookups(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf_dir, "customer")
@@ -193,6 +203,12 @@ ENTRIES = {
         " LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') d ON o_custkey = d.c_custkey"
         " LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 4) n ON c.c_nationkey = n_nationkey",
     ),
+    "join_blind_to_case": (
+        _folded_lookup,
+        "SELECT c_custkey, lower(c_mktsegment) || ' ' AS segment, n FROM customer LEFT JOIN"
+        " (SELECT c_mktsegment AS s, count(*) AS n FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1) t"
+        " ON lower(c_mktsegment) = lower(s)",
+    ),
     "join_version_in_force": (_in_force(history.FAN_OUT_LIMIT), _IN_FORCE_SQL),
     "join_version_in_force_by_year": (_in_force(0), _IN_FORCE_SQL),
     "join_overlapping_versions": (

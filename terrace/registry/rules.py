@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terrace.functions.convert import iso_date
 from terrace.operators import quality as q
 from terrace.plans.oplog import RunLog
-from terrace.registry.inputs import AS_OF, WITH_DIRTY, as_of, dirty_lines, portable, table
+from terrace.registry.inputs import AS_OF, WITH_DIRTY, as_of, dirty_lines, portable, sql_sound_measures, table
 from terrace.registry.joining import _VERSIONS_SQL, versions
 from terrace.session import fresh_path
 
@@ -109,10 +109,7 @@ _BAD_COMPACT = (
     " OR length(cast(try_cast(trim(raw_compact) AS bigint) AS varchar)) <> 8"
     " OR try_cast(trim(raw_compact) AS bigint) > 20500101 OR try_cast(trim(raw_compact) AS bigint) < 19000101)"
 )
-_BAD_MEASURES = (
-    "sales <> quantity * price OR sales IS NULL OR quantity IS NULL OR price IS NULL"
-    " OR sales <= 0 OR quantity <= 0 OR price <= 0"
-)
+_BAD_MEASURES = f"NOT {sql_sound_measures('sales', 'quantity', 'price')}"
 _NO_DAY = (
     "trim(raw_day) <> '' AND (CASE WHEN regexp_full_match(trim(raw_day), '[0-9]{4}-[0-9]{2}-[0-9]{2}')"
     " THEN try_strptime(trim(raw_day), '%Y-%m-%d') END) IS NULL"

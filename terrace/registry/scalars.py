@@ -11,7 +11,18 @@ from terrace.functions import convert as v
 from terrace.functions import measures as m
 from terrace.functions import text as t
 from terrace.operators.dedup import rejected_count, with_keys_present
-from terrace.registry.inputs import AS_OF, WITH_DIRTY, as_of, dirty_lines, portable, table
+from terrace.registry.inputs import (
+    WITH_DIRTY,
+    as_of,
+    dirty_lines,
+    portable,
+    sql_age,
+    sql_band,
+    sql_lookup,
+    sql_price,
+    sql_sales,
+    table,
+)
 
 _KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 _c = F.col
@@ -29,10 +40,6 @@ _SQL_MONEY = (
     "cast(CASE WHEN regexp_full_match(trim({0}), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)')"
     " THEN try_cast(trim({0}) AS decimal(19,4)) END AS double)"
 )
-_SQL_AGE = (
-    "year(DATE '{as_of}') - year(ship_day) - CASE WHEN ship_day + to_years(cast(year(DATE '{as_of}')"
-    " - year(ship_day) AS integer)) > DATE '{as_of}' THEN 1 ELSE 0 END"
-).format(as_of=AS_OF)
 
 
 def _measures():
@@ -78,12 +85,10 @@ _EXPRESSIONS: dict[str, tuple[Callable[[], Column], str]] = {
         lambda: m.whole_quotient(_c("sales"), _c("quantity")),
         "cast(sales // nullif(quantity, 0) AS integer)",
     ),
-    "completed_age": (lambda: m.completed_age(_c("ship_day"), as_of()), f"cast({_SQL_AGE} AS integer)"),
+    "completed_age": (lambda: m.completed_age(_c("ship_day"), as_of()), sql_age("ship_day")),
     "age_band": (
         lambda: m.banded(_c("quantity")),
-        "CASE WHEN quantity < 20 THEN 'Under 20' WHEN quantity BETWEEN 20 AND 29 THEN '20-29'"
-        " WHEN quantity BETWEEN 30 AND 39 THEN '30-39' WHEN quantity BETWEEN 40 AND 49 THEN '40-49'"
-        " WHEN quantity >= 50 THEN '50+' ELSE 'Unknown' END",
+        sql_band("quantity"),
     ),
     "row_digest": (
         lambda: F.lower(F.hex(t.row_digest([_c("raw_code"), _c("raw_number"), _c("l_partkey")]))),
@@ -93,7 +98,7 @@ _EXPRESSIONS: dict[str, tuple[Callable[[], Column], str]] = {
     "differs_from_own_trim": (lambda: t.has_outer_blanks(_c("raw_code")), "raw_code <> trim(raw_code)"),
     "decode_with_default": (
         lambda: t.decoded(_c("raw_code"), {"A": "Accepted", "R": "Returned"}, "UnKnown"),
-        "CASE upper(trim(raw_code)) WHEN 'A' THEN 'Accepted' WHEN 'R' THEN 'Returned' ELSE 'UnKnown' END",
+        sql_lookup("upper(trim(raw_code))", {"A": "Accepted", "R": "Returned"}, "'UnKnown'"),
     ),
     "decode_many_codes": (
         lambda: t.decoded(_c("raw_number"), {str(i): f"no. {i}" for i in range(1, 41)}, _c("raw_number")),
@@ -110,23 +115,21 @@ _EXPRESSIONS: dict[str, tuple[Callable[[], Column], str]] = {
     ),
     "first_known_value": (
         lambda: t.first_known(F.coalesce(_c("raw_code"), F.lit("unKnown")), _c("raw_number"), "UnKnown"),
-        "CASE WHEN upper(trim(coalesce(raw_code, 'unKnown'))) <> 'UNKNOWN' THEN raw_code"
-        " ELSE coalesce(raw_number, 'n/a') END",
+        "coalesce(raw_code, raw_number, 'n/a')",
     ),
     "category_of_composite": (lambda: t.category_of(_c("composite")), "replace(substr(composite, 1, 5), '-', '_')"),
     "number_of_composite": (lambda: t.number_of(_c("composite")), "substr(composite, 7)"),
     "keys_conformed": (
         lambda: t.without(t.without_prefix(_c("raw_key"), "NAS"), "-"),
-        "replace(CASE WHEN raw_key LIKE 'NAS%' THEN substr(raw_key, 4) ELSE raw_key END, '-', '')",
+        "replace(regexp_replace(raw_key, '^NAS', ''), '-', '')",
     ),
     "sales_repaired": (
         lambda: m.repaired_sales(*_measures()),
-        "CASE WHEN sales IS NULL OR sales <= 0 OR sales <> quantity * abs(price)"
-        " THEN quantity * abs(price) ELSE sales END",
+        sql_sales("sales", "quantity", "price"),
     ),
     "price_repaired": (
         lambda: m.repaired_price(*_measures()),
-        "cast(CASE WHEN price IS NULL OR price <= 0 THEN sales // nullif(quantity, 0) ELSE price END AS integer)",
+        sql_price("sales", "quantity", "price"),
     ),
     "future_dates_removed": (
         lambda: m.unless_after(_c("ship_day"), F.lit("1999-06-30").cast("date")),

@@ -108,6 +108,21 @@ def _through_views(spark, sf_dir):
     return spark.table("gold_customer_country")
 
 
+def _through_databases(spark, sf_dir):
+    """One database per layer; creating and registering again is harmless."""
+    layers = _layers(spark)
+    layers.replace("silver", "customer", table(spark, sf_dir, "customer"), _AT)
+    layers.replace("gold", "nation", table(spark, sf_dir, "nation"), _AT)
+    for _ in range(2):
+        layers.create_databases(("silver", "gold"))
+        layers.register("silver")
+        layers.register("gold")
+    nations = spark.table("gold.nation")
+    return spark.table("silver.customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", "n_name"
+    )
+
+
 _SCHEMA = StructType(
     [
         field("l_orderkey", IntegerType(), False), field("l_linenumber", IntegerType()),
@@ -162,6 +177,10 @@ ENTRIES = {
         _through_views,
         "SELECT n_name, c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey",
     ),
+    "layer_databases": (
+        _through_databases,
+        "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    ),
     "schema_conformed": (
         _conformed,
         f"{WITH_DIRTY} SELECT cast(l_orderkey AS integer) AS l_orderkey, l_linenumber, substr(composite, 1, 6) AS composite,"

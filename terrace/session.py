@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. They are SQL settings, so they can be applied to
@@ -54,3 +58,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def concurrently(spark: SparkSession, calls: Sequence[Callable[[], Any]], threads: int = 4) -> list[Any]:
+    """Submit independent Spark jobs from several driver threads.
+
+    Small tables then do not leave the cluster idle one after the other. The
+    first failure is raised once all calls have ended.
+    """
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        pending = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+    return [p.result() for p in pending]

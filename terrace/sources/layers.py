@@ -119,7 +119,7 @@ class Layers:
     def create_databases(self, layers: tuple[str, ...]) -> None:
         """One catalog database per layer, created when absent."""
         for layer in layers:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/{layer}'")
 
     def register(self, layer: str) -> None:
         """Register the current versions as tables of the layer's database."""
