@@ -18,7 +18,11 @@ def con():
     return compare.tables(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# The daily run is what tests/test_warehouse.py is about.
+COMPARED = sorted(set(entry.queries()) - {"daily_run_row_counts"})
+
+
+@pytest.mark.parametrize("name", COMPARED)
 def test_query_agrees_with_sql(spark, con, name):
     assert compare.difference(spark, con, name, SF_DIR) is None
 
