@@ -30,7 +30,8 @@ def next_in_key(
     A key with at most ``split_above`` rows fits a window task. When some key
     is larger, rows are range-partitioned by key and order instead, so that
     key is spread over tasks; the successor of a slice's last row is the first
-    row of the next slice.
+    row of the next slice. The input is read more than once: pass a table, or
+    the result of ``session.written`` when it is expensive.
     """
     if largest_group(df, keys) <= split_above:
         along = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])

@@ -24,14 +24,14 @@ def in_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) ->
     """Globally sorted rows, cut into slices and written.
 
     Adds ``_slice`` and ``_place``; places rise along the global order. The
-    order must be total, or rows that tie are numbered in any order.
+    order must be total, or rows that tie are numbered in any order. Without
+    ``slices`` adaptive execution merges neighbouring small slices, so a small
+    table does not become many tiny files.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = [F.col(f"`{c}`").asc_nulls_first() for c in order]
-    placed = (
-        df.repartitionByRange(n, *ordered)
-        .sortWithinPartitions(*ordered)
-        .withColumn(_PLACE, F.monotonically_increasing_id())
+    ranged = df.repartitionByRange(slices, *ordered) if slices else df.repartitionByRange(*ordered)
+    placed = ranged.sortWithinPartitions(*ordered).withColumn(
+        _PLACE, F.monotonically_increasing_id()
     )
     rows = written(placed, "slices")
     return rows.withColumn(_SLICE, F.shiftright(_PLACE, _PARTITION_BITS))

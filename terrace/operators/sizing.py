@@ -20,12 +20,17 @@ def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_B
     """
     if df.count() > max_rows:
         return False
+    return measured_bytes(df) <= max_bytes
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Upper estimate of the rows in memory: length of every value as text, plus overhead."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + VALUE_OVERHEAD
          for c in df.columns),
         F.lit(0).cast("bigint"),
     )
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0] <= max_bytes
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
 def broadcast_if_small(df: DataFrame, **bounds: int) -> DataFrame:

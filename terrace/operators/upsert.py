@@ -37,7 +37,7 @@ def upsert(
     created: str | None = None,
     updated: str | None = None,
     action: str | None = None,
-    small_source: bool | None = None,
+    may_broadcast: bool = True,
 ) -> DataFrame:
     """The next state of ``target`` after applying ``source``.
 
@@ -47,12 +47,12 @@ def upsert(
     insert only, the second on insert and on every match, changed or not.
     ``action`` names an extra column telling what happened to each row.
 
-    A large source meets the target in one full outer join. A source of
-    checked small size is broadcast instead, and the target is not shuffled.
+    A large source meets the target in one full outer join. A source that was
+    measured to be small is broadcast instead, and the target is not shuffled;
+    ``may_broadcast=False`` spares measuring a source known to be large.
     """
     keys = list(keys)
-    if small_source is None:
-        small_source = is_small(source)
+    small_source = may_broadcast and is_small(source)
     incoming = source.select(
         *keys,
         *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys],

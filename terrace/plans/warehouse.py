@@ -147,7 +147,7 @@ class Warehouse:
                 rows = upsert(
                     self.layers.read("silver", name), model, source.keys,
                     stamp=stamp, created="meta_created_at", updated="meta_updated_at",
-                    small_source=False,
+                    may_broadcast=False,
                 )
             else:
                 rows = model.withColumns({"meta_created_at": stamp, "meta_updated_at": stamp})

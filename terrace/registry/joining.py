@@ -177,6 +177,7 @@ def _next_line(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_orderkey").agg(
         F.max("l_quantity").alias("quantity")
     )
+    lines = written(lines, "lines")  # read twice: group sizes, then the order
     return history.next_in_key(lines, ["l_returnflag"], ["l_orderkey"], "quantity", "next_quantity", split_above=1000)
 
 

@@ -32,11 +32,11 @@ def _source(spark, sf_dir):
     return orders.select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
 
 
-def _merged(spark, sf_dir, small):
+def _merged(spark, sf_dir, may_broadcast):
     return upsert.upsert(
         _target(spark, sf_dir), _source(spark, sf_dir), ["o_orderkey"],
         stamp=F.lit(_STAMP).cast("timestamp"), created="created_at", updated="updated_at",
-        action="action", small_source=small,
+        action="action", may_broadcast=may_broadcast,
     )
 
 
@@ -160,7 +160,7 @@ def _relaxed(spark, sf_dir):
 
 ENTRIES = {
     "upsert_large_source": (lambda s, d: portable(_merged(s, d, False)), _MERGED_SQL),
-    "upsert_small_source": (lambda s, d: portable(_merged(s, d, True)), _MERGED_SQL),
+    "upsert_measured_source": (lambda s, d: portable(_merged(s, d, True)), _MERGED_SQL),
     "upsert_counts": (
         _counts,
         "SELECT count(*) FILTER (WHERE o_orderdate >= '1999-01-01') AS rows_inserted,"

@@ -53,7 +53,7 @@ def test_group_limit_runs_before_the_shuffle(spark):
 
 
 # -- keys -----------------------------------------------------------------
-@pytest.mark.parametrize("slices", [1, 3, 50])
+@pytest.mark.parametrize("slices", [None, 1, 3, 50])
 def test_dense_key_equals_plain_numbering(spark, slices):
     data = sorted(skewed())
     df = shuffled(spark.createDataFrame(data, "k int, v int, n int"))
@@ -156,8 +156,8 @@ def test_close_versions(spark):
 
 
 # -- upsert ---------------------------------------------------------------
-@pytest.mark.parametrize("small", [True, False, None])
-def test_upsert_twice(spark, small):
+@pytest.mark.parametrize("may_broadcast", [True, False])
+def test_upsert_twice(spark, may_broadcast):
     t0, t1, t2 = (dt.datetime(2024, 1, d) for d in (1, 2, 3))
     schema = "k int, v string, note string, created timestamp, updated timestamp"
     target = spark.createDataFrame([(1, "a", "n1", t0, t0), (2, "b", "n2", t0, t0)], schema)
@@ -166,7 +166,7 @@ def test_upsert_twice(spark, small):
     def apply(state, stamp):
         return upsert.upsert(
             state, source, ["k"], stamp=F.lit(stamp), created="created", updated="updated",
-            action="action", small_source=small,
+            action="action", may_broadcast=may_broadcast,
         )
 
     first = apply(target, t1)
@@ -183,8 +183,8 @@ def test_upsert_twice(spark, small):
 def test_upsert_with_two_keys(spark):
     target = spark.createDataFrame([("a", 1, 10), ("a", 2, 20)], "p string, q int, v int")
     source = spark.createDataFrame([("a", 2, 21), ("b", 1, 30)], "p string, q int, v int")
-    for small in (True, False):
-        merged = upsert.upsert(target, source, ["p", "q"], small_source=small)
+    for may_broadcast in (True, False):
+        merged = upsert.upsert(target, source, ["p", "q"], may_broadcast=may_broadcast)
         assert rows(merged) == [("a", 1, 10), ("a", 2, 21), ("b", 1, 30)]
 
 
