@@ -109,7 +109,7 @@ def replace_source(
 
 
 def audited_files(layers: Layers, source: Source, path: str, loaded: DataFrame, loaded_at: datetime) -> DataFrame:
-    """Facts and row count of each delivered file, also of empty ones."""
+    """Facts and row count of each delivered file, also of one with a header only."""
     rows = loaded.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
     return (
         file_facts(layers.spark, path)

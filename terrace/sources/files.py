@@ -124,7 +124,10 @@ def with_row_numbers(staged: DataFrame, name: str = "source_row_number") -> Data
 
 
 def file_facts(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and modification time of each file; contents are not read."""
+    """Path, size and modification time of each file; contents are not read.
+
+    Spark plans no scan of a file of zero bytes, so such a file is not listed.
+    """
     return (
         spark.read.format("binaryFile")
         .load(path)

@@ -117,9 +117,14 @@ class Layers:
         query.createOrReplaceTempView(name)
 
     def create_databases(self, layers: tuple[str, ...]) -> None:
-        """One catalog database per layer, created when absent."""
+        """One catalog database per layer, created when absent.
+
+        Its own folder holds no data: dropping a database must not delete the
+        layer's files.
+        """
         for layer in layers:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/{layer}'")
+            folder = f"{self.root}/_catalog/{layer}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{folder}'")
 
     def register(self, layer: str) -> None:
         """Register the current versions as tables of the layer's database."""

@@ -5,7 +5,7 @@ import hashlib
 from pathlib import Path
 
 import pytest
-from conftest import CUSTOMERS, DATASETS, at, rows
+from conftest import CUSTOMERS, at, rows
 from pyspark.sql import functions as F
 
 from terrace.operators.conform import conformed, empty, field, missing_required, relaxed, varchar, with_defaults
@@ -89,10 +89,14 @@ def test_export_keeps_blanks_and_uses_crlf(spark, folder):
     assert rows(back, "x", "y") == [(" a ", ""), ("b,c", "")]
 
 
-def test_file_facts(spark):
-    facts = files.file_facts(spark, str(DATASETS / "source_crm/*.csv")).collect()
-    path = DATASETS / "source_crm/prd_info.csv"
-    assert [(f.source_file.split("/")[-1], f.file_size_bytes) for f in facts] == [("prd_info.csv", path.stat().st_size)]
+def test_file_facts(spark, folder):
+    put(folder, "a.csv", "12345")
+    put(folder, "b.csv", "n\n")
+    facts = files.file_facts(spark, folder + "/*.csv")
+    assert [(f.source_file.split("/")[-1], f.file_size_bytes) for f in facts.orderBy("source_file").collect()] == [
+        ("a.csv", 5), ("b.csv", 2)
+    ]
+    assert facts.filter("file_modified_at is null").count() == 0
 
 
 def test_layers_switch_together(spark, folder):
