@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import exact, packing, substring
+from terrace.llm import exact, neardup, packing, substring, toxicity
 
 
 def vocabulary() -> str:
@@ -23,6 +23,16 @@ def _op1(spark, sf_dir):
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _op6(spark, sf_dir):
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def _op8(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.severities(docs, model).drop("text")
+
+
 def _op9(spark, sf_dir):
     return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +50,8 @@ def _op10(spark, sf_dir):
 
 ENTRIES = {
     "op1_substring_dedup": (_op1, None),
+    "op6_minhash_near_dedup": (_op6, None),
+    "op8_toxicity": (_op8, None),
     "op9_exact_dedup": (_op9, _OP9_SQL),
     "op10_best_fit_packing": (_op10, None),
 }
