@@ -140,19 +140,18 @@ def with_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataF
     """
     rows = keyed(docs)
     seeds = anchors(rows, window, seed)
-    met = (
-        seeds.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
-        .where("n > 1")
-        .select("anchor", (F.col("low") != F.col("high")).alias("differs"))
-    )
-    occurrences = stored(
-        seeds.join(met, "anchor").withColumn("one", F.xxhash64(*_KEY, "pos")), "repeated-anchors"
+    # Each step is written, so that joins on a hot anchor or context can be split.
+    met = stored(seeds.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
+    occurrences = stored(seeds.join(met, "anchor"), "occurrences")
+    one = F.xxhash64(*_KEY, "pos")
+    contexts = stored(
+        occurrences.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("first")), "contexts"
     )
+    several = contexts.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("differs"))
+    contexts = stored(contexts.join(several, "anchor", "left").where("n > 1 or differs"), "contexts")
     # One occurrence of each context speaks for all of them.
-    contexts = occurrences.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min("one").alias("first"))
     judged = occurrences.join(contexts, ["anchor", "context"]).select(
-        *_KEY, "pos", (F.col("n") > 1).alias("whole"), (F.col("differs") & (F.col("one") == F.col("first"))).alias("extend")
+        *_KEY, "pos", (F.col("n") > 1).alias("whole"), (F.col("differs").isNotNull() & (one == F.col("first"))).alias("extend")
     )
     judged = stored(judged.where("whole or extend"), "judged-anchors")
     places = judged.where("extend").groupBy(*_KEY).agg(F.collect_set("pos").alias("places"))
