@@ -44,6 +44,19 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+KEY = ["row", "version"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Rows known by doc_id and a hash of the text; a null id gets a number of its own, a null text is empty."""
+    return docs.select(
+        "doc_id",
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row"),
+        F.hash(text_or_empty()).alias("version"),
+        text_or_empty().alias("text"),
+    )
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit over all others."""
     x = x ^ (x >> np.uint64(30))

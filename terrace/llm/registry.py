@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import exact, neardup, packing, substring, toxicity
+from terrace.llm import exact, lines, neardup, packing, substring, toxicity
 
 
 def vocabulary() -> str:
@@ -23,6 +23,11 @@ def _op1(spark, sf_dir):
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _op2(spark, sf_dir):
+    left = lines.without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def _op6(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def _op10(spark, sf_dir):
 
 ENTRIES = {
     "op1_substring_dedup": (_op1, None),
+    "op2_line_dedup": (_op2, None),
     "op6_minhash_near_dedup": (_op6, None),
     "op8_toxicity": (_op8, None),
     "op9_exact_dedup": (_op9, _OP9_SQL),

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import Words, mixed, pieces, run_hashes, stored, text_or_empty
+from terrace.llm.common import KEY, Words, keyed, mixed, pieces, run_hashes, stored
 
 WINDOW = 35
 SEED = 8
@@ -53,19 +53,6 @@ def _anchors(words: Words, window: int, seed: int) -> np.ndarray:
     return np.unique(at[within])
 
 
-_KEY = ["row", "version"]
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """Rows by doc_id and a hash of the text; null ids get a number of their own."""
-    return docs.select(
-        "doc_id",
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row"),
-        F.hash(text_or_empty()).alias("version"),
-        text_or_empty().alias("text"),
-    )
-
-
 def anchors(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """row, version, pos, anchor, context: the seeds of all texts.
 
@@ -96,7 +83,7 @@ def anchors(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
                 )
 
     kinds = "row bigint, version int, pos int, anchor bigint, context bigint"
-    return rows.select(*_KEY, "text").mapInArrow(found, kinds)
+    return rows.select(*KEY, "text").mapInArrow(found, kinds)
 
 
 def _windows(rows: DataFrame, window: int, seed: int) -> DataFrame:
@@ -129,7 +116,7 @@ def _windows(rows: DataFrame, window: int, seed: int) -> DataFrame:
                 )
 
     kinds = "row bigint, version int, start int, w1 bigint, w2 bigint"
-    return rows.select(*_KEY, "text", "places").mapInArrow(listed, kinds)
+    return rows.select(*KEY, "text", "places").mapInArrow(listed, kinds)
 
 
 def with_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
@@ -143,7 +130,7 @@ def with_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataF
     # Each step is written, so that joins on a hot anchor or context can be split.
     met = stored(seeds.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
     occurrences = stored(seeds.join(met, "anchor"), "occurrences")
-    one = F.xxhash64(*_KEY, "pos")
+    one = F.xxhash64(*KEY, "pos")
     contexts = stored(
         occurrences.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("first")), "contexts"
     )
@@ -151,22 +138,22 @@ def with_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataF
     contexts = stored(contexts.join(several, "anchor", "left").where("n > 1 or differs"), "contexts")
     # One occurrence of each context speaks for all of them.
     judged = occurrences.join(contexts, ["anchor", "context"]).select(
-        *_KEY, "pos", (F.col("n") > 1).alias("whole"), (F.col("differs").isNotNull() & (one == F.col("first"))).alias("extend")
+        *KEY, "pos", (F.col("n") > 1).alias("whole"), (F.col("differs").isNotNull() & (one == F.col("first"))).alias("extend")
     )
     judged = stored(judged.where("whole or extend"), "judged-anchors")
-    places = judged.where("extend").groupBy(*_KEY).agg(F.collect_set("pos").alias("places"))
-    windows = _windows(rows.drop("doc_id").join(places.hint("shuffle_hash"), _KEY), window, seed)
-    start = windows.withColumn("one", F.xxhash64(*_KEY, "start"))
+    places = judged.where("extend").groupBy(*KEY).agg(F.collect_set("pos").alias("places"))
+    windows = _windows(rows.drop("doc_id").join(places.hint("shuffle_hash"), KEY), window, seed)
+    start = windows.withColumn("one", F.xxhash64(*KEY, "start"))
     again = start.groupBy("w1", "w2").agg(F.min("one").alias("low"), F.max("one").alias("high")).where("low != high")
     extended = start.join(again.select("w1", "w2"), ["w1", "w2"]).select(
-        *_KEY, F.struct(F.col("start"), (F.col("start") + window).alias("end")).alias("span")
+        *KEY, F.struct(F.col("start"), (F.col("start") + window).alias("end")).alias("span")
     )
     reach = F.struct(
         F.greatest(F.lit(0), F.col("pos") - (window - seed)).alias("start"), (F.col("pos") + window).alias("end")
     )
-    whole = judged.where("whole").select(*_KEY, reach.alias("span"))
-    spans = whole.union(extended).groupBy(*_KEY).agg(F.collect_set("span").alias("spans"))
-    return rows.join(spans.hint("shuffle_hash"), _KEY, "left").select("doc_id", "text", "spans")
+    whole = judged.where("whole").select(*KEY, reach.alias("span"))
+    spans = whole.union(extended).groupBy(*KEY).agg(F.collect_set("span").alias("spans"))
+    return rows.join(spans.hint("shuffle_hash"), KEY, "left").select("doc_id", "text", "spans")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
