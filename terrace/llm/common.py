@@ -98,6 +98,8 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mixed(run + (ends - starts).astype(np.uint64))
 
 
+_LETTER = np.ones(256, bool)
+_LETTER[:128] = [chr(c).isalnum() for c in range(128)]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -130,6 +132,26 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
+def lowered(texts: list[bytes]) -> list[bytes]:
+    return [t.decode("utf-8", "replace").lower().encode() for t in texts]
+
+
+def stripped(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Byte bounds of the words without ASCII punctuation at either end; words of nothing else stay."""
+    inner = _LETTER[words.joined]
+    seen = np.concatenate(([0], np.cumsum(inner)))
+    at = np.flatnonzero(inner)
+    low, high = seen[words.starts], seen[words.ends]
+    some = high > low
+    start, end = words.starts.copy(), words.ends.copy()
+    start[some], end[some] = at[low[some]], at[high[some] - 1] + 1
+    return start, end
+
+
+def stripped_hashes(words: Words) -> np.ndarray:
+    return run_hashes(_BYTE[words.joined], *stripped(words))
+
+
 def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[slice, list[bytes]]]:
     """Slices of a batch with their texts as bytes, each of about PIECE_BYTES; null is empty."""
     texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())

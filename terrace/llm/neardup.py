@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import Words, mixed, pieces, run_hashes, stored, text_or_empty
+from terrace.llm.common import Words, lowered, mixed, pieces, run_hashes, stored, text_or_empty
 from terrace.llm.components import classes
 
 SHINGLE = 5
@@ -26,10 +26,6 @@ BANDS, ROWS = 8, 3  # finds a pair at the threshold with probability 0.997
 CLASSES = 1 << 18  # of words by hash, for document frequencies: the size of what is broadcast
 
 
-def _lower(texts: list[bytes]) -> list[bytes]:
-    return [t.decode("utf-8", "replace").lower().encode() for t in texts]
-
-
 def word_weights(docs: DataFrame, n_classes: int = CLASSES) -> np.ndarray:
     """The inverse document frequency of each class of words, over all documents.
 
@@ -42,7 +38,7 @@ def word_weights(docs: DataFrame, n_classes: int = CLASSES) -> np.ndarray:
         for batch in batches:
             n += batch.num_rows
             for _, texts in pieces(batch):
-                words = Words(_lower(texts))
+                words = Words(lowered(texts))
                 kind = (words.hash % np.uint64(n_classes)).astype(np.int64)
                 once = np.unique(words.doc() * n_classes + kind)
                 total += np.bincount(once % n_classes, minlength=n_classes)
@@ -66,7 +62,7 @@ def weighted(texts: list[bytes], weights: np.ndarray, size: int = SHINGLE) -> tu
     A shingle is at most as frequent as its rarest word; that word's inverse
     document frequency is taken for it. A text of fewer words is one shingle.
     """
-    words = Words(_lower(texts))
+    words = Words(lowered(texts))
     n = np.diff(words.bounds)
     idf = weights[(words.hash % np.uint64(len(weights))).astype(np.int64)]
     count = np.where(n == 0, 0, np.maximum(n - size + 1, 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import exact, lines, neardup, packing, substring, toxicity
+from terrace.llm import decontaminate, exact, lines, neardup, packing, substring, toxicity
 
 
 def vocabulary() -> str:
@@ -28,6 +28,12 @@ def _op2(spark, sf_dir):
     return left.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def _op4(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), "items", "score")
+
+
 def _op6(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ def _op10(spark, sf_dir):
 ENTRIES = {
     "op1_substring_dedup": (_op1, None),
     "op2_line_dedup": (_op2, None),
+    "op4_benchmark_decontamination": (_op4, None),
     "op6_minhash_near_dedup": (_op6, None),
     "op8_toxicity": (_op8, None),
     "op9_exact_dedup": (_op9, _OP9_SQL),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import _BYTE, Words, mixed, pieces, run_hashes
+from terrace.llm.common import _BYTE, Words, lowered, mixed, pieces, run_hashes, stripped
 
 FEATURES = 1 << 18  # classes of features by hash
 SAMPLE = 8_000  # labelled documents the model is fitted on, at most about this many
@@ -35,17 +35,8 @@ def features(texts: list[bytes], n_features: int = FEATURES) -> tuple[np.ndarray
     Features are the words in lower case, stripped of what is no letter at
     either end, and the first bytes of each word.
     """
-    words = Words([t.decode("utf-8", "replace").lower().encode() for t in texts], hashes=False)
-    letter = np.ones(256, bool)
-    letter[:128] = [chr(c).isalnum() for c in range(128)]
-    inner = letter[words.joined]
-    # The first and last letter of each word; a word without letters is left as it is.
-    seen = np.concatenate(([0], np.cumsum(inner)))
-    at = np.flatnonzero(inner)
-    low, high = seen[words.starts], seen[words.ends]
-    some = high > low
-    start, end = words.starts.copy(), words.ends.copy()
-    start[some], end[some] = at[low[some]], at[high[some] - 1] + 1
+    words = Words(lowered(texts), hashes=False)
+    start, end = stripped(words)
     byte = _BYTE[words.joined]
     whole = run_hashes(byte, start, end)
     begins = [mixed(run_hashes(byte, start, np.minimum(start + k, end)) + np.uint64(k)) for k in PREFIXES]
