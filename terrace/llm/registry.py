@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, exact, lines, neardup, packing, substring, toxicity
+from terrace.llm import decontaminate, exact, lines, neardup, packing, pii, substring, toxicity
 
 
 def vocabulary() -> str:
@@ -28,6 +28,10 @@ def _op2(spark, sf_dir):
     return left.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def _op3(spark, sf_dir):
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def _op4(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
@@ -62,6 +66,7 @@ def _op10(spark, sf_dir):
 ENTRIES = {
     "op1_substring_dedup": (_op1, None),
     "op2_line_dedup": (_op2, None),
+    "op3_pii": (_op3, None),
     "op4_benchmark_decontamination": (_op4, None),
     "op6_minhash_near_dedup": (_op6, None),
     "op8_toxicity": (_op8, None),
