@@ -67,10 +67,19 @@ def occurrences(docs: DataFrame) -> DataFrame:
     A text without matches has one row without a kind. `rid` numbers the rows of docs.
     """
     numbered = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_or_empty().alias("text"))
-    found = numbered
+    # A form is looked for only where what every match of it contains is there.
+    number = F.col("text").rlike("[0-9]")
+    signs = {
+        "email_True": F.contains("text", F.lit("@")), "ip_True": number, "card_True": number, "phone_True": F.contains("text", F.lit("+")),
+        "email_False": F.contains("text", F.lit("@")) | F.col("text").rlike(r"\(at\)|\[at\]"), "ip_False": F.contains("text", F.lit(":")),
+        "card_False": number, "phone_False": number,
+    }
+    found = numbered.withColumn("signs", F.struct(*[c.alias(n) for n, c in signs.items()]))
     for base, forms in ((True, BASE), (False, LOOSE)):
         for kind, pattern in forms.items():
-            found = found.withColumn(f"{kind}_{base}", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
+            name = f"{kind}_{base}"
+            all_of = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+            found = found.withColumn(name, F.when(F.col(f"signs.{name}"), all_of).otherwise(F.array().cast("array<string>")))
     lists = []
     for base, forms in ((True, BASE), (False, LOOSE)):
         for kind, pattern in forms.items():
