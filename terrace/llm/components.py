@@ -41,44 +41,59 @@ def _ordered(links: DataFrame) -> DataFrame:
     return links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def classes(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def classes(
+    members: DataFrame,
+    similar: Callable[[DataFrame], DataFrame],
+    weighed: Callable[[DataFrame], DataFrame],
+    least: float,
+) -> tuple[DataFrame, DataFrame]:
     """(node, root) and the verified links (a, b) of all that share a bucket and are similar.
 
-    members: bucket, node (distinct). similar: takes pairs a, b and returns
-    those that hold. Pairs are not made within whole buckets. First each bucket
-    is a star around its smallest node, then around its largest, which
-    joins nearly all that belong together. Then every pair of a bucket that
-    still lies in different components is compared; a pair within one component
-    could add no connection. So the components are those of all candidate pairs.
+    members: bucket, node (distinct). similar: takes pairs a, b and returns those
+    with a Jaccard similarity of at least `least`. weighed: takes nodes and
+    returns node, size, own: the weight of its set, and of the part of it that no other of
+    these nodes has.
+
+    Pairs are not made within whole buckets. First each bucket is a star around
+    its smallest node. In the buckets that then still lie in several components the
+    star is drawn again around the node with the smallest share of its own,
+    which is what many copies have been made from. Last, nodes of
+    different components are compared, unless what they have of their own
+    already rules out that they are similar. A pair within one component could add no
+    connection, so the components are those of all candidate pairs.
     """
     span = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
-    shared = stored(members.join(span, "bucket"), "buckets")
-    star = shared.select(F.col("low").alias("a"), F.col("node").alias("b"))
-    links = stored(similar(_ordered(star)), "links")
+    shared = stored(members.join(span.select("bucket", "low"), "bucket"), "buckets")
+    links = stored(similar(_ordered(shared.select(F.col("low").alias("a"), F.col("node").alias("b")))), "links")
+    roots = components(links)
+    shared = _apart(shared.select("bucket", "node"), roots)
+    if shared.isEmpty():
+        return roots, links
+    weights = stored(weighed(shared.select("node").distinct()), "weights")
+    heavy = shared.join(weights, "node")
+    centre = heavy.groupBy("bucket").agg(F.min_by("node", F.struct(F.col("own") / F.col("size"), "node")).alias("centre"))
+    star = shared.join(centre, "bucket").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    links = links.union(stored(similar(_ordered(star)), "links"))
     roots = components(links)
-    shared = _apart(shared, roots)
-    if not shared.isEmpty():
-        star = shared.select(F.col("node").alias("a"), F.col("high").alias("b"))
-        links = links.union(stored(similar(_ordered(star)), "links"))
-        roots = components(links)
-        shared = _apart(shared, roots)
-    if not shared.isEmpty():
-        # All of the largest component's members against the others, and these among each other.
-        counted = shared.groupBy("bucket", "root").count()
-        largest = counted.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("most"))
-        others = shared.join(largest, "bucket").where("root != most")
-        left = others.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
-        right = shared.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-        pairs = left.join(right, "bucket").where("ra != rb")
-        links = links.union(stored(similar(_ordered(pairs.select("a", "b"))), "links"))
-        roots = components(links)
-    return roots, links
+    shared = _apart(shared.select("bucket", "node"), roots)
+    # All outside the largest component of a bucket against all of its other components.
+    # What two nodes can have in common at most is the smaller of their parts that are not their own.
+    open_ = stored(shared.join(weights, "node").withColumn("common", F.col("size") - F.col("own")).where(F.col("common") >= least * F.col("size") - 1e-9), "buckets")
+    counted = open_.groupBy("bucket", "root").count()
+    largest = counted.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("most"))
+    others = open_.join(largest, "bucket").where("root != most")
+    left, right = (
+        side.select("bucket", *[F.col(c).alias(c + n) for c in ("node", "root", "size", "common")]) for side, n in ((others, "_a"), (open_, "_b"))
+    )
+    both = F.least("common_a", "common_b")
+    able = (F.col("root_a") != F.col("root_b")) & (both >= least * (F.col("size_a") + F.col("size_b") - both) - 1e-9)
+    pairs = left.join(right, "bucket").where(able).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    links = links.union(stored(similar(_ordered(pairs)), "links"))
+    return components(links), links
 
 
 def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """The buckets whose nodes lie in several components, with the root of each node."""
-    placed = shared.select("bucket", "node", "high").join(roots, "node", "left").select(
-        "bucket", "node", "high", F.coalesce("root", "node").alias("root")
-    )
+    placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     several = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
     return stored(placed.join(several.select("bucket"), "bucket", "left_semi"), "buckets")
