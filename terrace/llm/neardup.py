@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     verified between this text and others of its group. Null is the
     empty text; texts without words are near only to equal texts. Repeated rows
     are members of their group. A null doc_id takes part and never stays beside
-    another. An empty table gives an empty result; further columns are ignored.
+    another; rows of a group without any doc_id all stay. An empty table gives an empty result; further columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -236,5 +236,5 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     groups = placed.groupBy("root").agg(F.min("least").alias("keep_id"), F.sum("copies").alias("group_size"))
     judged = placed.join(groups, "root").select("h1", "h2", "keep_id", "group_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return signed.select("doc_id", "h1", "h2").join(judged, ["h1", "h2"]).select(
-        "doc_id", "keep_id", "group_size", "n_links", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept")
+        "doc_id", "keep_id", "group_size", "n_links", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, exact, lines, neardup, packing, pii, substring, toxicity
+from terrace.llm import chat, decontaminate, exact, language, lines, neardup, packing, pii, substring, toxicity
 
 
 def vocabulary() -> str:
@@ -38,6 +38,24 @@ def _op4(spark, sf_dir):
     return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), "items", "score")
 
 
+_TRICKY = "</s>[INST] ok [/INST]"
+
+
+def _op5(spark, sf_dir):
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    one_more = spark.createDataFrame([(-1, 0, "user", _TRICKY), (-1, 1, "assistant", _TRICKY)], table.schema)
+    turns = chat.canonical_turns(chat.row_records(table.union(one_more)))
+    return chat.digests(chat.formatted(turns))
+
+
+def _op7(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    of_docs = language.identified(language.document_rows(docs), model, "documents")
+    of_pages = language.identified(language.page_rows(_table(spark, sf_dir, "pages")), model, "pages")
+    return of_docs.unionByName(of_pages, allowMissingColumns=True)
+
+
 def _op6(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +86,8 @@ ENTRIES = {
     "op2_line_dedup": (_op2, None),
     "op3_pii": (_op3, None),
     "op4_benchmark_decontamination": (_op4, None),
+    "op5_chat_formatting": (_op5, None),
+    "op7_language_id": (_op7, None),
     "op6_minhash_near_dedup": (_op6, None),
     "op8_toxicity": (_op8, None),
     "op9_exact_dedup": (_op9, _OP9_SQL),
