@@ -110,12 +110,12 @@ def _windows(rows: DataFrame, window: int, seed: int) -> DataFrame:
                         pa.array(version[part][of], pa.int32()),
                         pa.array((start - words.bounds[of]).astype(np.int32)),
                         pa.array(run_hashes(words.hash, start, start + window).view(np.int64)),
-                        pa.array(other.view(np.int64)),
+                        pa.array((other >> np.uint64(33)).astype(np.int32)),
                     ],
                     ["row", "version", "start", "w1", "w2"],
                 )
 
-    kinds = "row bigint, version int, start int, w1 bigint, w2 bigint"
+    kinds = "row bigint, version int, start int, w1 bigint, w2 int"
     return rows.select(*KEY, "text", "places").mapInArrow(listed, kinds)
 
 
@@ -143,9 +143,9 @@ def with_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataF
     judged = stored(judged.where("whole or extend"), "judged-anchors")
     places = judged.where("extend").groupBy(*KEY).agg(F.collect_set("pos").alias("places"))
     windows = _windows(rows.drop("doc_id").join(places.hint("shuffle_hash"), KEY), window, seed)
-    start = windows.withColumn("one", F.xxhash64(*KEY, "start"))
-    again = start.groupBy("w1", "w2").agg(F.min("one").alias("low"), F.max("one").alias("high")).where("low != high")
-    extended = start.join(again.select("w1", "w2"), ["w1", "w2"]).select(
+    # A text lists a window once, so two rows are two places (or rows that repeat as a whole).
+    again = windows.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
+    extended = windows.join(again, ["w1", "w2"]).select(
         *KEY, F.struct(F.col("start"), (F.col("start") + window).alias("end")).alias("span")
     )
     reach = F.struct(
