@@ -21,16 +21,21 @@ def varchar(name: str, length: int, nullable: bool = True) -> StructField:
 
 
 def conformed(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the declared columns in order, tolerantly cast and length-limited.
+    """Select the declared columns in order and type; nothing is cut or lost.
 
-    A column the input lacks becomes NULL; one the schema lacks is dropped.
+    A column the input lacks becomes NULL; one the schema lacks is dropped. A
+    text longer than declared, or a value that does not fit the declared type, fails the job: to
+    shorten or to convert tolerantly is the model's business, not the table's.
     """
     columns: list[Column] = []
     for f in schema:
         value = F.col(f.name) if f.name in df.columns else F.lit(None)
-        value = value.try_cast(f.dataType)
+        if f.name not in df.columns or df.schema[f.name].dataType != f.dataType:
+            value = value.cast(f.dataType)
         if _LENGTH in f.metadata:
-            value = F.substring(value, 1, f.metadata[_LENGTH])
+            most = f.metadata[_LENGTH]
+            refused = F.raise_error(F.lit(f"{f.name} is longer than {most} characters"))
+            value = F.when(F.length(value) > most, refused.cast("string")).otherwise(value)
         columns.append(value.alias(f.name))
     return df.select(*columns)
 

@@ -34,16 +34,16 @@ def rejected_count(df: DataFrame, keys: Sequence[str], blank_is_missing: bool =
 
 def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
     """The preferred row of each key; remaining ties go by all other columns."""
-    others = [c for c in df.columns if c not in keys]
-    ranking = Window.partitionBy(*keys).orderBy(
-        *prefer, *[F.col(f"`{c}`").desc_nulls_last() for c in others]
-    )
+    others = [F.col(f"`{c}`").desc_nulls_last() for c in df.columns if c not in keys]
+    ranking = Window.partitionBy(*keys).orderBy(*prefer, *(others or [F.lit(0)]))
     ranked = df.withColumn("_rank", F.row_number().over(ranking))
     return ranked.filter("_rank = 1").drop("_rank")
 
 
 def keep_last_in_file(df: DataFrame, keys: Sequence[str], row_number: str = "source_row_number") -> DataFrame:
-    return keep_one(df, keys, [F.col(row_number).desc_nulls_last()])
+    """The last row of the last file: by modification time, then path, then row number, as far as they are there."""
+    order = [c for c in ("source_modified_at", "source_file", row_number) if c in df.columns]
+    return keep_one(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
 def keep_latest_date(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:

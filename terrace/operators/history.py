@@ -9,13 +9,6 @@ from pyspark.sql import functions as F
 
 from terrace.functions.convert import day_before
 from terrace.operators.keys import in_slices
-from terrace.operators.sizing import largest_group
-
-# Above this many rows one key's window is cut into slices.
-SPLIT_ABOVE = 1_000_000
-# Above this many versions of one key the join also compares calendar years.
-FAN_OUT_LIMIT = 64
-
 
 def next_in_key(
     df: DataFrame,
@@ -23,19 +16,14 @@ def next_in_key(
     order: Sequence[str],
     value: str,
     name: str,
-    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Add the value of the next row of the same key.
 
-    A key with at most ``split_above`` rows fits a window task. When some key
-    is larger, rows are range-partitioned by key and order instead, so that
-    key is spread over tasks; the successor of a slice's last row is the first
-    row of the next slice. The input is read more than once: pass a table, or
-    the result of ``session.written`` when it is expensive.
+    Rows are range-partitioned by key and order, so a key of any size is spread
+    over tasks; the successor of a slice's last row is the first row of the
+    next slice. The input is read twice: pass a table, or the result of
+    ``session.written`` when it is expensive.
     """
-    if largest_group(df, keys) <= split_above:
-        along = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        return df.withColumn(name, F.lead(value).over(along))
     sliced = in_slices(df, [*keys, *order])
     in_slice = Window.partitionBy("_slice", *keys).orderBy("_place")
     first_row = F.min_by(F.struct(*keys, F.col(value).alias("_value")), "_place")
@@ -61,7 +49,6 @@ def with_end_dates(
     end: str,
     tie: Sequence[str] = (),
     mode: str = "repair",
-    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Close each version the day before the next one starts.
 
@@ -70,7 +57,7 @@ def with_end_dates(
     """
     if mode not in ("repair", "recompute"):
         raise ValueError(f"unknown mode {mode!r}")
-    chained = next_in_key(df, keys, [start, *tie], start, "_next_start", split_above)
+    chained = next_in_key(df, keys, [start, *tie], start, "_next_start")
     derived = day_before(F.col("_next_start"))
     if mode == "repair":
         derived = F.when(F.col(end) < F.col(start), derived).otherwise(F.col(end))
@@ -105,23 +92,16 @@ def join_version_in_force(
     day: str,
     start: str,
     end: str,
-    fan_out_limit: int = FAN_OUT_LIMIT,
 ) -> DataFrame:
     """Left join each fact row to the versions valid on its day.
 
     Start and end days are included, an open end reaches forever, a row
     without a version is kept. Overlapping versions each give a row.
 
-    With few versions per key the interval is a residual test of the equi
-    join. When some key has many, each version is also listed under every year
-    it touches, so a row meets only the versions of its own year.
+    Each version is listed under every year it touches, so a row meets only
+    the versions of its own year, however many its key has. Rows without a key or a
+    day match nothing and stay out of the join, where they would meet in one task.
     """
-    on_key = fact[fact_key] == versions[version_key]
-    if largest_group(versions, [version_key]) <= fan_out_limit:
-        in_force = (fact[day] >= versions[start]) & (
-            (fact[day] <= versions[end]) | versions[end].isNull()
-        )
-        return fact.join(versions, on_key & in_force, "left")
     # Past the last year with a start only one more bin is needed: the versions
     # alive there are the open or last ones of each key.
     last_bin = (versions.agg(F.max(F.year(start))).first()[0] or 0) + 1
@@ -139,4 +119,7 @@ def join_version_in_force(
         & (dated[day] >= binned[start])
         & ((dated[day] <= binned[end]) | binned[end].isNull())
     )
-    return dated.join(binned, matches, "left").drop("_day_year", "_year")
+    can_have = F.col(fact_key).isNotNull() & F.col(day).isNotNull()
+    joined = dated.filter(can_have).join(binned, matches, "left").drop("_day_year", "_year")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in versions.schema]
+    return joined.union(fact.filter(~can_have).select("*", *nothing))

@@ -84,11 +84,16 @@ def continue_numbers(existing: DataFrame, c: str, fresh: DataFrame, order: Seque
 def continue_prefixed(
     existing: DataFrame, c: str, prefix: str, fresh: DataFrame, order: Sequence[str]
 ) -> DataFrame:
-    """As ``continue_numbers`` for prefix + number; no zeros are padded in."""
-    top = highest_prefixed(existing, c, prefix).first()[0]
-    if top is None:
-        raise ValueError(f"no value of {c} starts with {prefix!r}")
-    base = int(top[len(prefix):])
+    """As ``continue_numbers`` for prefix + number; no zeros are padded in.
+
+    Goes on after the largest number, not the largest text, so that no id is
+    given twice when the numbers get longer. Labels without a number after
+    the prefix do not count.
+    """
+    number = F.substring(F.col(c), len(prefix) + 1, 1 << 30).try_cast("bigint")
+    base = existing.filter(_numbered_text(F.col(c), prefix)).agg(F.max(number)).first()[0]
+    if base is None:
+        raise ValueError(f"no value of {c} is {prefix!r} and a number")
     numbered = dense_key(fresh, order, "_number", first=base + 1)
     label = F.concat(F.lit(prefix), F.col("_number").cast("string"))
     return numbered.select(label.alias(c), *fresh.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.convert import to_bigint
 from terrace.functions.text import has_outer_blanks, is_present, text_length
-from terrace.operators.history import SPLIT_ABOVE, next_in_key
+from terrace.operators.history import next_in_key
 from terrace.operators.joins import unconnected as unconnected_rows
 
 # The allowed results of a check.
@@ -38,6 +38,7 @@ class Rule:
     broken: Callable[[], Column] | None = None
     find: Callable[[DataFrame], DataFrame] | None = None
     severity: str = FAIL
+    weight: str | None = None  # the column of `find` that counts rows, where one row stands for several
 
     def violations(self, df: DataFrame) -> DataFrame:
         return df.filter(self.broken()) if self.find is None else self.find(df)
@@ -92,9 +93,10 @@ def surrogate_key(c: str) -> Rule:
 
 
 def related(c: str, parent: DataFrame, key: str, severity: str = FAIL) -> Rule:
-    """Every non-NULL value exists in the parent. One row per orphaned value.
+    """Every non-NULL value exists in the parent. One row per orphaned value, with its number of rows.
 
-    Values are counted before the join, so a frequent one costs one row.
+    Values are counted before the join, so a frequent one costs one row; what
+    fails are the rows.
     """
 
     def find(df: DataFrame) -> DataFrame:
@@ -102,7 +104,7 @@ def related(c: str, parent: DataFrame, key: str, severity: str = FAIL) -> Rule:
         known = parent.select(F.col(key).alias("_parent_key"))
         return used.join(known, used[c] == known["_parent_key"], "left_anti")
 
-    return Rule(f"related_{c}", find=find, severity=severity)
+    return Rule(f"related_{c}", find=find, severity=severity, weight="row_count")
 
 
 def _any(tests: Sequence[Column]) -> Column:
@@ -184,12 +186,12 @@ def connected(dimensions: Sequence[tuple[str, DataFrame, str]], severity: str =
 
 
 def no_overlap(
-    keys: Sequence[str], start: str, end: str, tie: Sequence[str] = (), split_above: int = SPLIT_ABOVE
+    keys: Sequence[str], start: str, end: str, tie: Sequence[str] = ()
 ) -> Rule:
     """A version must end before the next one of its key starts."""
 
     def find(df: DataFrame) -> DataFrame:
-        chained = next_in_key(df, keys, [start, *tie], start, "_next_start", split_above)
+        chained = next_in_key(df, keys, [start, *tie], start, "_next_start")
         runs_over = F.col(end).isNull() | (F.col(end) >= F.col("_next_start"))
         return chained.filter(F.col("_next_start").isNotNull() & runs_over).drop("_next_start")
 
@@ -219,7 +221,7 @@ def summarized(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         if r.find is not None:
             parts.append(
                 r.violations(df)
-                .agg(F.count(F.lit(1)).alias("failed_row_count"))
+                .agg(F.coalesce(F.sum(r.weight), F.lit(0)).alias("failed_row_count") if r.weight else F.count(F.lit(1)).alias("failed_row_count"))
                 .select(
                     F.lit(r.name).alias("test_name"),
                     F.lit(r.severity).alias("_severity"),

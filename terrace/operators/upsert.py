@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.operators.sizing import is_small
-
 INSERTED = "inserted"
 UPDATED = "updated"
 KEPT = "kept"
@@ -37,7 +35,6 @@ def upsert(
     created: str | None = None,
     updated: str | None = None,
     action: str | None = None,
-    may_broadcast: bool = True,
 ) -> DataFrame:
     """The next state of ``target`` after applying ``source``.
 
@@ -47,26 +44,16 @@ def upsert(
     insert only, the second on insert and on every match, changed or not.
     ``action`` names an extra column telling what happened to each row.
 
-    A large source meets the target in one full outer join. A source that was
-    measured to be small is broadcast instead, and the target is not shuffled;
-    ``may_broadcast=False`` spares measuring a source known to be large.
+    Source and target meet in one full outer join on the key.
     """
     keys = list(keys)
-    small_source = may_broadcast and is_small(source)
     incoming = source.select(
         *keys,
         *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys],
         F.lit(True).alias("_in_source"),
     )
     held = target.withColumn("_in_target", F.lit(True))
-    if small_source:
-        incoming = F.broadcast(incoming)
-        known = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-        merged = held.join(incoming, keys, "left").unionByName(
-            incoming.join(known, keys, "left_anti"), allowMissingColumns=True
-        )
-    else:
-        merged = held.join(incoming, keys, "full")
+    merged = held.join(incoming, keys, "full")
 
     in_source = F.col("_in_source").isNotNull()
     in_target = F.col("_in_target").isNotNull()

@@ -19,7 +19,7 @@ from terrace.operators.dedup import (
 from terrace.operators.upsert import upsert
 from terrace.schemas import LINEAGE_COLUMNS, Source, raw_schema, typed_schema
 from terrace.session import written
-from terrace.sources.files import file_facts, scan_by_name, scan_typed, with_lineage, with_row_numbers
+from terrace.sources.files import WRONG_WIDTH, file_facts, scan_by_name, scan_typed, with_lineage, with_row_numbers
 from terrace.sources.layers import Layers
 
 
@@ -46,10 +46,11 @@ def one_row_per_key(staged: DataFrame, source: Source, blank_keys: str = "reject
 
 
 def stage(
-    layers: Layers, source: Source, path: str, batch_id: str, loaded_at: datetime, keep_blank: bool = True
+    layers: Layers, source: Source, path: str, batch_id: str, loaded_at: datetime, keep_blank: bool = True,
+    multiline: bool = False,
 ) -> str:
     """Scan the files into a fresh staging version and return its path."""
-    scan = scan_by_name(layers.spark, path, source.columns, keep_blank=keep_blank)
+    scan = scan_by_name(layers.spark, path, source.columns, keep_blank=keep_blank, multiline=multiline)
     return layers.write("staging", source.name, with_lineage(scan, source.columns, batch_id, loaded_at))
 
 
@@ -63,17 +64,21 @@ def load_source(
     prefer: str = "last_row",
     lineage: bool = True,
     keep_blank: bool = True,
+    multiline: bool = False,
 ) -> tuple[LoadCounts, DataFrame]:
     """Upsert the delivered files into bronze and publish the new version.
 
     Returns the counts and the audit rows of the files. Without ``lineage``
     the metadata columns stay NULL, which needs the relaxed schema. Empty
-    fields are empty text, or NULL without ``keep_blank``.
+    fields are empty text, or NULL without ``keep_blank``. Lines with a wrong
+    number of fields stay in staging, marked, and count as rejected. With
+    ``multiline`` quoted fields may hold line breaks.
     """
-    staged_path = stage(layers, source, path, batch_id, loaded_at, keep_blank)
+    staged_path = stage(layers, source, path, batch_id, loaded_at, keep_blank, multiline)
     staged = with_row_numbers(layers.read_path(staged_path))
     schema = relaxed(raw_schema(source))
-    picked = one_row_per_key(staged, source, blank_keys, prefer)
+    sound = staged.filter(f"NOT {WRONG_WIDTH}").drop(WRONG_WIDTH)
+    picked = one_row_per_key(sound, source, blank_keys, prefer)
     if not lineage:
         picked = picked.drop(*LINEAGE_COLUMNS)
     incoming = written(conformed(picked, schema), "incoming")
@@ -86,7 +91,9 @@ def load_source(
     # Nothing is ever deleted, so counts of rows, read from file footers, tell
     # inserts from updates; no counter depends on how often a task ran.
     before, after, offered = target.count(), layers.read_path(bronze_path).count(), incoming.count()
-    rejected, read = rejected_count(staged, source.keys, blank_keys == "reject").first()
+    rejected, good = rejected_count(sound, source.keys, blank_keys == "reject").first()
+    read = staged.count()
+    rejected += read - good
     inserted = after - before
     counts = LoadCounts(read, inserted, offered - inserted, rejected)
     return counts, audited_files(layers, source, path, staged, loaded_at)

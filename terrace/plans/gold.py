@@ -9,7 +9,6 @@ from terrace.functions.convert import flag_of
 from terrace.functions.measures import banded, completed_age
 from terrace.functions.text import first_known, joined
 from terrace.operators.history import (
-    FAN_OUT_LIMIT,
     current_only,
     join_current,
     join_version_in_force,
@@ -109,7 +108,6 @@ def sales_with_keys(
     dim_product: DataFrame,
     dim_customer: DataFrame,
     preset: Preset = INCREMENTAL,
-    fan_out_limit: int = FAN_OUT_LIMIT,
 ) -> DataFrame:
     """Sales rows with the keys of product version and customer, or NULL."""
     if preset.current_products:
@@ -119,7 +117,7 @@ def sales_with_keys(
         versions = dim_product.select("product_key", "product_number", "start_date", "end_date")
         rows = join_version_in_force(
             sales, versions, "sls_prd_key", "product_number",
-            "sls_order_dt", "start_date", "end_date", fan_out_limit,
+            "sls_order_dt", "start_date", "end_date",
         )
     rows = enriched(rows, dim_customer, {"sls_cust_id": "customer_id"}, {"customer_key": "customer_key"})
     return rows.select(
@@ -141,10 +139,9 @@ def fact_sales(
     dim_product: DataFrame,
     dim_customer: DataFrame,
     preset: Preset = INCREMENTAL,
-    fan_out_limit: int = FAN_OUT_LIMIT,
 ) -> DataFrame:
     """The fact; the current-products variant carries no key of its own."""
-    rows = sales_with_keys(sales, dim_product, dim_customer, preset, fan_out_limit)
+    rows = sales_with_keys(sales, dim_product, dim_customer, preset)
     if preset.current_products:
         return rows.drop("_product_number")
     order = ["order_number", "_product_number", "product_key", "customer_key"]

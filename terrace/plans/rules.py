@@ -41,7 +41,7 @@ def silver_rules(table: str, as_of: Column) -> list[Rule]:
             q.no_outer_blanks("prd_nm"),
             q.not_negative("prd_cost"),
             q.ends_after_start("prd_start_dt", "prd_end_dt"),
-            q.no_overlap(["prd_category", "prd_key"], "prd_start_dt", "prd_end_dt", tie=["prd_id"]),
+            q.no_overlap(["prd_key"], "prd_start_dt", "prd_end_dt", tie=["prd_id"]),
         ],
         "crm_sales_details": [
             q.in_date_order("sls_order_dt", "sls_ship_dt", "sls_due_dt"),

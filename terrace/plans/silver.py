@@ -78,7 +78,7 @@ def products(raw: DataFrame, preset: Preset = INCREMENTAL) -> DataFrame:
     if preset.typed_delivery:
         rows = raw
         composite, name = text(F.col("prd_key")), text(F.col("prd_nm"))
-        cost = F.coalesce(to_money(F.col("prd_cost")), F.lit(0).cast("decimal(19,4)"))
+        cost = F.coalesce(to_money(F.col("prd_cost")), F.lit(0).cast("decimal(19,4)")).cast("int")
     else:
         rows = raw.filter(number.isNotNull() & is_present(F.col("prd_key")))
         composite, name = trimmed(F.col("prd_key")), text_field(F.col("prd_nm"), 255)

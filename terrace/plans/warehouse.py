@@ -73,7 +73,7 @@ class Warehouse:
                 raise
             counts[source.name] = loaded
             self.log.finish_task(
-                task, "Success", f"{source.name} loaded successfully.",
+                task, "Success", f"{source.name}: bronze table is up to date.",
                 rows_read=loaded.read, rows_inserted=loaded.inserted,
                 rows_updated=loaded.updated, rows_rejected=loaded.rejected,
             )
@@ -147,7 +147,6 @@ class Warehouse:
                 rows = upsert(
                     self.layers.read("silver", name), model, source.keys,
                     stamp=stamp, created="meta_created_at", updated="meta_updated_at",
-                    may_broadcast=False,
                 )
             else:
                 rows = model.withColumns({"meta_created_at": stamp, "meta_updated_at": stamp})

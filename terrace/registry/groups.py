@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.operators import dedup, keys, quality
-from terrace.registry.inputs import TABLES, WITH_DIRTY, dirty_lines, sql_sound_measures, table
+from terrace.registry.inputs import TABLES, WITH_DIRTY, dirty_lines, sql_broken_measures, table
 
 _LINE_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,"
@@ -132,7 +132,7 @@ ENTRIES = {
             "sales", "quantity", "price",
         ),
         f"{WITH_DIRTY} SELECT DISTINCT sales, quantity, price FROM dirty"
-        f" WHERE NOT {sql_sound_measures('sales', 'quantity', 'price')}",
+        f" WHERE {sql_broken_measures('sales', 'quantity', 'price')}",
     ),
     "ordered_values": (
         lambda spark, sf_dir: quality.domain(dirty_lines(spark, sf_dir), "sales", "quantity", "price").orderBy(

@@ -185,36 +185,48 @@ def with_raw(*names: str) -> str:
 WITH_DIRTY = f"WITH dirty AS ({plain(DIRTY_LINES)})"
 
 
-# Comparison SQL of expressions several queries share. It is phrased
-# differently from the Spark side on purpose.
-def sql_lookup(value: str, codes: dict[str, str], default: str) -> str:
-    """The meaning of a code, or ``default`` (an SQL expression)."""
-    table_of = ", ".join(f"'{code}': '{meaning}'" for code, meaning in codes.items())
-    return f"coalesce(MAP {{{table_of}}}[{value}], {default})"
+# Comparison SQL of expressions several queries share. Code lists are written
+# out here once more and looked up in a table, so that a wrong code in the
+# presets does not agree with itself.
+MARITAL_CODES = (("S", "Single"), ("M", "Married"))
+GENDER_CODES = (("F", "Female"), ("M", "Male"))
+GENDER_WORDS = (("F", "Female"), ("FEMALE", "Female"), ("M", "Male"), ("MALE", "Male"))
+LINE_CODES = (("M", "Mountain"), ("R", "Road"), ("S", "Other Sales"), ("T", "Touring"))
+COUNTRIES_DENMARK = (("DE", "Denmark"), ("US", "United States"), ("USA", "United States"))
+COUNTRIES_GERMANY = (("DE", "Germany"), ("US", "United States"), ("USA", "United States"))
+
+
+def sql_lookup(value: str, codes, default: str) -> str:
+    """The meaning of a code by a lookup table, or ``default`` (an SQL expression)."""
+    rows = ", ".join(f"('{code}', '{meaning}')" for code, meaning in codes)
+    found = f"SELECT meaning FROM (VALUES {rows}) AS codes(code, meaning) WHERE code = {value}"
+    return f"coalesce(({found}), {default})"
 
 
 def sql_band(age: str) -> str:
-    decade = f"{age} // 10 * 10"
     return (
-        f"CASE WHEN {age} IS NULL THEN 'Unknown' WHEN {age} >= 50 THEN '50+' WHEN {age} < 20 THEN 'Under 20'"
-        f" ELSE cast({decade} AS varchar) || '-' || cast({decade} + 9 AS varchar) END"
+        f"CASE WHEN {age} IS NULL THEN 'Unknown' WHEN {age} < 20 THEN 'Under 20' WHEN {age} <= 29 THEN '20-29'"
+        f" WHEN {age} <= 39 THEN '30-39' WHEN {age} <= 49 THEN '40-49' ELSE '50+' END"
     )
 
 
 def sql_age(birth: str, day: str = AS_OF) -> str:
-    whole = f"(year(DATE '{day}') - year({birth}))"
-    return f"cast({whole} - cast({birth} + to_years(cast({whole} AS integer)) > DATE '{day}' AS integer) AS integer)"
+    to_come = f"(month({birth}), day({birth})) > (month(DATE '{day}'), day(DATE '{day}'))"
+    return f"cast(year(DATE '{day}') - year({birth}) - CASE WHEN {to_come} THEN 1 ELSE 0 END AS integer)"
 
 
 def sql_sales(sales: str, quantity: str, price: str) -> str:
-    expected = f"{quantity} * abs({price})"
-    return f"CASE WHEN {sales} > 0 AND coalesce({sales} = {expected}, true) THEN {sales} ELSE {expected} END"
+    return (
+        f"CASE WHEN {sales} IS NULL OR {sales} <= 0 OR {sales} <> {quantity} * abs({price})"
+        f" THEN {quantity} * abs({price}) ELSE {sales} END"
+    )
 
 
 def sql_price(sales: str, quantity: str, price: str) -> str:
-    return f"cast(CASE WHEN {price} > 0 THEN {price} ELSE {sales} // nullif({quantity}, 0) END AS integer)"
+    repaired = f"CASE WHEN {quantity} <> 0 THEN {sales} // {quantity} END"
+    return f"cast(CASE WHEN {price} IS NULL OR {price} <= 0 THEN {repaired} ELSE {price} END AS integer)"
 
 
-def sql_sound_measures(sales: str, quantity: str, price: str) -> str:
-    positive = " AND ".join(f"{c} > 0" for c in (sales, quantity, price))
-    return f"coalesce({sales} = {quantity} * {price} AND {positive}, false)"
+def sql_broken_measures(sales: str, quantity: str, price: str) -> str:
+    missing = " OR ".join(f"{c} IS NULL OR {c} <= 0" for c in (sales, quantity, price))
+    return f"({missing} OR {sales} <> {quantity} * {price})"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.operators import history, joins, upsert
-from terrace.operators.sizing import broadcast_if_small
 from terrace.registry.inputs import portable, table
 from terrace.session import written
 
@@ -20,13 +19,13 @@ versions AS (SELECT part, start_day,
 def _starts(spark, sf_dir):
     day = F.to_date(F.date_trunc("year", "l_shipdate")).alias("start_day")
     starts = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part"), day).distinct()
-    return written(starts, "starts")  # read several times: group sizes, then the query
+    return written(starts, "starts")  # read twice by the slices
 
 
-def versions(spark, sf_dir, split_above=history.SPLIT_ABOVE):
+def versions(spark, sf_dir):
     open_ended = _starts(spark, sf_dir).withColumn("end_day", F.lit(None).cast("date"))
     return history.with_end_dates(
-        open_ended, ["part"], "start_day", "end_day", mode="recompute", split_above=split_above
+        open_ended, ["part"], "start_day", "end_day", mode="recompute"
     )
 
 
@@ -68,11 +67,11 @@ def _two_lookups(spark, sf_dir):
     return joins.enriched(rows, regions, {"nation": "n_nationkey"}, {"n_name": "country"})
 
 
-def _in_force(fan_out_limit, starts_at=1997):
+def _in_force(starts_at=1997):
     def query(spark, sf_dir):
         known = versions(spark, sf_dir).filter(F.year("start_day") >= starts_at)
         rows = history.join_version_in_force(
-            _lines(spark, sf_dir), known, "l_partkey", "part", "day", "start_day", "end_day", fan_out_limit
+            _lines(spark, sf_dir), known, "l_partkey", "part", "day", "start_day", "end_day"
         )
         return portable(rows.select("l_orderkey", "l_linenumber", "l_partkey", "day", "start_day", "end_day"))
 
@@ -90,7 +89,7 @@ def _overlapping(spark, sf_dir):
     """Every version of a part stays open, so later lines meet several."""
     open_ended = _starts(spark, sf_dir).withColumn("end_day", F.lit(None).cast("date"))
     rows = history.join_version_in_force(
-        _lines(spark, sf_dir), open_ended, "l_partkey", "part", "day", "start_day", "end_day", fan_out_limit=0
+        _lines(spark, sf_dir), open_ended, "l_partkey", "part", "day", "start_day", "end_day"
     )
     return portable(rows.select("l_orderkey", "l_linenumber", "l_partkey", "start_day"))
 
@@ -104,7 +103,7 @@ def _current(spark, sf_dir):
 def _surrogates(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     dim = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'MACHINERY'")
-    dim = broadcast_if_small(dim.select("c_custkey", (F.col("c_custkey") + 1000).alias("customer_key")))
+    dim = dim.select("c_custkey", (F.col("c_custkey") + 1000).alias("customer_key"))
     return joins.enriched(orders, dim, {"o_custkey": "c_custkey"}, {"customer_key": "customer_key"})
 
 
@@ -134,7 +133,7 @@ def _unconnected(spark, sf_dir):
     )
 
 
-def _histories(mode, split_above=history.SPLIT_ABOVE):
+def _histories(mode):
     """End dates before the start, on it and missing, by year of the version."""
 
     def query(spark, sf_dir):
@@ -144,7 +143,7 @@ def _histories(mode, split_above=history.SPLIT_ABOVE):
             .when(years < 2000, F.date_add("start_day", 100))
         )
         rows = _starts(spark, sf_dir).withColumn("end_day", end)
-        return portable(history.with_end_dates(rows, ["part"], "start_day", "end_day", mode=mode, split_above=split_above))
+        return portable(history.with_end_dates(rows, ["part"], "start_day", "end_day", mode=mode))
 
     return query
 
@@ -157,10 +156,10 @@ chained AS (SELECT *, cast(lead(start_day) OVER (PARTITION BY part ORDER BY star
 SELECT part, cast(start_day AS varchar) AS start_day, cast({expression} AS varchar) AS end_day FROM chained"""
 
 
-def _next_start(split_above):
+def _next_start():
     def query(spark, sf_dir):
         rows = history.next_in_key(
-            _starts(spark, sf_dir), ["part"], ["start_day"], "start_day", "next_start", split_above
+            _starts(spark, sf_dir), ["part"], ["start_day"], "start_day", "next_start"
         )
         return portable(rows)
 
@@ -177,8 +176,8 @@ def _next_line(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_orderkey").agg(
         F.max("l_quantity").alias("quantity")
     )
-    lines = written(lines, "lines")  # read twice: group sizes, then the order
-    return history.next_in_key(lines, ["l_returnflag"], ["l_orderkey"], "quantity", "next_quantity", split_above=1000)
+    lines = written(lines, "lines")  # read twice by the slices
+    return history.next_in_key(lines, ["l_returnflag"], ["l_orderkey"], "quantity", "next_quantity")
 
 
 def _closed(spark, sf_dir):
@@ -210,8 +209,8 @@ ENTRIES = {
         " (SELECT c_mktsegment AS s, count(*) AS n FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1) t"
         " ON lower(c_mktsegment) = lower(s)",
     ),
-    "join_version_in_force": (_in_force(history.FAN_OUT_LIMIT), _IN_FORCE_SQL),
-    "join_version_in_force_by_year": (_in_force(0), _IN_FORCE_SQL),
+    "join_version_in_force": (_in_force(), _IN_FORCE_SQL),
+    "join_version_in_force_by_year": (_in_force(), _IN_FORCE_SQL),
     "join_overlapping_versions": (
         _overlapping,
         f"WITH {_VERSIONS_SQL}, {_LINES_SQL} SELECT l_orderkey, l_linenumber, l_partkey,"
@@ -255,8 +254,8 @@ ENTRIES = {
         " LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'A') l ON o_orderkey = l_orderkey"
         " WHERE c_custkey IS NULL OR l_orderkey IS NULL",
     ),
-    "next_start_of_key": (_next_start(history.SPLIT_ABOVE), _NEXT_SQL),
-    "next_start_of_key_in_slices": (_next_start(0), _NEXT_SQL),
+    "next_start_of_key": (_next_start(), _NEXT_SQL),
+    "next_start_of_key_in_slices": (_next_start(), _NEXT_SQL),
     "next_row_of_hot_key": (
         _next_line,
         "SELECT l_returnflag, l_orderkey, quantity, lead(quantity) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey)"
@@ -268,7 +267,7 @@ ENTRIES = {
     ),
     "end_dates_recomputed": (_histories("recompute"), _histories_sql("d")),
     "end_dates_repaired_in_slices": (
-        _histories("repair", 0),
+        _histories("repair"),
         _histories_sql("CASE WHEN end_day < start_day THEN d ELSE end_day END"),
     ),
     "versions_discontinued": (

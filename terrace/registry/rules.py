@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terrace.functions.convert import iso_date
 from terrace.operators import quality as q
 from terrace.plans.oplog import RunLog
-from terrace.registry.inputs import AS_OF, WITH_DIRTY, as_of, dirty_lines, portable, sql_sound_measures, table
+from terrace.registry.inputs import AS_OF, WITH_DIRTY, as_of, dirty_lines, portable, sql_broken_measures, table
 from terrace.registry.joining import _VERSIONS_SQL, versions
 from terrace.session import fresh_path
 
@@ -109,7 +109,7 @@ _BAD_COMPACT = (
     " OR length(cast(try_cast(trim(raw_compact) AS bigint) AS varchar)) <> 8"
     " OR try_cast(trim(raw_compact) AS bigint) > 20500101 OR try_cast(trim(raw_compact) AS bigint) < 19000101)"
 )
-_BAD_MEASURES = f"NOT {sql_sound_measures('sales', 'quantity', 'price')}"
+_BAD_MEASURES = f"{sql_broken_measures('sales', 'quantity', 'price')}"
 _NO_DAY = (
     "trim(raw_day) <> '' AND (CASE WHEN regexp_full_match(trim(raw_day), '[0-9]{4}-[0-9]{2}-[0-9]{2}')"
     " THEN try_strptime(trim(raw_day), '%Y-%m-%d') END) IS NULL"
@@ -134,7 +134,7 @@ _SUMMARY_SQL = WITH_DIRTY + " " + " UNION ALL ".join(
         "SELECT 'lines', 'unique_l_orderkey_l_linenumber', CASE WHEN count(*) = 0 THEN 'Pass' ELSE 'Fail' END, count(*) FROM"
         " (SELECT l_orderkey FROM dirty GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d",
         "SELECT 'lines', 'related_l_partkey', CASE WHEN count(*) = 0 THEN 'Pass' ELSE 'Fail' END, count(*) FROM"
-        " (SELECT DISTINCT l_partkey FROM dirty WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)) d",
+        " (SELECT l_partkey FROM dirty WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)) d",
         _counted("not_null_l_orderkey", "l_orderkey IS NULL"),
     ]
 )

@@ -98,7 +98,7 @@ _EXPRESSIONS: dict[str, tuple[Callable[[], Column], str]] = {
     "differs_from_own_trim": (lambda: t.has_outer_blanks(_c("raw_code")), "raw_code <> trim(raw_code)"),
     "decode_with_default": (
         lambda: t.decoded(_c("raw_code"), {"A": "Accepted", "R": "Returned"}, "UnKnown"),
-        sql_lookup("upper(trim(raw_code))", {"A": "Accepted", "R": "Returned"}, "'UnKnown'"),
+        sql_lookup("upper(trim(raw_code))", (("A", "Accepted"), ("R", "Returned")), "'UnKnown'"),
     ),
     "decode_many_codes": (
         lambda: t.decoded(_c("raw_number"), {str(i): f"no. {i}" for i in range(1, 41)}, _c("raw_number")),
@@ -114,8 +114,9 @@ _EXPRESSIONS: dict[str, tuple[Callable[[], Column], str]] = {
         "CASE WHEN price IS NULL THEN 1 ELSE 0 END",
     ),
     "first_known_value": (
-        lambda: t.first_known(F.coalesce(_c("raw_code"), F.lit("unKnown")), _c("raw_number"), "UnKnown"),
-        "coalesce(raw_code, raw_number, 'n/a')",
+        # Flag N stands for a primary source that says it does not know.
+        lambda: t.first_known(F.when(_c("raw_code") == "N", "unKnown").otherwise(_c("raw_code")), _c("raw_number"), "UnKnown"),
+        "CASE WHEN raw_code <> 'N' THEN raw_code ELSE coalesce(raw_number, 'n/a') END",
     ),
     "category_of_composite": (lambda: t.category_of(_c("composite")), "replace(substr(composite, 1, 5), '-', '_')"),
     "number_of_composite": (lambda: t.number_of(_c("composite")), "substr(composite, 7)"),

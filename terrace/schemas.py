@@ -7,13 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql.types import (
     BinaryType,
     BooleanType,
-    DataType,
     DateType,
     DecimalType,
     IntegerType,
     LongType,
     StringType,
-    StructField,
     StructType,
     TimestampType,
 )
@@ -76,26 +74,24 @@ LINEAGE_COLUMNS = tuple(LINEAGE.names)
 
 
 def raw_schema(source: Source) -> StructType:
-    """Bronze and staging: text of at most 255 characters plus lineage."""
-    return StructType([varchar(c, 255) for c in source.columns] + LINEAGE.fields)
-
-
-_DAY_OR_TIME = {"INT": INT, "DATE": DATE, "TIME": TIMESTAMP}
+    """Bronze and staging: text as delivered, of any length, plus lineage."""
+    return StructType([field(c, TEXT) for c in source.columns] + LINEAGE.fields)
+
+
+_TYPED = {
+    f.name: f
+    for f in (
+        field("cst_id", INT), field("cst_create_date", DATE), field("prd_id", INT), field("prd_cost", INT),
+        field("prd_start_dt", TIMESTAMP), field("prd_end_dt", TIMESTAMP), field("sls_cust_id", INT),
+        field("sls_order_dt", INT), field("sls_ship_dt", INT), field("sls_due_dt", INT),
+        field("sls_sales", INT), field("sls_quantity", INT), field("sls_price", INT), field("BDATE", DATE),
+    )
+}
 
 
 def typed_schema(source: Source) -> StructType:
     """Column types for deliveries that are loaded typed instead of as text."""
-    kinds = {
-        "cst_id": "INT", "cst_create_date": "DATE", "prd_id": "INT", "prd_cost": "INT",
-        "prd_start_dt": "TIME", "prd_end_dt": "TIME", "sls_cust_id": "INT",
-        "sls_order_dt": "INT", "sls_ship_dt": "INT", "sls_due_dt": "INT",
-        "sls_sales": "INT", "sls_quantity": "INT", "sls_price": "INT", "BDATE": "DATE",
-    }
-    fields: list[StructField] = []
-    for c in source.columns:
-        dtype: DataType = _DAY_OR_TIME.get(kinds.get(c, ""), TEXT)
-        fields.append(field(c, dtype))
-    return StructType(fields)
+    return StructType([_TYPED.get(c, field(c, TEXT)) for c in source.columns])
 
 
 _STAMPS = [field("meta_created_at", TIMESTAMP, False), field("meta_updated_at", TIMESTAMP, False)]

@@ -31,14 +31,18 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+    """The folder every executor can reach, as the session or its context names it.
 
-    Only a session that names none (a test on one machine) gets a fresh
-    temporary folder, kept for the life of the process.
+    A session on one machine that names none gets a temporary folder, kept for
+    the life of the process. On a cluster that would be another folder on each
+    machine and lose rows, so there it is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
+    if not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="terrace-"))
     return _own_folder[0]

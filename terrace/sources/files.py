@@ -6,17 +6,21 @@ each split plus the rows of earlier splits, never from one reader.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from terrace.functions.text import row_digest
-from terrace.operators.sizing import broadcast_if_small
 
 MALFORMED = "_malformed_line"
+WRONG_WIDTH = "wrong_width"
+
+# A quote inside a quoted field is doubled, as RFC 4180 and spreadsheets have it.
+QUOTING = {"quote": '"', "escape": '"'}
 
 
 def scan_by_name(
@@ -30,10 +34,11 @@ def scan_by_name(
 
     A column the file lacks is the empty string. An empty field reads as NULL,
     or as the empty string with ``keep_blank``; in a line with the wrong
-    number of fields the missing ones stay NULL. Every file under the path
-    must carry the same header.
+    number of fields the missing ones stay NULL, and ``wrong_width`` is true.
+    Every file under the path must carry the same header. A quoted field may
+    hold line breaks only with ``multiline``, which reads each file in one task.
     """
-    options = {"header": True, "multiLine": multiline}
+    options = {"header": True, "multiLine": multiline, **QUOTING}
     header = spark.read.options(**options).csv(path).columns
     schema = StructType([StructField(c, StringType()) for c in [*header, MALFORMED]])
     raw = (
@@ -48,16 +53,20 @@ def scan_by_name(
         if c not in header:
             value = F.lit("")
         elif keep_blank:
-            value = F.when(F.col(MALFORMED).isNull(), F.coalesce(F.col(c), F.lit(""))).otherwise(F.col(c))
+            value = F.when(F.col(MALFORMED).isNull(), F.coalesce(_named(c), F.lit(""))).otherwise(_named(c))
         else:
-            value = F.col(c)
+            value = _named(c)
         chosen.append(value.alias(c))
-    return raw.select(*chosen, *_origin())
+    return raw.select(*chosen, F.col(MALFORMED).isNotNull().alias(WRONG_WIDTH), *_origin())
+
+
+def _named(c: str) -> Column:
+    return F.col("`" + c.replace("`", "``") + "`")
 
 
-def scan_by_position(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def scan_by_position(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
     """Declared columns matched by position; the header line is skipped."""
-    raw = spark.read.options(header=True, enforceSchema=True).schema(schema).csv(path)
+    raw = spark.read.options(header=True, enforceSchema=True, multiLine=multiline, **QUOTING).schema(schema).csv(path)
     return raw.select("*", *_origin())
 
 
@@ -67,13 +76,14 @@ def scan_typed(
     schema: StructType,
     separator: str = ",",
     tolerate: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Declared types; a bad value fails the load unless tolerated.
 
     When tolerated the value is NULL and the line is kept in
     ``_malformed_line``.
     """
-    reader = spark.read.options(header=True, sep=separator)
+    reader = spark.read.options(header=True, sep=separator, multiLine=multiline, **QUOTING)
     if tolerate:
         kept = StructType([*schema.fields, StructField(MALFORMED, StringType())])
         return (
@@ -87,6 +97,7 @@ def scan_typed(
 def _origin() -> list:
     return [
         F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("source_modified_at"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
     ]
@@ -107,14 +118,13 @@ def with_row_numbers(staged: DataFrame, name: str = "source_row_number") -> Data
     """Replace the scan position by the row number within each file, from 1.
 
     ``staged`` must be written first: positions belong to one scan. The table
-    of offsets has one row per split and is broadcast after its size is checked.
+    of offsets has one row per split; Spark decides by its size how to join it.
     """
     splits = staged.groupBy("source_file", "_block").agg(
         F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     earlier = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    offsets = broadcast_if_small(offsets)
     number = F.col("_before") + F.col("_at") - F.col("_first") + 1
     return (
         staged.join(offsets, ["source_file", "_block"])
@@ -126,9 +136,10 @@ def with_row_numbers(staged: DataFrame, name: str = "source_row_number") -> Data
 def file_facts(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and modification time of each file; contents are not read.
 
-    Spark plans no scan of a file of zero bytes, so such a file is not listed.
+    Spark plans no scan of a file of zero bytes, so such files are taken from the
+    file system's listing of the path: one entry each, empty deliveries only.
     """
-    return (
+    filled = (
         spark.read.format("binaryFile")
         .load(path)
         .select(
@@ -137,14 +148,29 @@ def file_facts(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_modification_time").alias("file_modified_at"),
         )
     )
+    hidden = ("_", ".")
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [s for found in system.globStatus(root) or [] for s in (system.listStatus(found.getPath()) if found.isDirectory() else [found])]
+    empty = [
+        (re.sub("^([a-z0-9]+):/+", lambda m: f"{m[1]}:///" if m[1] == "file" else m[0], str(s.getPath())), 0, s.getModificationTime() / 1000.0)
+        for s in listed
+        if not s.isDirectory() and s.getLen() == 0 and not s.getPath().getName().startswith(hidden)
+    ]
+    if not empty:
+        return filled
+    rows = spark.createDataFrame(empty, "source_file string, file_size_bytes bigint, at double")
+    return filled.unionByName(rows.select("source_file", "file_size_bytes", F.timestamp_micros((F.col("at") * 1_000_000).cast("bigint")).alias("file_modified_at")))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with header and CRLF line ends, one file per partition.
 
-    The writer would strip blanks by default; values are written unchanged.
+    The writer would strip blanks by default; values are written unchanged,
+    with quotes inside them doubled.
     """
     df.write.options(
+        **QUOTING,
         header=True,
         lineSep="\r\n",
         emptyValue="",

@@ -10,6 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import __spark_entry__ as entry
 import compare
 
+from terrace.registry import entries
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -19,7 +21,7 @@ def con():
 
 
 # The daily run is what tests/test_warehouse.py is about.
-COMPARED = sorted(set(entry.queries()) - {"daily_run_row_counts"})
+COMPARED = sorted(set(entries()) - {"daily_run_row_counts"})
 
 
 @pytest.mark.parametrize("name", COMPARED)
@@ -33,4 +35,4 @@ def test_entry_gives_the_fact(spark):
 
 
 def test_only_file_facts_have_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"source_file_facts"}
+    assert {name for name, (_, sql) in entries().items() if not sql} == {"source_file_facts"}

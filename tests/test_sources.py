@@ -138,10 +138,13 @@ def test_catalog_tables(spark, folder):
 
 def test_conformed(spark):
     schema = StructType([field("n", INT, False), varchar("s", 3), field("d", DATE), field("new", INT)])
-    df = spark.createDataFrame([("7", "abcdef", "2024-01-02", 1), ("x", None, "no", 2)], "n string, s string, d string, extra int")
+    df = spark.createDataFrame([("7", "abc", "2024-01-02", 1), (None, None, None, 2)], "n string, s string, d string, extra int")
     got = conformed(df, schema)
     assert got.columns == ["n", "s", "d", "new"]
     assert rows(got) == [(None, None, None, None), (7, "abc", dt.date(2024, 1, 2), None)]
+    for bad in (("7", "abcd", "2024-01-02"), ("x", "a", "2024-01-02"), ("7", "a", "no")):
+        with pytest.raises(Exception, match="longer than 3|CAST_INVALID_INPUT"):
+            conformed(spark.createDataFrame([bad], "n string, s string, d string"), schema).collect()
     assert got.filter(missing_required(schema)).count() == 1
 
 
@@ -174,3 +177,21 @@ def test_run_log_checks_its_values(spark, folder):
     log.finish_job(job, "Success", "ok")
     assert rows(log.job_runs(), "pl_status", "duration_sec") == [("Success", 0)]
     assert log.read("job_runs").count() == 2
+
+
+def test_quoted_fields(spark, folder):
+    path = Path(folder) / "quoted.csv"
+    path.write_text('k,name,cost\n1,"Helmet 12"" red, big",5\n2,"two\nlines",6\n3,short\n4,plain,7,extra\n')
+    got = files.scan_by_name(spark, str(path), ["k", "name", "cost"], keep_blank=True, multiline=True)
+    assert rows(got, "k", "name", "cost", "wrong_width")[:2] == [("1", 'Helmet 12" red, big', "5", False), ("2", "two\nlines", "6", False)]
+    assert rows(got.filter("wrong_width"), "k") == [("3",), ("4",)]
+    out = folder + "/out"
+    files.export_csv(got.filter("k < 3").select("k", "name", "cost"), out)
+    assert rows(files.scan_by_name(spark, out, ["k", "name"], multiline=True), "k", "name") == [("1", 'Helmet 12" red, big'), ("2", "two\nlines")]
+
+
+def test_empty_files_are_listed(spark, folder):
+    (Path(folder) / "a.csv").write_text("k\n1\n")
+    (Path(folder) / "b.csv").write_text("")
+    got = [(r.source_file.rsplit("/", 1)[1], r.file_size_bytes) for r in files.file_facts(spark, folder).collect()]
+    assert sorted(got) == [("a.csv", 4), ("b.csv", 0)]
