@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.session import fresh_path, shared_folder
+from terrace.session import fresh_path
 
 # Texts are taken in pieces of about this many bytes, so that the working
 # arrays of a task stay small whatever an Arrow batch holds.
@@ -29,15 +30,21 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends, columns stay prunable."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{_unique()}"
+    path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    release(df.sparkSession)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def _unique() -> str:
-    import uuid
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are over.
 
-    return uuid.uuid4().hex
+    It does so when the driver's objects for them are collected, which a driver
+    with little garbage of its own would not come to before the disks are full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def text_or_empty(column: str = "text"):

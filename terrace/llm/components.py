@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import cut, stored
@@ -51,16 +51,14 @@ def classes(
 
     members: bucket, node (distinct). similar: takes pairs a, b and returns those
     with a Jaccard similarity of at least `least`. weighed: takes nodes and
-    returns node, size, own: the weight of its set, and of the part of it that no other of
-    these nodes has.
+    returns node, shingle, weight, the sets that are compared.
 
     Pairs are not made within whole buckets. First each bucket is a star around
     its smallest node. In the buckets that then still lie in several components the
-    star is drawn again around the node with the smallest share of its own,
-    which is what many copies have been made from. Last, nodes of
-    different components are compared, unless what they have of their own
-    already rules out that they are similar. A pair within one component could add no
-    connection, so the components are those of all candidate pairs.
+    star is drawn again around the node whose shingles are shared most, which
+    is what many copies have been made from. Last, nodes of different components are
+    compared as far as they can be similar (see `_possible`). A pair within one
+    component could add no connection, so the components are those of all candidate pairs.
     """
     span = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     shared = stored(members.join(span.select("bucket", "low"), "bucket"), "buckets")
@@ -69,29 +67,51 @@ def classes(
     shared = _apart(shared.select("bucket", "node"), roots)
     if shared.isEmpty():
         return roots, links
-    weights = stored(weighed(shared.select("node").distinct()), "weights")
-    heavy = shared.join(weights, "node")
-    centre = heavy.groupBy("bucket").agg(F.min_by("node", F.struct(F.col("own") / F.col("size"), "node")).alias("centre"))
+    prefixes, centrality = _ranked(weighed(shared.select("node").distinct()), least)
+    central = shared.join(centrality, "node")
+    centre = central.groupBy("bucket").agg(F.max_by("node", F.struct("shared", "node")).alias("centre"))
     star = shared.join(centre, "bucket").select(F.col("centre").alias("a"), F.col("node").alias("b"))
     links = links.union(stored(similar(_ordered(star)), "links"))
     roots = components(links)
-    shared = _apart(shared.select("bucket", "node"), roots)
-    # All outside the largest component of a bucket against all of its other components.
-    # What two nodes can have in common at most is the smaller of their parts that are not their own.
-    open_ = stored(shared.join(weights, "node").withColumn("common", F.col("size") - F.col("own")).where(F.col("common") >= least * F.col("size") - 1e-9), "buckets")
-    counted = open_.groupBy("bucket", "root").count()
-    largest = counted.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("most"))
-    others = open_.join(largest, "bucket").where("root != most")
-    left, right = (
-        side.select("bucket", *[F.col(c).alias(c + n) for c in ("node", "root", "size", "common")]) for side, n in ((others, "_a"), (open_, "_b"))
-    )
-    both = F.least("common_a", "common_b")
-    able = (F.col("root_a") != F.col("root_b")) & (both >= least * (F.col("size_a") + F.col("size_b") - both) - 1e-9)
-    pairs = left.join(right, "bucket").where(able).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    links = links.union(stored(similar(_ordered(pairs)), "links"))
+    placed = prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    links = links.union(stored(similar(_ordered(_possible(stored(placed, "prefixes"), least))), "links"))
     return components(links), links
 
 
+def _ranked(sets: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Of each set the shingles a similar set must share one of, and how much is shared at all.
+
+    Shingles are put in one order for all sets, rarest first. Two sets with a
+    similarity of at least `least` share a shingle before which lies at most 1 - least of
+    either set's weight. First result: node, shingle, size, before (the weight of the
+    node's shingles up to this one), for those that occur in several sets.
+    """
+    sets = stored(sets, "sets")
+    often = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    along = Window.partitionBy("node").orderBy("n", "shingle")
+    before = F.coalesce(F.sum("weight").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    size = F.sum("weight").over(Window.partitionBy("node"))
+    counted = sets.join(often, "shingle").withColumns({"before": before, "size": size})
+    counted = stored(counted.select("node", "shingle", "n", "weight", "before", "size"), "ranked")
+    shared = (F.sum(F.col("weight") * F.log("n")) / F.sum("weight")).alias("shared")
+    prefixes = counted.where((F.col("before") <= (1 - least) * F.col("size") + 1e-9) & (F.col("n") > 1))
+    return prefixes.select("node", "shingle", "before", "size"), counted.groupBy("node").agg(shared)
+
+
+def _possible(prefixes: DataFrame, least: float) -> DataFrame:
+    """Pairs a, b of different roots that can be similar.
+
+    At the first shingle two sets share, in the common order, what lies before
+    it in either is not in the other. So they have at most the smaller of the rests in
+    common; where that is too little for both sizes, no pair is made.
+    """
+    left, right = (prefixes.select("shingle", *[F.col(c).alias(c + n) for c in ("node", "root", "before", "size")]) for n in ("_a", "_b"))
+    rest = F.least(F.col("size_a") - F.col("before_a"), F.col("size_b") - F.col("before_b"))
+    able = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+    able &= rest * (1 + least) >= least * (F.col("size_a") + F.col("size_b")) - 1e-6
+    return left.join(right, "shingle").where(able).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """The buckets whose nodes lie in several components, with the root of each node."""
     placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))

@@ -121,7 +121,7 @@ def samples(shingle: np.ndarray, weight: np.ndarray, bounds: np.ndarray, n: int)
 
 
 def signatures(docs: DataFrame, weights, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """the columns of docs but the text, `size` (the sum of all weights) and `bands`: a value for each band, none without words."""
+    """the columns of docs but the text, and `bands`: a value for each band, none without words."""
     kept = [c for c in docs.columns if c != "text"]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,11 +138,9 @@ def signatures(docs: DataFrame, weights, bands: int = BANDS, rows: int = ROWS) -
                 offsets = np.concatenate(([0], np.cumsum(have * bands)))
                 found = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(listed[have].ravel(), pa.int64()))
                 columns = [batch.column(batch.schema.get_field_index(c)).slice(part.start, len(texts)) for c in kept]
-                sums = np.concatenate(([0.0], np.cumsum(weight)))
-                size = pa.array(sums[bounds[1:]] - sums[bounds[:-1]])
-                yield pa.RecordBatch.from_arrays([*columns, size, found], [*kept, "size", "bands"])
+                yield pa.RecordBatch.from_arrays([*columns, found], [*kept, "bands"])
 
-    kinds = docs.select(*kept).schema.add("size", T.DoubleType()).add("bands", T.ArrayType(T.LongType()))
+    kinds = docs.select(*kept).schema.add("bands", T.ArrayType(T.LongType()))
     return docs.select(*kept, "text").mapInArrow(signed, kinds)
 
 
@@ -173,8 +171,8 @@ def verified(pairs: DataFrame, texts: DataFrame, weights, similar: float = SIMIL
     return joined.mapInArrow(compared, "a bigint, b bigint")
 
 
-def _own(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
-    """node, own: the weight of the shingles that no other of the nodes has."""
+def _shingles(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
+    """node, shingle, weight of the given nodes."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,9 +184,8 @@ def _own(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
                     [pa.array(owner), pa.array(shingle.view(np.int64)), pa.array(weight)], ["node", "shingle", "weight"]
                 )
 
-    rows = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(listed, "node bigint, shingle bigint, weight double")
-    alone = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight"))
-    return alone.where("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
+    asked = texts.join(nodes, "node", "left_semi").select("node", "text")
+    return asked.mapInArrow(listed, "node bigint, shingle bigint, weight double")
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -212,9 +209,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     weights = spark.sparkContext.broadcast(word_weights(rows))
     signed = stored(signatures(rows, weights), "signatures")
     # Equal texts are one node from here on: the hash of their text.
-    nodes = signed.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size")
-    )
+    nodes = signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     nodes = stored(nodes.withColumn("node", F.xxhash64("h1", "h2")), "texts")
     members = signed.select(F.xxhash64("h1", "h2").alias("node"), F.explode("bands").alias("bucket")).distinct()
     shared = stored(members, "bands")
@@ -227,8 +222,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     texts = stored(texts.dropDuplicates(["node"]), "candidate-texts")
 
     def weighed(asked: DataFrame) -> DataFrame:
-        held = asked.join(nodes.select("node", "size"), "node")
-        return held.join(_own(asked, texts, weights), "node", "left").select("node", "size", F.coalesce("own", F.lit(0.0)).alias("own"))
+        return _shingles(asked, texts, weights)
 
     roots, links = classes(shared, lambda pairs: verified(pairs, texts, weights, similar), weighed, similar)
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
