@@ -44,19 +44,18 @@ def with_recipes(docs: DataFrame, hash_of: Callable[[Column], Column] = F.xxhash
     if shared.isEmpty():
         return cut.select("doc_id", "text_sha256", plain.alias("recipe"))
     ranked = different.join(shared, "h").withColumn("rank", F.row_number().over(Window.partitionBy("h").orderBy("chunk")))
-    placed = cut.distinct().select("doc_id", "text_sha256", F.posexplode("chunks").alias("pos", "chunk"))
+    cut = cut.withColumn("row", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    key = ["row", "text_sha256"]
+    placed = cut.distinct().select(*key, F.posexplode("chunks").alias("pos", "chunk"))
     named = placed.withColumn("h", hash_of(F.col("chunk"))).join(ranked, ["h", "chunk"], "left")
     part = F.struct("pos", F.struct("h", F.coalesce("rank", F.lit(0)).alias("rank")).alias("id"))
-    recipes = named.groupBy("doc_id", "text_sha256").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-    return cut.select("doc_id", "text_sha256").join(recipes, ["doc_id", "text_sha256"], "left").select(
-        "doc_id", "text_sha256", F.coalesce(F.transform("parts", lambda p: p["id"]), F.slice(plain_empty(), 1, 0)).alias("recipe")
+    recipes = named.groupBy(*key).agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    none = F.slice(F.array(F.struct(F.lit(0).cast("bigint").alias("h"), F.lit(0).alias("rank"))), 1, 0)
+    return cut.select("doc_id", *key).join(recipes, key, "left").select(
+        "doc_id", "text_sha256", F.coalesce(F.transform("parts", lambda p: p["id"]), none).alias("recipe")
     )
 
 
-def plain_empty() -> Column:
-    return F.array(F.struct(F.lit(0).cast("bigint").alias("h"), F.lit(0).alias("rank")))
-
-
 def exact_duplicates(docs: DataFrame, hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
