@@ -71,14 +71,13 @@ def load_source(
     Returns the counts and the audit rows of the files. Without ``lineage``
     the metadata columns stay NULL, which needs the relaxed schema. Empty
     fields are empty text, or NULL without ``keep_blank``. Lines with a wrong
-    number of fields stay in staging, marked, and count as rejected. With
+    number of fields are loaded as far as they go and marked in staging. With
     ``multiline`` quoted fields may hold line breaks.
     """
     staged_path = stage(layers, source, path, batch_id, loaded_at, keep_blank, multiline)
     staged = with_row_numbers(layers.read_path(staged_path))
     schema = relaxed(raw_schema(source))
-    sound = staged.filter(f"NOT {WRONG_WIDTH}").drop(WRONG_WIDTH)
-    picked = one_row_per_key(sound, source, blank_keys, prefer)
+    picked = one_row_per_key(staged.drop(WRONG_WIDTH), source, blank_keys, prefer)
     if not lineage:
         picked = picked.drop(*LINEAGE_COLUMNS)
     incoming = written(conformed(picked, schema), "incoming")
@@ -91,9 +90,7 @@ def load_source(
     # Nothing is ever deleted, so counts of rows, read from file footers, tell
     # inserts from updates; no counter depends on how often a task ran.
     before, after, offered = target.count(), layers.read_path(bronze_path).count(), incoming.count()
-    rejected, good = rejected_count(sound, source.keys, blank_keys == "reject").first()
-    read = staged.count()
-    rejected += read - good
+    rejected, read = rejected_count(staged, source.keys, blank_keys == "reject").first()
     inserted = after - before
     counts = LoadCounts(read, inserted, offered - inserted, rejected)
     return counts, audited_files(layers, source, path, staged, loaded_at)
