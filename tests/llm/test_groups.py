@@ -58,7 +58,7 @@ def test_near_duplicates(spark):
     rng = random.Random(9)
     pairs = corpus()
     base = words(rng, 150).split()
-    for k in range(40):  # copies of one text, some of them far from each other
+    for k in range(15):  # copies of one text, some of them far from each other
         copy = list(base)
         for _ in range(rng.randrange(8)):
             copy[rng.randrange(150)] = f"c{k}x{rng.randrange(99)}"
