@@ -24,7 +24,7 @@ SAMPLE = 8_000  # labelled documents the model is fitted on, at most about this
 GRADES = 4  # 0: not toxic; 1 to 3: toxic, by thirds of the share of telling words
 PREFIXES = (4, 5, 6)  # bytes at the start of a word that form features of their own
 LEAST_DOCS = 8  # documents of the sample a feature must occur in
-CLEAR = 4.0  # standard errors its log ratio between toxic and other documents must lie from zero
+CLEAR = 16.0  # log likelihood ratio (G squared) its occurrence in toxic and other documents must reach
 RIDGE, STEPS = 1e-3, 300
 REJECT = 0.4  # probability of a grade above 0 from which a document counts as toxic
 
@@ -57,13 +57,22 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -50, 50)))
 
 
+def _told_apart(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> np.ndarray:
+    """G squared of the table of documents by kind and by whether they have the feature."""
+    total, both = n_bad + n_good, bad + good
+    g = np.zeros(len(bad))
+    for seen, kind, having in ((bad, n_bad, both), (good, n_good, both), (n_bad - bad, n_bad, total - both), (n_good - good, n_good, total - both)):
+        some = seen > 0
+        g[some] += 2 * seen[some] * np.log(seen[some] * total / (having[some] * float(kind)))
+    return g
+
+
 def fitted(value: np.ndarray, count: np.ndarray, bounds: np.ndarray, grade: np.ndarray, n_features: int = FEATURES) -> Model:
     """Maximum likelihood with a ridge on the weights, by Adam; thresholds stay ordered by construction."""
     doc = np.repeat(np.arange(len(grade)), np.diff(bounds))
     bad, good = (np.bincount(value[(grade > 0)[doc] == side], minlength=n_features) for side in (True, False))
     n_bad, n_good = max(1, (grade > 0).sum()), max(1, (grade == 0).sum())
-    ratio = np.log((bad + 0.5) / n_bad) - np.log((good + 0.5) / n_good)
-    clear = np.abs(ratio) >= CLEAR * np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+    clear = _told_apart(bad, good, n_bad, n_good) >= CLEAR
     keep = (clear & (bad + good >= LEAST_DOCS))[value]
     value, doc, x = value[keep], doc[keep], np.log1p(count[keep])
     used, column = np.unique(value, return_inverse=True)
