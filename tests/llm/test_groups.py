@@ -12,8 +12,8 @@ from terrace.llm.components import components
 
 def test_components(spark):
     rng = random.Random(5)
-    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1060)]
-    links += [(2000, k) for k in range(1900, 2100)] + [(5, 5)]
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(k, k + 1) for k in range(1000, 1012)]
+    links += [(2000, k) for k in range(1990, 2010)] + [(5, 5)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {k: v for k, v in union_find((a, b) for a, b in links if a != b).items()}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
