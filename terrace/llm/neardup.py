@@ -188,24 +188,15 @@ def _shingles(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
     return asked.mapInArrow(listed, "node bigint, shingle bigint, weight double")
 
 
-def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, n_links, kept.
+def text_hashes() -> list:
+    """h1 and h2 of the column text; null is empty."""
+    return [F.xxhash64(text_or_empty()).alias("h1"), F.xxhash64(F.lit(1), text_or_empty()).alias("h2")]
 
-    Words are compared in lower case. A group is what hangs together by links:
-    equal texts, and texts whose weighted Jaccard similarity is at least
-    `similar`; the smallest doc_id of a group stays. n_links counts the links
-    verified between this text and others of its group. Null is the
-    empty text; texts without words are near only to equal texts. Repeated rows
-    are members of their group. A null doc_id takes part and never stays beside
-    another; rows of a group without any doc_id all stay. An empty table gives an empty result; further columns are ignored.
-    """
+
+def decided(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """The rows of `near_duplicates` with h1 and h2 of their text and root, which names the group."""
     spark = docs.sparkSession
-    rows = docs.select(
-        "doc_id",
-        F.xxhash64(text_or_empty()).alias("h1"),
-        F.xxhash64(F.lit(1), text_or_empty()).alias("h2"),
-        text_or_empty().alias("text"),
-    )
+    rows = docs.select("doc_id", *text_hashes(), text_or_empty().alias("text"))
     weights = spark.sparkContext.broadcast(word_weights(rows))
     signed = stored(signatures(rows, weights), "signatures")
     # Equal texts are one node from here on: the hash of their text.
@@ -228,7 +219,22 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(degree, "node", "left")
     groups = placed.groupBy("root").agg(F.min("least").alias("keep_id"), F.sum("copies").alias("group_size"))
-    judged = placed.join(groups, "root").select("h1", "h2", "keep_id", "group_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    judged = placed.join(groups, "root").select("h1", "h2", "root", "keep_id", "group_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
     return signed.select("doc_id", "h1", "h2").join(judged, ["h1", "h2"]).select(
-        "doc_id", "keep_id", "group_size", "n_links", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
+        "doc_id", "h1", "h2", "root", "keep_id", "group_size", "n_links", kept
     )
+
+
+def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, n_links, kept.
+
+    Words are compared in lower case. A group is what hangs together by links:
+    equal texts, and texts whose weighted Jaccard similarity is at least
+    `similar`; the smallest doc_id of a group stays. n_links counts the links
+    verified between this text and others of its group. Null is the
+    empty text; texts without words are near only to equal texts. Repeated rows
+    are members of their group. A null doc_id takes part and never stays beside
+    another; rows of a group without any doc_id all stay. An empty table gives an empty result; further columns are ignored.
+    """
+    return decided(docs, similar).select("doc_id", "keep_id", "group_size", "n_links", "kept")

@@ -112,3 +112,17 @@ def test_stages(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_near_dedup_stage_decides_by_row(spark):
+    """Different texts under a null or repeated doc_id all stay; a near copy does not stay for its id's sake."""
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(3)
+    texts = [" ".join(f"v{rng.randrange(3000)}" for _ in range(150)) for _ in range(5)]
+    near = texts[4].replace(texts[4].split()[70], "other")
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3]), (5, texts[4]), (7, near), (None, near), (None, texts[0])]
+    got = pipeline.drop_near_duplicates(spark, frame(spark, rows), "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in [*rows[:4], rows[5]])
+    again = pipeline.drop_near_duplicates(spark, frame(spark, [(5, texts[4]), (5, near)]), "").collect()
+    assert len(again) == 1
