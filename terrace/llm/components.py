@@ -46,6 +46,7 @@ def classes(
     similar: Callable[[DataFrame], DataFrame],
     weighed: Callable[[DataFrame], DataFrame],
     least: float,
+    small: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """(node, root) and the verified links (a, b) of all that share a bucket and are similar.
 
@@ -53,11 +54,12 @@ def classes(
     with a Jaccard similarity of at least `least`. weighed: takes nodes and
     returns node, shingle, weight, the sets that are compared.
 
-    Pairs are not made within whole buckets. First each bucket is a star around
+    Pairs are not made within whole buckets of more than `small` nodes. First each bucket is a star around
     its smallest node. In the buckets that then still lie in several components the
     star is drawn again around the node whose shingles are shared most, which
     is what many copies have been made from. Last, nodes of different components are
-    compared as far as they can be similar (see `_possible`). A pair within one
+    compared as far as they can be similar (see `_possible`). In smaller buckets all
+    pairs of different components are compared after the first star, which is cheaper. A pair within one
     component could add no connection, so the components are those of all candidate pairs.
     """
     span = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
@@ -65,6 +67,16 @@ def classes(
     links = stored(similar(_ordered(shared.select(F.col("low").alias("a"), F.col("node").alias("b")))), "links")
     roots = components(links)
     shared = _apart(shared.select("bucket", "node"), roots)
+    if small:
+        sized = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+        few = shared.join(sized.where(F.col("size").between(3, small)).select("bucket"), "bucket")
+        left, right = (few.select("bucket", *[F.col(c).alias(c + n) for c in ("node", "root")]) for n in ("_a", "_b"))
+        pairs = left.join(right, "bucket").where("node_a < node_b AND root_a != root_b")
+        links = links.union(stored(similar(_ordered(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))), "links"))
+        roots = components(links)
+        # Of two nodes in a bucket the star has compared all pairs.
+        many = shared.select("bucket", "node").join(sized.where(F.col("size") > small).select("bucket"), "bucket", "left_semi")
+        shared = _apart(many, roots)
     if shared.isEmpty():
         return roots, links
     prefixes, centrality = _ranked(weighed(shared.select("node").distinct()), least)

@@ -116,3 +116,25 @@ def test_lines(spark):
 def test_repeated_rows_keep_the_same_lines(spark):
     got = lines.without_repeated_lines(frame(spark, [(1, "a line\nb line"), (1, "a line\nb line"), (None, None), (2, "b line\nc")])).collect()
     assert sorted((str(r.doc_id), r.text, r.n_removed) for r in got) == [("1", "a line\nb line", 0), ("1", "a line\nb line", 0), ("2", "c", 1), ("None", "", 0)]
+
+
+def test_lines_with_one_letter_changed_are_found(spark):
+    """Copies that reach 0.8 on the character shingles of all places go, also of ordinary length."""
+    rng = random.Random(8)
+    size, pairs, near = lines.SHINGLE, [], []
+    for k in range(300):
+        n = rng.randrange(50, 160)
+        line = ""
+        while len(line) < n:
+            line += "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) + " "
+        line = line[:n].strip()
+        at = rng.randrange(len(line))
+        copy = line[:at] + "#" + line[at + 1 :]
+        a, b = ({t[i : i + size] for i in range(len(t) - size + 1)} for t in (line, copy))
+        if len(a & b) >= lines.SIMILAR * len(a | b):
+            near.append(1000 + k)
+        pairs += [(k, line), (1000 + k, copy)]
+    assert len(near) > 250
+    left = {r.doc_id: r.text for r in lines.without_repeated_lines(frame(spark, pairs)).collect()}
+    assert all(left[k] for k in range(300))
+    assert sum(left[k] == "" for k in near) >= 0.98 * len(near)
