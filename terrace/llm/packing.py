@@ -117,79 +117,81 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def swapped(bins: list[list[int]], lengths: list[int], capacity: int, rounds: int = 4) -> list[list[int]]:
-    """Swap-based local search over the underfull bins; full ones stay as they are.
+    """Swap-based local search over all underfull bins; full ones stay as they are.
 
-    A step takes an underfull bin as giver and a fuller one as taker: it moves a
-    piece, or exchanges one for one or two for one, so that the taker gains.
+    A step takes an underfull bin as giver and one at least as full as taker: it moves
+    a piece, or exchanges one for one or two for one, so that the taker gains.
     Moving fill from a bin to a fuller one raises the sum of squared fills, so
-    the search ends; a bin without pieces disappears.
+    the search ends; a bin without pieces disappears. The takers of a piece are
+    looked for among all pieces at once, kept in arrays.
     """
     fill = [sum(lengths[i] for i in b) for b in bins]
     done = [b for b, f in zip(bins, fill) if f == capacity]
     work = [list(b) for b, f in sorted(zip(bins, fill), key=lambda x: x[1]) if f < capacity]
     for _ in range(rounds):
-        gained = False
         work.sort(key=lambda b: sum(lengths[i] for i in b))
+        room = np.array([capacity - sum(lengths[i] for i in b) for b in work], np.int64)
+        pieces = np.array([i for b in work for i in b], np.int64)
+        length = np.array([lengths[i] for i in pieces], np.int64)
+        place = {int(i): k for k, i in enumerate(pieces)}
+        holder = np.repeat(np.arange(len(work)), [len(b) for b in work])
+        gained = False
         for g, giver in enumerate(work):
-            have = sum(lengths[i] for i in giver)
-            for taker in work[:g:-1]:
-                if not giver:
+            # Each step at most once for a piece of the giver, so that a round stays short.
+            for _ in range(len(giver)):
+                step = _step(g, giver, lengths, room, pieces, length, holder)
+                if not step:
                     break
-                other = sum(lengths[i] for i in taker)
-                if other < have or other == capacity:
-                    continue
-                step = _step(giver, taker, lengths, capacity - other)
-                if step:
-                    out, back = step
-                    for i in out:
-                        giver.remove(i)
-                        taker.append(i)
-                    for i in back:
-                        taker.remove(i)
-                        giver.append(i)
-                    have = sum(lengths[i] for i in giver)
-                    gained = True
+                out, back, taker = step
+                for i, to in [(i, taker) for i in out] + [(i, g) for i in back]:
+                    work[holder[place[i]]].remove(i)
+                    work[to].append(i)
+                    room[holder[place[i]]] += lengths[i]
+                    room[to] -= lengths[i]
+                    holder[place[i]] = to
+                gained = True
         work = [b for b in work if b]
         if not gained:
             break
     return done + work
 
 
-def _step(giver: list[int], taker: list[int], lengths: list[int], room: int) -> tuple[list[int], list[int]] | None:
-    """The exchange that fills the taker's room best: pieces out of the giver, pieces back."""
+def _step(
+    g: int, giver: list[int], lengths: list[int], room: np.ndarray, pieces: np.ndarray, length: np.ndarray, holder: np.ndarray
+) -> tuple[list[int], list[int], int] | None:
+    """The exchange that moves most out of the giver: pieces out of it, pieces back, the taker's number."""
+    may = room <= room[g]
+    may[g] = False
+    if not may.any():
+        return None
     best, step = 0, None
+    rooms = np.where(may, room, 0)
     for a in giver:
-        if best < lengths[a] <= room:
-            best, step = lengths[a], ([a], [])
-    if best == room:
+        if best < lengths[a] <= rooms.max():
+            # The fullest bin that has room for it.
+            at = np.where(rooms >= lengths[a], rooms, np.iinfo(np.int64).max).argmin()
+            best, step = lengths[a], ([a], [], int(at))
+    # A piece comes back for what is at most its bin's room longer.
+    able = np.flatnonzero(may[holder] & (room[holder] > best))
+    if not len(able):
         return step
-    offers = sorted((lengths[a], a) for a in giver)
-    pairs = sorted((x + y, a, b) for k, (x, a) in enumerate(offers[:24]) for y, b in offers[:k])
-    for c in taker:
-        top = room + lengths[c]
-        at = bisect_left(offers, (top + 1,)) - 1
-        if at >= 0 and offers[at][0] - lengths[c] > best:
-            best, step = offers[at][0] - lengths[c], ([offers[at][1]], [c])
-        at = bisect_left(pairs, (top + 1,)) - 1
-        if at >= 0 and pairs[at][0] - lengths[c] > best:
-            best, step = pairs[at][0] - lengths[c], ([pairs[at][1], pairs[at][2]], [c])
-        if best == room:
-            break
+    back, top = length[able], length[able] + room[holder[able]]
+    offers = sorted({lengths[a]: [a] for a in giver}.items())
+    few = sorted(giver, key=lambda a: (lengths[a], a))[:24]
+    both = {lengths[a] + lengths[b]: [a, b] for k, a in enumerate(few) for b in few[:k]}
+    for size, out in [*offers, *sorted(both.items())]:
+        gain = np.where(size <= top, size - back, 0)
+        at = int(gain.argmax())
+        if gain[at] > best:
+            best, step = int(gain[at]), (out, [int(pieces[able[at]])], int(holder[able[at]]))
     return step
 
 
-# How many of the emptiest bins of a group the search works on; the others
-# are already filled to within a fraction of a percent by best fit.
-WORKED = 60
-
-
 def _packed(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     group = group.sort_values(["length", "doc_id", "piece", "start", "ids_crc32"], ascending=[False, True, True, True, True], ignore_index=True)
     lengths = group["length"].tolist()
-    bins = best_fit(lengths, capacity)
+    bins = swapped(best_fit(lengths, capacity), lengths, capacity)
     bins.sort(key=lambda b: -sum(lengths[i] for i in b))
-    at = max(0, len(bins) - WORKED)
-    bins = bins[:at] + swapped(bins[at:], lengths, capacity)
     number, offset, fill = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
     for k, b in enumerate(bins):
         place = 0
@@ -200,48 +202,73 @@ def _packed(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return group.assign(bin=number, offset=offset, fill=fill)
 
 
-def _packer(names: list[str], capacity: int, last: bool):
+def _packer(names: list[str], capacity: int, group: int, last: bool):
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        out = _packed(frame[names + ["g"]], capacity)
-        out["open"] = (out["fill"] < capacity - capacity // 50) & (not last)
-        return out[names + ["g", "bin", "offset", "open"]]
+        # What chance dealt beyond `group` pieces is packed in equal parts.
+        parts, first = max(1, -(-len(frame) // group)), 0
+        dealt = []
+        for k in range(parts):
+            out = _packed(frame[names + ["g"]].iloc[k::parts], capacity)
+            # At most half the pieces go on, those of the emptiest bins (bins are numbered by fill).
+            behind = len(out) - np.searchsorted(np.sort(out["bin"]), out["bin"])
+            out["open"] = (out["fill"] < capacity - capacity // 50) & (2 * behind <= len(out)) & (not last)
+            out["bin"] += first
+            first = out["bin"].max() + 1
+            dealt.append(out)
+        return pd.concat(dealt)[names + ["g", "bin", "offset", "fill", "open"]]
 
     return pack
 
 
+def _can_combine(left: DataFrame, capacity: int) -> bool:
+    """Whether fewer bins could hold the open ones' pieces, and a piece or a bin fits into another bin."""
+    bins = left.where("offset = 0").agg(F.count(F.lit(1)).alias("n"), F.sum("fill").alias("fill")).first()
+    if bins.n <= -(-(bins.fill or 0) // capacity):
+        return False
+    low = [r.fill for r in left.where("offset = 0").select("fill").orderBy("fill").limit(2).collect()]
+    shortest = left.agg(F.min("length")).first()[0]
+    return sum(low) <= capacity or shortest + low[0] <= capacity
+
+
 def packed(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """The pieces with sequence_id and offset: whole pieces, gapless from 0, at most `capacity` long.
 
     `pieces` must be a written table: groups are dealt by a hash of the row's
     place in it, so a length, a document or a repeated row that makes up a third
-    of all pieces is spread evenly, and a task run again deals alike. The bins a group cannot fill (at most one in
-    fifty of a full sequence left free counts as filled) are dealt to a second,
-    fiftieth part of the groups, and so on until one group is left. Repeated
-    rows are pieces of their own; an empty table gives an empty result.
+    of all pieces is spread evenly, and a task run again deals alike. No group has more than `group` pieces.
+    The bins a group cannot fill (at most one in fifty of a full sequence left free counts as filled) are dealt
+    anew to fewer groups, the emptiest first and at most half of a group's pieces, so each level has at most half the
+    pieces of the one before. Levels end when what is open fits one group, or when no open bins can be combined.
+    Repeated rows are pieces of their own; an empty table gives an empty result.
     """
     kinds = pieces.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
     names = pieces.columns
-    left, done, level = pieces, [], 0
+    left, done, level, first = pieces, [], 0, 0
     total = pieces.count()
     while True:
-        groups = max(1, -(-total // group))
-        last = groups == 1
+        last = total <= group
+        # A twentieth less on average, so that chance rarely deals a group too many.
+        groups = 1 if last else -(-total * 20 // (group * 19))
 
         dealt = left.withColumn("g", F.pmod(F.xxhash64(F.lit(level), F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
-        at = dealt.groupBy("g").applyInPandas(_packer(names, capacity, last), f"{kinds}, g int, bin bigint, offset bigint, open boolean")
+        at = dealt.groupBy("g").applyInPandas(_packer(names, capacity, group, last), f"{kinds}, g int, bin bigint, offset bigint, fill bigint, open boolean")
+        at = at.withColumn("numbered", F.lit(first).cast("bigint") + F.col("g"))
         if last:
-            done.append(at.withColumn("level", F.lit(level)))
+            done.append(at)
             break
         at = stored(at, f"packed-{level}")
-        done.append(at.where("not open").withColumn("level", F.lit(level)))
-        left = at.where("open").select(*names)
-        more = left.count()
-        total, level = min(more, (groups - 1) * group), level + 1
+        left = at.where("open")
+        if left.isEmpty() or not _can_combine(left, capacity):
+            done.append(at)
+            break
+        done.append(at.where("not open"))
+        left = left.select(*names)
+        total, level, first = left.count(), level + 1, first + groups
     whole = done[0]
     for more in done[1:]:
         whole = whole.union(more)
-    number = (F.col("level").cast("bigint") * (1 << 56)) + F.col("g").cast("bigint") * (1 << 24) + F.col("bin")
-    return whole.select(*names, number.alias("sequence_id"), "offset")
+    # Groups are numbered through all levels; a group has fewer than 2^24 bins.
+    return whole.select(*names, (F.col("numbered") * (1 << 24) + F.col("bin")).alias("sequence_id"), "offset")
 
 
 def packed_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, group: int = GROUP, with_ids: bool = False) -> DataFrame:

@@ -126,3 +126,45 @@ def test_near_dedup_stage_decides_by_row(spark):
     assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in [*rows[:4], rows[5]])
     again = pipeline.drop_near_duplicates(spark, frame(spark, [(5, texts[4]), (5, near)]), "").collect()
     assert len(again) == 1
+
+
+def pieces_of(spark, lengths):
+    rows = [(k, 0, 0, n, 0) for k, n in enumerate(lengths)]
+    return spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+
+
+@pytest.mark.parametrize("lengths", [[1500] * 300, [1500] * 150 + [300] * 150 + [1] * 5, [700] * 300])
+def test_pieces_that_do_not_combine(spark, tmp_path, lengths):
+    """Few levels whatever the lengths, groups of bounded size, and all pieces in the result."""
+    pieces_of(spark, lengths).write.parquet(str(tmp_path / "p"))
+    levels = []
+    kept, packing.stored = packing.stored, lambda df, label: levels.append(label) or kept(df, label)
+    try:
+        got = packing.packed(spark.read.parquet(str(tmp_path / "p")), 2048, 2).collect()
+    finally:
+        packing.stored = kept
+    assert sorted(r.doc_id for r in got) == list(range(len(lengths)))
+    assert len(levels) <= 9
+    fill = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill.get(r.sequence_id, 0)
+        fill[r.sequence_id] = r.offset + r.length
+    assert max(fill.values()) <= 2048
+
+
+def test_no_group_is_too_large_and_all_underfull_bins_are_searched():
+    import pandas as pd
+
+    frame = pd.DataFrame({"doc_id": range(50), "piece": 0, "start": 0, "length": 3, "ids_crc32": 0, "g": 0})
+    seen, kept = [], packing._packed
+    packing._packed = lambda group, capacity: seen.append(len(group)) or kept(group, capacity)
+    try:
+        out = packing._packer(["doc_id", "piece", "start", "length", "ids_crc32"], 9, 20, False)(frame)
+    finally:
+        packing._packed = kept
+    assert max(seen) <= 20 and sorted(out.doc_id) == list(range(50))
+    # 100 bins of 5 + 4 of 10, then 100 of 6 + 3; a 4 for a 3 fills one of each ten to the brim.
+    lengths = [5, 4] * 100 + [6, 3] * 100
+    bins = [[2 * k, 2 * k + 1] for k in range(200)]
+    fills = [sum(lengths[i] for i in b) for b in packing.swapped(bins, lengths, 10)]
+    assert sum(fills) == 1800 and fills.count(10) >= 100
