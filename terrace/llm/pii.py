@@ -111,15 +111,24 @@ def _listed(found: Column, text: Column, kind: str, pattern: str, base: bool) ->
     return F.when(F.size(found) > 0, listed).otherwise(F.array().cast(nothing))
 
 
+def _between(text: Column) -> Column:
+    """The text with a blank for each match of any form, as what is next to a match ends there for contexts too."""
+    for pattern in (*BASE.values(), *LOOSE.values()):
+        text = F.regexp_replace(text, pattern, " ")
+    return text
+
+
 def patterns(met: DataFrame, docs: DataFrame) -> DataFrame:
     """kind, side, word of the patterns that hold: scored on the graph of patterns and instances."""
     sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("word")) for s in ("left", "right")])).alias("p")
     edges = met.where("holds or not base").select("kind", "match", "holds", sides).select("kind", "match", "holds", "p.side", "p.word")
     edges = stored(edges.where("word != ''").groupBy("kind", "side", "word", "match").agg(F.max("holds").alias("seed"), F.count(F.lit(1)).alias("n")), "pattern-graph")
-    # How often each word occurs at all: over every word of every text.
-    words = docs.select(F.explode(F.split(F.lower(text_or_empty()), r"\s+")).alias("word")).groupBy("word").count()
-    asked = edges.where("seed").select("word").distinct()
-    totals = stored(words.join(asked, "word").select("word", F.col("count").alias("total")), "context-words")
+    # How often each word occurs at all: over every word of every text, cut where contexts end. A word of
+    # the graph that other forms' matches cover is at least where its own instances are.
+    words = docs.select(F.explode(F.split(F.lower(_between(text_or_empty())), r"\s+")).alias("word")).groupBy("word").count()
+    own = edges.groupBy("word", "kind", "side").agg(F.sum("n").alias("n")).groupBy("word").agg(F.max("n").alias("n"))
+    total = F.greatest("n", F.coalesce("count", F.lit(0))).alias("total")
+    totals = stored(own.join(words, "word", "left").select("word", total), "context-words")
     known = edges.groupBy("kind", "match").agg(F.max("seed").alias("seed"))
     score = cut(known.select("kind", "match", F.col("seed").cast("double").alias("s"), "seed"))
     key = ["kind", "side", "word"]

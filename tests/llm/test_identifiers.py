@@ -62,3 +62,11 @@ def test_contexts_find_more(spark):
     got = {r.doc_id: r for r in pii.personal_data(frame(spark, pairs)).collect()}
     assert (got[50].spans, got[50].n_found, got[50].n_phone) == ("phone:12:24", 1, 0)
     assert got[51].n_found == got[52].n_found == got[0].n_found == 0
+
+
+def test_contexts_of_discovered_instances_and_glued_contexts_count(spark):
+    pairs = [(k, f"dial +1 555 000 {1000 + k}") for k in range(20)] + [(100 + k, f"dial 555-10{k}0") for k in range(5)]
+    pairs += [(200 + k, f"ring 555-10{k}0") for k in range(5)] + [(300, "ring 555-7777")]  # `ring` never meets a fixed form
+    pairs += [(400 + k, f"tel:+1 555 111 {1000 + k}") for k in range(20)] + [(500, "tel:555-8888"), (600, "about 555-9999")]
+    found = {r.doc_id: r.n_found for r in pii.personal_data(frame(spark, pairs)).collect()}
+    assert (found[100], found[300], found[500], found[600]) == (1, 1, 1, 0)
