@@ -1,4 +1,4 @@
-"""Bronze load of one delivered source: scan, stage, one row per key, upsert."""
+"""Bronze load of one delivered source: scan, stage by verdict, one row per key, upsert into the buckets it touches."""
 
 from __future__ import annotations
 
@@ -8,27 +8,42 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions.text import is_present
 from terrace.operators.conform import conformed, relaxed
 from terrace.operators.dedup import (
     keep_last_in_file,
     keep_latest_date,
     keep_one,
-    rejected_count,
     with_keys_present,
 )
-from terrace.operators.upsert import upsert
 from terrace.schemas import LINEAGE_COLUMNS, Source, raw_schema, typed_schema
 from terrace.session import written
-from terrace.sources.files import WRONG_WIDTH, file_facts, scan_by_name, scan_typed, with_lineage, with_row_numbers
+from terrace.sources.buckets import upsert_buckets
+from terrace.sources.files import MALFORMED, WRONG_WIDTH, file_facts, scan_by_name, scan_typed, with_lineage, with_row_numbers
 from terrace.sources.layers import Layers
 
 
+# A staged line's verdict; each has a folder of its own in the staging table.
+VERDICT = "verdict"
+GOOD, NO_KEY, MALFORMED_LINE = "good", "no_key", "malformed"
+
+
 @dataclass(frozen=True)
 class LoadCounts:
     read: int
     inserted: int
     updated: int
-    rejected: int
+    rejected: int  # lines without a key
+    malformed: int = 0  # other lines of wrong width, or with a value that cannot be read
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """A published load: its counts, the audit rows of its files, and the rows of the buckets it wrote."""
+
+    counts: LoadCounts
+    audit: DataFrame
+    rewritten: DataFrame
 
 
 def one_row_per_key(staged: DataFrame, source: Source, blank_keys: str = "reject", prefer: str = "last_row") -> DataFrame:
@@ -45,13 +60,29 @@ def one_row_per_key(staged: DataFrame, source: Source, blank_keys: str = "reject
     return keep_last_in_file(keyed, source.keys)
 
 
+def _apart(layers: Layers, source: Source, rows: DataFrame) -> tuple[str, dict[str, int]]:
+    """Write lines into a fresh staging version, a folder for each verdict, in one pass; and how many each has."""
+    path = layers.new_path("staging", source.name)
+    rows.write.partitionBy(VERDICT).parquet(path)
+    counted = layers.read_paths([path], rows.schema).groupBy(VERDICT).count()
+    counts = {r[VERDICT]: r["count"] for r in counted.collect()}  # from footers, at most three rows
+    if not counts:
+        path = layers.write("staging", source.name, rows.limit(0))
+    return path, counts
+
+
 def stage(
     layers: Layers, source: Source, path: str, batch_id: str, loaded_at: datetime, keep_blank: bool = True,
-    multiline: bool = False,
-) -> str:
-    """Scan the files into a fresh staging version and return its path."""
+    multiline: bool = False, blank_keys: str = "reject",
+) -> tuple[str, dict[str, int]]:
+    """Scan the files into a fresh staging version; its path, and the number of lines of each verdict."""
     scan = scan_by_name(layers.spark, path, source.columns, keep_blank=keep_blank, multiline=multiline)
-    return layers.write("staging", source.name, with_lineage(scan, source.columns, batch_id, loaded_at))
+    keyed = F.lit(True)
+    for key in source.keys:
+        keyed &= is_present(F.col(key)) if blank_keys == "reject" else F.col(key).isNotNull()
+    verdict = F.when(~keyed, NO_KEY).when(F.col(WRONG_WIDTH), MALFORMED_LINE).otherwise(GOOD)
+    rows = with_lineage(scan, source.columns, batch_id, loaded_at).withColumn(VERDICT, verdict)
+    return _apart(layers, source, rows.drop(WRONG_WIDTH))
 
 
 def load_source(
@@ -65,51 +96,67 @@ def load_source(
     lineage: bool = True,
     keep_blank: bool = True,
     multiline: bool = False,
-) -> tuple[LoadCounts, DataFrame]:
+    malformed: str = "load",
+    buckets: int | None = None,
+) -> Loaded:
     """Upsert the delivered files into bronze and publish the new version.
 
-    Returns the counts and the audit rows of the files. Without ``lineage``
+    Lines without a key are rejected. Those with a wrong number of fields are
+    loaded as far as they go, or with ``malformed="quarantine"`` stay in staging. In either
+    case staging holds them apart, with the line as delivered (``quarantined``). Without ``lineage``
     the metadata columns stay NULL, which needs the relaxed schema. Empty
-    fields are empty text, or NULL without ``keep_blank``. Lines with a wrong
-    number of fields are loaded as far as they go and marked in staging. With
-    ``multiline`` quoted fields may hold line breaks.
+    fields are empty text, or NULL without ``keep_blank``. With
+    ``multiline`` quoted fields may hold line breaks. Only the buckets of keys that the
+    delivery touches are rewritten; their number follows the table unless given.
     """
-    staged_path = stage(layers, source, path, batch_id, loaded_at, keep_blank, multiline)
+    staged_path, lines = stage(layers, source, path, batch_id, loaded_at, keep_blank, multiline, blank_keys)
     staged = with_row_numbers(layers.read_path(staged_path))
-    schema = relaxed(raw_schema(source))
-    picked = one_row_per_key(staged.drop(WRONG_WIDTH), source, blank_keys, prefer)
+    admitted = [GOOD] if malformed == "quarantine" else [GOOD, MALFORMED_LINE]
+    delivered = staged.where(F.col(VERDICT).isin(admitted)).drop(VERDICT, MALFORMED)
+    picked = one_row_per_key(delivered, source, blank_keys, prefer)
     if not lineage:
         picked = picked.drop(*LINEAGE_COLUMNS)
-    incoming = written(conformed(picked, schema), "incoming")
-
-    target = layers.read("bronze", source.name)
-    merged = upsert(target, incoming, source.keys)
-    bronze_path = layers.write("bronze", source.name, merged)
-    layers.publish({("staging", source.name): staged_path, ("bronze", source.name): bronze_path}, loaded_at)
-
-    # Nothing is ever deleted, so counts of rows, read from file footers, tell
-    # inserts from updates; no counter depends on how often a task ran.
-    before, after, offered = target.count(), layers.read_path(bronze_path).count(), incoming.count()
-    rejected, read = rejected_count(staged, source.keys, blank_keys == "reject").first()
-    inserted = after - before
-    counts = LoadCounts(read, inserted, offered - inserted, rejected)
-    return counts, audited_files(layers, source, path, staged, loaded_at)
+    incoming = written(conformed(picked, relaxed(raw_schema(source))), "incoming")
+    merged = upsert_buckets(layers, "bronze", source.name, incoming, source.keys, buckets)
+    layers.publish({("staging", source.name): staged_path, ("bronze", source.name): merged.paths}, loaded_at)
+    counts = LoadCounts(
+        sum(lines.values()), merged.inserted, merged.updated, lines.get(NO_KEY, 0), lines.get(MALFORMED_LINE, 0)
+    )
+    table = layers.read("bronze", source.name)
+    touched = layers.read_paths(merged.rewritten, table.schema) if merged.rewritten else table.limit(0)
+    return Loaded(counts, audited_files(layers, source, path, staged, loaded_at), touched)
 
 
 def replace_source(
-    layers: Layers, source: Source, path: str, loaded_at: datetime, tolerate: bool = False
-) -> tuple[LoadCounts, DataFrame]:
+    layers: Layers, source: Source, path: str, loaded_at: datetime, tolerate: bool = False, malformed: str = "load",
+    multiline: bool = False,
+) -> Loaded:
     """Load the delivered files typed, replacing the bronze table.
 
-    A value of the wrong type fails the load, or is NULL when tolerated.
+    A value of the wrong type fails the load, or is NULL when tolerated. With
+    ``malformed="quarantine"`` the lines that hold one stay in staging. One pass writes
+    lines apart by verdict; the bronze table is the folders it admits.
     """
-    rows = scan_typed(layers.spark, path, typed_schema(source), tolerate=tolerate)
-    kept = rows.select(*source.columns, F.col("_metadata.file_path").alias("source_file"))
-    bronze_path = layers.write("bronze", source.name, kept)
-    layers.publish({("bronze", source.name): bronze_path}, loaded_at)
-    loaded = layers.read_path(bronze_path)
-    n = loaded.count()
-    return LoadCounts(n, n, 0, 0), audited_files(layers, source, path, loaded, loaded_at)
+    apart = malformed == "quarantine"
+    rows = scan_typed(layers.spark, path, typed_schema(source), tolerate=tolerate or apart, multiline=multiline)
+    line = F.col(MALFORMED) if tolerate or apart else F.lit(None).cast("string")
+    verdict = F.when(line.isNull(), GOOD).otherwise(MALFORMED_LINE)
+    origin = F.col("_metadata.file_path").alias("source_file")
+    staged_path, lines = _apart(layers, source, rows.select(*source.columns, origin, line.alias(MALFORMED), verdict.alias(VERDICT)))
+    admitted = [v for v in ([GOOD] if apart else [GOOD, MALFORMED_LINE]) if v in lines]
+    staged = layers.read_path(staged_path)
+    bronze = [f"{staged_path}/{VERDICT}={v}" for v in admitted]
+    bronze = bronze or [layers.write("bronze", source.name, staged.limit(0).drop(VERDICT))]
+    layers.publish({("staging", source.name): staged_path, ("bronze", source.name): bronze}, loaded_at)
+    n = sum(lines[v] for v in admitted)
+    counts = LoadCounts(sum(lines.values()), n, 0, 0, lines.get(MALFORMED_LINE, 0))
+    return Loaded(counts, audited_files(layers, source, path, staged, loaded_at), layers.read("bronze", source.name))
+
+
+def quarantined(layers: Layers, source: Source) -> DataFrame:
+    """Lines of the last delivery that are not as declared: verdict, the line as delivered, its file, and what could be read."""
+    held = layers.read("staging", source.name).where(F.col(VERDICT) != GOOD)
+    return held.select(VERDICT, F.col(MALFORMED).alias("line"), "source_file", *source.columns)
 
 
 def audited_files(layers: Layers, source: Source, path: str, loaded: DataFrame, loaded_at: datetime) -> DataFrame:

@@ -57,7 +57,7 @@ class RunLog:
         job = str(uuid.uuid4())
         values = {
             "job_run_id": job, "pipeline_name": name, "pl_status": "Running",
-            "started_at": self.clock(), "status_message": f"{name} started.",
+            "started_at": self.clock(), "status_message": f"{name}: under way",
         }
         self._started[job] = values
         self._append_one("job_runs", values)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
+from terrace.functions.convert import iso_date, to_bigint, to_money
 from terrace.operators import quality as q
 from terrace.operators.quality import Rule
 
@@ -53,11 +54,21 @@ def silver_rules(table: str, as_of: Column) -> list[Rule]:
     }[table]
 
 
-def bronze_rules(table: str) -> list[Rule]:
+# Raw columns a delivery must fill with readable values, where it fills them.
+_READABLE = {
+    "crm_cust_info": {"cst_id": to_bigint, "cst_create_date": iso_date},
+    "crm_prd_info": {"prd_id": to_bigint, "prd_cost": to_money, "prd_start_dt": iso_date, "prd_end_dt": iso_date},
+    "crm_sales_details": {"sls_cust_id": to_bigint, "sls_sales": to_money, "sls_quantity": to_bigint, "sls_price": to_money},
+    "erp_cust_az12": {"BDATE": iso_date},
+}
+
+
+def bronze_rules(table: str, typed: bool = False) -> list[Rule]:
+    """Recorded for the rows a load has written. Typed deliveries have no raw values left to be read."""
     rules = [q.unique_where_present(*_KEY[table])]
     if table == "crm_sales_details":
         rules += [q.valid_compact_date(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")]
-    return rules
+    return rules if typed else rules + [q.converts(c, f) for c, f in _READABLE.get(table, {}).items()]
 
 
 def gold_gates(table: str) -> list[Rule]:

@@ -15,7 +15,7 @@ from terrace.operators import quality as q
 from terrace.operators.conform import conformed, relaxed
 from terrace.operators.upsert import upsert
 from terrace.plans import gold, rules, silver
-from terrace.plans.bronze import LoadCounts, load_source, replace_source
+from terrace.plans.bronze import LoadCounts, Loaded, load_source, replace_source
 from terrace.plans.oplog import RunLog, utc_now
 from terrace.plans.presets import INCREMENTAL, Preset
 from terrace.schemas import GOLD, LAYERS, SILVER, SOURCES, Source, raw_schema
@@ -35,7 +35,12 @@ class CheckFailed(Exception):
 
 @dataclass
 class Warehouse:
-    """Where the tables live and how they are built."""
+    """Where the tables live and how they are built.
+
+    ``malformed`` lines are loaded as far as they go, or left in staging with
+    "quarantine". ``multiline`` admits line breaks in quoted fields. ``buckets`` is the number
+    of parts in which an upserted bronze table is rewritten; it follows the table unless given.
+    """
 
     spark: SparkSession
     root: str
@@ -44,6 +49,10 @@ class Warehouse:
     blank_keys: str = "reject"
     prefer: str = "last_row"
     tolerate_malformed: bool = False
+    malformed: str = "load"
+    multiline: bool = False
+    lineage: bool = True
+    buckets: int | None = None
     threads: int = 4
     clock: Callable[[], datetime] = utc_now
 
@@ -66,18 +75,22 @@ class Warehouse:
         for source in sources:
             task = self.log.start_task(job, f"bronze.{source.name}")
             try:
-                loaded, audit = self._load(source, paths[source.name], batch)
-                self.log.record_files(job, audit)
+                result = self._load(source, paths[source.name], batch)
+                loaded = result.counts
+                self.log.record_files(job, result.audit)
+                found = rules.bronze_rules(source.name, typed=self.preset.typed_bronze)
+                self._require(job, [checked(f"bronze.{source.name}", result.rewritten, [], found)])
             except Exception as error:
                 self._failed(job, f"bronze.{source.name}", error, task)
                 raise
             counts[source.name] = loaded
+            aside = f"; {loaded.malformed} malformed lines are in staging" if loaded.malformed else ""
             self.log.finish_task(
-                task, "Success", f"{source.name}: bronze table is up to date.",
+                task, "Success", f"{source.name}: bronze table is up to date{aside}.",
                 rows_read=loaded.read, rows_inserted=loaded.inserted,
                 rows_updated=loaded.updated, rows_rejected=loaded.rejected,
             )
-        self.log.finish_job(job, "Success", "bronze_load completed.")
+        self.log.finish_job(job, "Success", f"bronze_load: {len(counts)} sources in place")
         return counts
 
     def load_silver(self, rebuild: bool = True) -> None:
@@ -108,12 +121,14 @@ class Warehouse:
         self.publish_counts()
 
     # -- inside a step ----------------------------------------------------
-    def _load(self, source: Source, path: str, batch: str) -> tuple[LoadCounts, DataFrame]:
+    def _load(self, source: Source, path: str, batch: str) -> Loaded:
         if self.preset.typed_bronze:
-            return replace_source(self.layers, source, path, self.clock(), self.tolerate_malformed)
+            return replace_source(
+                self.layers, source, path, self.clock(), self.tolerate_malformed, self.malformed, self.multiline
+            )
         return load_source(
-            self.layers, source, path, batch, self.clock(), self.blank_keys, self.prefer,
-            keep_blank=not self.preset.typed_delivery,
+            self.layers, source, path, batch, self.clock(), self.blank_keys, self.prefer, self.lineage,
+            not self.preset.typed_delivery, self.multiline, self.malformed, self.buckets,
         )
 
     def _step(self, name: str, work: Callable[[str], None]) -> None:
@@ -123,7 +138,7 @@ class Warehouse:
         except Exception as error:
             self._failed(job, name, error)
             raise
-        self.log.finish_job(job, "Success", f"{name} completed.")
+        self.log.finish_job(job, "Success", f"{name}: tables in place")
 
     def _failed(self, job: str, where: str, error: Exception, task: str | None = None) -> None:
         message = str(error)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.operators import dedup, keys, quality
-from terrace.registry.inputs import TABLES, WITH_DIRTY, dirty_lines, sql_broken_measures, table
+from terrace.registry.inputs import GIVEN, WITH_DIRTY, dirty_lines, sql_broken_measures, table
 
 _LINE_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,"
@@ -62,12 +62,13 @@ def _any_row(spark, sf_dir):
 
 
 def _table_counts(spark, sf_dir):
-    return quality.row_counts({("data", name): table(spark, sf_dir, name) for name in TABLES})
+    return quality.row_counts({("data", name): table(spark, sf_dir, name) for name in GIVEN})
 
 
 def _continued(spark, sf_dir):
+    """Ids go on after the highest number among those of orders and all dirty texts."""
     existing = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
-    dirty = existing.unionByName(dirty_lines(spark, sf_dir).filter("l_linenumber = 3").select(F.col("raw_number").alias("id")))
+    dirty = existing.unionByName(dirty_lines(spark, sf_dir).select(F.col("raw_number").alias("id")))
     fresh = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return keys.continue_numbers(dirty, "id", fresh, ["c_custkey"])
 
@@ -119,7 +120,7 @@ ENTRIES = {
     "table_row_counts": (
         _table_counts,
         " UNION ALL ".join(
-            f"SELECT 'data' AS schema_name, '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES
+            f"SELECT 'data' AS schema_name, '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in GIVEN
         ),
     ),
     "distinct_values": (
@@ -182,8 +183,9 @@ ENTRIES = {
     ),
     "continued_numbers": (
         _continued,
-        "SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY c_custkey) AS id,"
-        " c_custkey, c_name FROM customer",
+        f"{WITH_DIRTY} SELECT (SELECT max(n) FROM (SELECT o_orderkey AS n FROM orders UNION ALL"
+        " SELECT try_cast(trim(raw_number) AS bigint) FROM dirty WHERE regexp_full_match(trim(raw_number), '[0-9]+')) i)"
+        " + row_number() OVER (ORDER BY c_custkey) AS id, c_custkey, c_name FROM customer",
     ),
     "continued_prefixed_text": (
         _continued_text,

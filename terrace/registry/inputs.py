@@ -14,6 +14,8 @@ from pyspark.sql.types import DateType, DecimalType, TimestampType
 from terrace.session import configured
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# All tables that are given.
+GIVEN = (*TABLES, "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # The day ages and future dates are judged on.
 AS_OF = "2002-03-01"

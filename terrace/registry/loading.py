@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from terrace.operators.conform import empty
+from terrace.plans import bronze
 from terrace.plans.bronze import load_source
 from terrace.plans.oplog import RunLog
+from terrace.plans.presets import CURRENT
+from terrace.plans.warehouse import Warehouse
 from terrace.registry.inputs import raw, table, with_raw
-from terrace.schemas import Source, raw_schema
+from terrace.schemas import SOURCE_BY_NAME, Source, raw_schema
 from terrace.session import fresh_path, written
 from terrace.sources import files
 from terrace.sources.layers import Layers
@@ -60,13 +63,73 @@ def _typed(spark, sf_dir):
 
 
 def _typed_tolerant(spark, sf_dir):
-    """The text column is declared as a number, so every value is malformed."""
-    schema = StructType(
-        [StructField("c_custkey", IntegerType()), StructField("c_name", StringType()),
-         StructField("c_mktsegment", IntegerType())]
+    """A column declared as a number holds one only for some segments."""
+    schema = StructType([StructField("c_custkey", IntegerType()), StructField("number", IntegerType()), StructField("c_mktsegment", StringType())])
+    number = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_nationkey").cast("string")).otherwise(F.col("c_name"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", number.alias("number"), "c_mktsegment")
+    found = files.scan_typed(spark, _exported(rows, "customers"), schema, tolerate=True)
+    return found.select("c_custkey", "number", "c_mktsegment", F.col(files.MALFORMED).isNotNull().alias("malformed"))
+
+
+# Lines of birth facts: some short, some long, some with a date nobody can read, some with quotes and commas.
+MESSY = """
+SELECT id, c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') AS bad, CASE c_mktsegment
+  WHEN 'BUILDING' THEN id || ',' || born
+  WHEN 'MACHINERY' THEN id || ',' || born || ',M,more'
+  WHEN 'HOUSEHOLD' THEN id || ',soon,' || c_name
+  WHEN 'FURNITURE' THEN id || ',' || born || ',"' || c_name || ', ""the"" one"'
+  ELSE id || ',' || born || ',' || c_name END AS line,
+  CASE WHEN c_mktsegment = 'FURNITURE' THEN c_name || ', "the" one' ELSE c_name END AS name, born
+FROM (SELECT *, 'AW' || cast(c_custkey AS {text}) AS id, '1990-05-' || cast(c_nationkey + 5 AS {text}) AS born
+  FROM {customer} WHERE c_nationkey BETWEEN 5 AND 25) c"""
+_BIRTHS = SOURCE_BY_NAME["erp_cust_az12"]
+
+
+def _messy_file(spark, sf_dir):
+    """Four files of such lines, each below its header."""
+    table(spark, sf_dir, "customer").createOrReplaceTempView("messy_customers")
+    lines = spark.sql(MESSY.format(text="string", customer="messy_customers"))
+    lines = lines.select("line", F.pmod(F.hash("id"), F.lit(4)).alias("part"), F.lit(1).alias("place"))
+    headers = spark.range(4).select(F.lit("CID,BDATE,GEN").alias("line"), F.col("id").cast("int").alias("part"), F.lit(0).alias("place"))
+    path = fresh_path(spark, "messy")
+    lines.unionByName(headers).repartition(4, "part").sortWithinPartitions("part", "place").select("line", "part").write.partitionBy("part").text(path)
+    return path
+
+
+def _quarantined(spark, sf_dir):
+    """Good lines loaded typed, all others kept as delivered, both from one pass, and the counts of the load."""
+    warehouse = Warehouse(spark, fresh_path(spark, "warehouse"), preset=CURRENT, malformed="quarantine")
+    counts = warehouse.load_bronze({_BIRTHS.name: _messy_file(spark, sf_dir)}, [_BIRTHS])[_BIRTHS.name]
+    good = warehouse.layers.read("bronze", _BIRTHS.name).select(
+        F.lit("good").alias("verdict"), F.lit(None).cast("string").alias("line"), "CID", F.col("BDATE").cast("string").alias("BDATE"), "GEN"
+    )
+    nothing = [F.lit(None).cast("string").alias(c) for c in _BIRTHS.columns]
+    bad = bronze.quarantined(warehouse.layers, _BIRTHS).select("verdict", "line", *nothing)
+    told = {"lines_read": counts.read, "lines_loaded": counts.inserted, "lines_malformed": counts.malformed}
+    return good.unionByName(bad).select("*", *[F.lit(n).cast("bigint").alias(c) for c, n in told.items()])
+
+
+def _quarantined_sql():
+    return (
+        f"WITH messy AS ({MESSY.format(text='varchar', customer='customer')}) SELECT CASE WHEN bad THEN 'malformed' ELSE 'good' END AS verdict,"
+        " CASE WHEN bad THEN line END AS line, CASE WHEN NOT bad THEN id END AS \"CID\", CASE WHEN NOT bad THEN born END AS \"BDATE\","
+        " CASE WHEN NOT bad THEN name END AS \"GEN\", (SELECT count(*) FROM messy) AS lines_read,"
+        " (SELECT count(*) FROM messy WHERE NOT bad) AS lines_loaded, (SELECT count(*) FROM messy WHERE bad) AS lines_malformed FROM messy"
+    )
+
+
+def _quoted(spark, sf_dir):
+    """Fields with delimiters, doubled quotes and line breaks, exported and loaded by the warehouse."""
+    source = SOURCE_BY_NAME["erp_loc_a101"]
+    rows = table(spark, sf_dir, "customer").select(
+        F.concat(F.col("c_custkey").cast("string"), F.lit(', "x"')).alias("CID"),
+        F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('", end\n')).alias("CNTRY"),
     )
-    rows = files.scan_typed(spark, _customer_file(spark, sf_dir), schema, tolerate=True)
-    return rows.select("c_custkey", "c_mktsegment", F.col(files.MALFORMED).isNotNull().alias("malformed"))
+    warehouse = Warehouse(spark, fresh_path(spark, "warehouse"), multiline=True, malformed="quarantine")
+    warehouse.set_up()
+    counts = warehouse.load_bronze({source.name: _exported(rows, "quoted")}, [source])[source.name]
+    found = warehouse.layers.read("bronze", source.name).select("CID", "CNTRY")
+    return found.withColumn("malformed", F.lit(counts.malformed).cast("bigint"))
 
 
 def _lineage(spark, sf_dir):
@@ -80,26 +143,29 @@ def _lineage(spark, sf_dir):
 
 
 def _row_numbers(spark, sf_dir):
-    """Lines sorted by order in several files; numbers must follow the order."""
+    """Lines sorted in several files. Numbers must follow the order: the weighted sum falls with any other numbering."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     lines = table(spark, sf_dir, "lineitem").select(*keys)
-    path = _exported(lines.repartitionByRange(5, *keys).sortWithinPartitions(*keys), "lines")
+    path = _exported(lines.repartitionByRange(5, "l_orderkey").sortWithinPartitions(*keys), "lines")
     staged = written(files.scan_by_name(spark, path, keys), "staged")
     numbered = files.with_row_numbers(staged)
-    per_file = numbered.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n"), F.max("source_row_number").alias("top"),
-        F.min("source_row_number").alias("low"), F.countDistinct("source_row_number").alias("d"),
-        F.sum(F.col("source_row_number") * F.col("l_orderkey").cast("bigint")).alias("weight"),
+    # A file's numbers start anew; with the rows of files before it they count through the table.
+    sizes = numbered.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("l_orderkey").cast("bigint")).alias("first"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.first") < F.col("a.first"), "left").groupBy(F.col("a.source_file").alias("source_file")).agg(
+        F.coalesce(F.sum("b.n"), F.lit(0)).alias("before")
+    )
+    through = numbered.join(before, "source_file").withColumn("number", F.col("before") + F.col("source_row_number"))
+    return through.agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("number").alias("numbers"), F.max("number").alias("highest"),
+        F.sum(F.col("number") * F.col("l_orderkey").cast("bigint")).alias("weight"),
     )
-    # Every order key grows with the row number, so no other numbering of a
-    # file reaches a larger weighted sum.
-    wrong = (F.col("top") != F.col("n")) | (F.col("low") != 1) | (F.col("d") != F.col("n"))
-    return per_file.agg(F.sum("n").alias("row_count"), F.count_if(wrong).alias("wrong_files"))
 
 
 def _export_round_trip(spark, sf_dir):
-    path = _exported(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"), "parts")
-    back = spark.read.option("header", True).schema("p_partkey bigint, p_name string, p_brand string").csv(path)
+    """Names with quotes and commas, exported and read back; lines end in CR LF."""
+    name = F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"'))
+    path = _exported(table(spark, sf_dir, "part").select("p_partkey", name.alias("p_name"), "p_brand"), "parts")
+    back = files.scan_typed(spark, path, StructType([StructField("p_partkey", LongType()), StructField("p_name", StringType()), StructField("p_brand", StringType())]))
     lines = spark.read.text(path, lineSep="\n").filter("value like 'p_partkey,p_name,p_brand%'")
     return back.withColumn("crlf", F.lit(lines.filter("value like '%\r'").count() == lines.count()))
 
@@ -132,8 +198,9 @@ def _two_loads(spark, sf_dir):
     for label, rows in deliveries.items():
         task = log.start_task(job, label)
         path = _exported(rows, label)
-        counts, audit = load_source(layers, _CUSTOMERS, path, _BATCH, _AT, prefer="latest_date")
-        log.record_files(job, audit)
+        loaded = load_source(layers, _CUSTOMERS, path, _BATCH, _AT, prefer="latest_date")
+        counts = loaded.counts
+        log.record_files(job, loaded.audit)
         log.finish_task(
             task, "Success", "loaded", rows_read=counts.read, rows_inserted=counts.inserted,
             rows_updated=counts.updated, rows_rejected=counts.rejected,
@@ -197,8 +264,14 @@ ENTRIES = {
     "csv_typed": (_typed, "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"),
     "csv_typed_tolerant": (
         _typed_tolerant,
-        "SELECT cast(c_custkey AS integer) AS c_custkey, cast(NULL AS integer) AS c_mktsegment, true AS malformed"
-        " FROM customer",
+        "SELECT cast(c_custkey AS integer) AS c_custkey, cast(CASE WHEN c_mktsegment = 'BUILDING' THEN c_nationkey END AS integer)"
+        " AS number, c_mktsegment, c_mktsegment <> 'BUILDING' AS malformed FROM customer",
+    ),
+    "csv_quarantined": (_quarantined, _quarantined_sql()),
+    "csv_quoted_through_warehouse": (
+        _quoted,
+        "SELECT cast(c_custkey AS varchar) || ', \"x\"' AS \"CID\", c_name || chr(10) || '\"' || c_mktsegment || '\", end' || chr(10) AS \"CNTRY\","
+        " cast(0 AS bigint) AS malformed FROM customer",
     ),
     "lineage_and_row_hash": (
         _lineage,
@@ -208,9 +281,13 @@ ENTRIES = {
     ),
     "file_row_numbers": (
         _row_numbers,
-        "SELECT count(*) AS row_count, cast(0 AS bigint) AS wrong_files FROM lineitem",
+        "SELECT count(*) AS row_count, count(*) AS numbers, count(*) AS highest, cast(sum(number * l_orderkey) AS bigint) AS weight FROM"
+        " (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) AS number FROM lineitem) l",
+    ),
+    "csv_export": (
+        _export_round_trip,
+        "SELECT p_partkey, p_name || ', \"' || p_brand || '\"' AS p_name, p_brand, true AS crlf FROM part",
     ),
-    "csv_export": (_export_round_trip, "SELECT p_partkey, p_name, p_brand, true AS crlf FROM part"),
     "source_file_facts": (_file_facts, None),
     "bronze_load": (
         _bronze_rows,

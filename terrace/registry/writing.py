@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType
 
 from terrace.functions.convert import iso_date, to_money
 from terrace.functions.text import clipped
@@ -14,6 +14,7 @@ from terrace.operators.conform import conformed, empty, field, varchar, with_def
 from terrace.registry.inputs import WITH_DIRTY, dirty_lines, portable, table
 from terrace.schemas import DATE, MONEY
 from terrace.session import fresh_path
+from terrace.sources.buckets import bucket_of, upsert_buckets
 from terrace.sources.layers import Layers
 
 _STAMP = "2002-03-01 00:00:00"
@@ -54,6 +55,38 @@ def _counts(spark, sf_dir):
     return upsert.action_counts(_merged(spark, sf_dir), "action")
 
 
+def _in_buckets(spark, sf_dir):
+    """Customers in 32 buckets, then a delivery of one nation's rich ones and a new customer; who kept a folder kept it."""
+    layers = _layers(spark)
+    schema = StructType([field("c_custkey", LongType()), field("c_name", StringType()), field("c_acctbal", DoubleType())])
+    layers.recreate({("bronze", "customer"): schema}, _AT)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    rich = customers.filter("c_nationkey = 7 AND c_acctbal > 9000")
+    delivery = rich.select("c_custkey", (-F.col("c_acctbal")).alias("c_acctbal")).unionByName(
+        spark.range(1).select(F.lit(-1).cast("bigint").alias("c_custkey"), F.lit(1.0).alias("c_acctbal"))
+    )
+    before: set[str] = set()
+    results = []
+    for rows in (customers.drop("c_nationkey"), delivery):
+        found = upsert_buckets(layers, "bronze", "customer", rows, ["c_custkey"], 32)
+        layers.publish({("bronze", "customer"): found.paths}, _AT)
+        touched = rows.select(bucket_of(layers.read("bronze", "customer"), ["c_custkey"], 32)).distinct().count()
+        as_due = len(found.rewritten) == touched and before - set(found.paths) <= before and len(before & set(found.paths)) == max(0, len(before) - touched)
+        results.append((as_due, found.inserted, found.updated))
+        before = set(found.paths)
+    (_, _, _), (as_due, inserted, updated) = results
+    return layers.read("bronze", "customer").select(
+        "*", F.lit(as_due).alias("others_kept"), F.lit(inserted).cast("bigint").alias("inserted"), F.lit(updated).cast("bigint").alias("updated")
+    )
+
+
+_IN_BUCKETS_SQL = """
+WITH rich AS (SELECT c_custkey FROM customer WHERE c_nationkey = 7 AND c_acctbal > 9000),
+rows_after AS (SELECT c_custkey, c_name, CASE WHEN c_custkey IN (SELECT c_custkey FROM rich) THEN -c_acctbal ELSE c_acctbal END AS c_acctbal
+  FROM customer UNION ALL SELECT -1, NULL, 1.0)
+SELECT *, true AS others_kept, cast(1 AS bigint) AS inserted, (SELECT count(*) FROM rich) AS updated FROM rows_after"""
+
+
 def _layers(spark):
     return Layers(spark, fresh_path(spark, "warehouse"))
 
@@ -111,18 +144,22 @@ def _through_views(spark, sf_dir):
 
 
 def _through_databases(spark, sf_dir):
-    """One database per layer; creating and registering again is harmless."""
-    layers = _layers(spark)
-    layers.replace("silver", "customer", table(spark, sf_dir, "customer"), _AT)
-    layers.replace("gold", "nation", table(spark, sf_dir, "nation"), _AT)
+    """One database per layer; views registered once read what is published later, a stored query over them too."""
+    layers = Layers(spark, fresh_path(spark, "warehouse"), prefix="terrace_")
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    layers.replace("silver", "customer", customers.filter("c_nationkey = 3"), _AT)
+    layers.replace("gold", "nation", nations, _AT)
     for _ in range(2):
         layers.create_databases(("silver", "gold"))
         layers.register("silver")
         layers.register("gold")
-    nations = spark.table("gold.nation")
-    return spark.table("silver.customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", "n_name"
+    layers.define_view_in(
+        "gold", "customer_country",
+        "SELECT c_custkey, n_name FROM terrace_silver.customer JOIN terrace_gold.nation ON c_nationkey = n_nationkey",
     )
+    before = spark.table("terrace_gold.customer_country").count()
+    layers.replace("silver", "customer", customers, _AT)
+    return spark.table("terrace_gold.customer_country").withColumn("before", F.lit(before).cast("bigint"))
 
 
 _SCHEMA = StructType(
@@ -166,6 +203,7 @@ def _relaxed(spark, sf_dir):
 ENTRIES = {
     "upsert_large_source": (lambda s, d: portable(_merged(s, d)), _MERGED_SQL),
     "upsert_measured_source": (lambda s, d: portable(_merged(s, d)), _MERGED_SQL),
+    "upsert_in_buckets": (_in_buckets, _IN_BUCKETS_SQL),
     "upsert_counts": (
         _counts,
         "SELECT count(*) FILTER (WHERE o_orderdate >= '1999-01-01') AS rows_inserted,"
@@ -184,7 +222,8 @@ ENTRIES = {
     ),
     "layer_databases": (
         _through_databases,
-        "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
+        "SELECT c_custkey, n_name, (SELECT count(*) FROM customer WHERE c_nationkey = 3) AS before"
+        " FROM customer JOIN nation ON c_nationkey = n_nationkey",
     ),
     "schema_conformed": (
         _conformed,

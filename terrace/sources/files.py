@@ -34,7 +34,8 @@ def scan_by_name(
 
     A column the file lacks is the empty string. An empty field reads as NULL,
     or as the empty string with ``keep_blank``; in a line with the wrong
-    number of fields the missing ones stay NULL, and ``wrong_width`` is true.
+    number of fields the missing ones stay NULL, ``wrong_width`` is true and
+    ``_malformed_line`` holds the line.
     Every file under the path must carry the same header. A quoted field may
     hold line breaks only with ``multiline``, which reads each file in one task.
     """
@@ -57,7 +58,7 @@ def scan_by_name(
         else:
             value = _named(c)
         chosen.append(value.alias(c))
-    return raw.select(*chosen, F.col(MALFORMED).isNotNull().alias(WRONG_WIDTH), *_origin())
+    return raw.select(*chosen, F.col(MALFORMED).isNotNull().alias(WRONG_WIDTH), MALFORMED, *_origin())
 
 
 def _named(c: str) -> Column:

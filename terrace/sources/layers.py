@@ -3,13 +3,14 @@
 A load never changes files that readers may be using: each table is written
 to a fresh directory, and one appended manifest line switches every table of
 the step at once. A failed step leaves the manifest, and so all readers, on
-the previous state. One writer per warehouse is assumed.
+the previous state. A version may consist of several directories, of which a
+later one keeps those it did not change. One writer per warehouse is assumed.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -19,26 +20,29 @@ from pyspark.sql.types import StructType
 
 from terrace.operators.conform import empty, relaxed
 
-_MANIFEST = "sequence bigint, published_at timestamp, tables map<string,string>"
+_MANIFEST = "sequence bigint, published_at timestamp, tables map<string,array<string>>"
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
+        """``prefix`` is put before the names of the layers' databases."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self._known: tuple[int, dict[str, str]] | None = None
+        self.prefix = prefix
+        self._known: tuple[int, dict[str, list[str]]] | None = None
+        self._followed: set[str] = set()
 
     # -- manifest ---------------------------------------------------------
     def refresh(self) -> None:
         """Look at the manifest again; needed when another session published."""
         self._known = None
 
-    def _state(self) -> tuple[int, dict[str, str]]:
+    def _state(self) -> tuple[int, dict[str, list[str]]]:
         if self._known is None:
             self._known = self._last_line()
         return self._known
 
-    def _last_line(self) -> tuple[int, dict[str, str]]:
+    def _last_line(self) -> tuple[int, dict[str, list[str]]]:
         """Sequence and paths in force; one small row reaches the driver."""
         try:
             log = self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest")
@@ -49,15 +53,18 @@ class Layers:
             last = None
         return (last["sequence"], dict(last["tables"])) if last else (0, {})
 
-    def publish(self, paths: Mapping[tuple[str, str], str], at: datetime) -> int:
-        """Switch the given tables to their new versions, all at once."""
+    def publish(self, paths: Mapping[tuple[str, str], str | Sequence[str]], at: datetime) -> int:
+        """Switch the given tables to their new versions, all at once; registered views follow."""
         sequence, tables = self._state()
         tables = dict(tables)
-        tables.update({f"{layer}.{table}": path for (layer, table), path in paths.items()})
+        tables.update({f"{layer}.{table}": [p] if isinstance(p, str) else list(p) for (layer, table), p in paths.items()})
         row = [(sequence + 1, at, tables)]
         line = self.spark.createDataFrame(row, _MANIFEST).coalesce(1)
         line.write.mode("append").json(f"{self.root}/_manifest")
         self._known = (sequence + 1, tables)
+        for layer, table in paths:
+            if layer in self._followed:
+                self._point(layer, table)
         return sequence + 1
 
     # -- tables -----------------------------------------------------------
@@ -73,11 +80,19 @@ class Layers:
     def exists(self, layer: str, table: str) -> bool:
         return f"{layer}.{table}" in self._state()[1]
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        path = self._state()[1].get(f"{layer}.{table}")
-        if path is None:
+    def paths(self, layer: str, table: str) -> list[str]:
+        """The directories of the version in force."""
+        found = self._state()[1].get(f"{layer}.{table}")
+        if found is None:
             raise KeyError(f"table {layer}.{table} was never published")
-        return self.spark.read.parquet(path)
+        return found
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        return self.read_paths(self.paths(layer, table))
+
+    def read_paths(self, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*paths)
 
     def read_path(self, path: str) -> DataFrame:
         return self.spark.read.parquet(path)
@@ -124,11 +139,19 @@ class Layers:
         """
         for layer in layers:
             folder = f"{self.root}/_catalog/{layer}"
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{folder}'")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}` LOCATION '{folder}'")
 
     def register(self, layer: str) -> None:
-        """Register the current versions as tables of the layer's database."""
+        """Make a layer's tables readable as views of its database, which follow every later publish of this session."""
+        self._followed.add(layer)
         for name, table in self.tables(layer):
-            path = self._state()[1][f"{name}.{table}"]
-            self.spark.sql(f"DROP TABLE IF EXISTS `{name}`.`{table}`")
-            self.spark.sql(f"CREATE TABLE `{name}`.`{table}` USING parquet LOCATION '{path}'")
+            self._point(name, table)
+
+    def _point(self, layer: str, table: str) -> None:
+        """Readers of the view see the old version or the new one; it is never absent."""
+        every = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in self.paths(layer, table))
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{self.prefix}{layer}`.`{table}` AS {every}")
+
+    def define_view_in(self, layer: str, name: str, query: str) -> None:
+        """Keep a query over registered views as a view of a layer's database; nothing is stored."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{self.prefix}{layer}`.`{name}` AS {query}")

@@ -129,9 +129,13 @@ def test_catalog_tables(spark, folder):
     layers.create_databases(("silver",))
     layers.replace("silver", "numbers", spark.range(3), at(1))
     layers.register("silver")
-    layers.replace("silver", "numbers", spark.range(5), at(2))
-    layers.register("silver")
-    assert spark.table("silver.numbers").count() == 5
+    layers.define_view_in("silver", "large", "SELECT id FROM silver.numbers WHERE id > 1")
+    assert (spark.table("silver.numbers").count(), spark.table("silver.large").count()) == (3, 1)
+    layers.replace("silver", "numbers", spark.range(5), at(2))  # views follow what is published
+    assert (spark.table("silver.numbers").count(), spark.table("silver.large").count()) == (5, 3)
+    layers.publish({("silver", "numbers"): [layers.write("silver", "numbers", spark.range(k)) for k in (2, 4)]}, at(3))
+    assert spark.table("silver.numbers").count() == 6 == layers.read("silver", "numbers").count()
+    layers.replace("silver", "numbers", spark.range(5), at(4))
     spark.sql("DROP DATABASE silver CASCADE")
     assert layers.read("silver", "numbers").count() == 5
 

@@ -10,6 +10,7 @@ from conftest import BIRTHS, SALES, at, deliver, rows
 from pyspark.sql import functions as F
 
 from terrace.plans import presets
+from terrace.plans.bronze import quarantined
 from terrace.plans.warehouse import CheckFailed, Warehouse
 from terrace.schemas import SOURCE_BY_NAME
 
@@ -192,6 +193,69 @@ def test_blank_keys_kept_on_request(spark, folder):
     assert rows(bronze.filter("CID = 'AW9'"), "BDATE", "GEN") == [("1981-01-01", None)]
 
 
+def test_only_touched_buckets_are_rewritten(spark, folder):
+    source = SOURCE_BY_NAME["erp_cust_az12"]
+    w = warehouse(spark, folder, buckets=8)
+    w.set_up()
+    many = "CID,BDATE,GEN\r\n" + "".join(f"AW{k},1980-01-01,M\r\n" for k in range(200))
+    first = w.load_bronze(deliver(folder, erp_cust_az12=many), [source])["erp_cust_az12"]
+    before = w.layers.paths("bronze", source.name)
+    assert (first.inserted, first.updated) == (200, 0) and len(before) == 8
+    few = "CID,BDATE,GEN\r\nAW7,1999-09-09,F\r\nNEW,1990-01-01,M\r\n"
+    second = w.load_bronze(deliver(folder, erp_cust_az12=few), [source])["erp_cust_az12"]
+    after = w.layers.paths("bronze", source.name)
+    assert (second.read, second.inserted, second.updated) == (2, 1, 1)
+    assert len(set(before) - set(after)) in (1, 2) and len(after) == 8
+    bronze = w.layers.read("bronze", source.name)
+    assert bronze.count() == 201 and "bucket" not in bronze.columns
+    assert rows(bronze.filter("CID in ('AW7', 'AW8')"), "CID", "BDATE") == [("AW7", "1999-09-09"), ("AW8", "1980-01-01")]
+    # A delivery without lines changes nothing; another number of buckets rewrites the table once.
+    w.load_bronze(deliver(folder, erp_cust_az12="CID,BDATE,GEN\r\n"), [source])
+    assert w.layers.paths("bronze", source.name) == after
+    w.buckets = 3
+    w.load_bronze(deliver(folder, erp_cust_az12=few), [source])
+    assert len(w.layers.paths("bronze", source.name)) == 3 and w.layers.read("bronze", source.name).count() == 201
+
+
+def test_malformed_lines_are_kept_apart(spark, folder):
+    source = SOURCE_BY_NAME["erp_cust_az12"]
+    text = BIRTHS + ",1980-01-01,M\r\nAW8,1981-01-01\r\nAW9,1982-02-02,F,more\r\n"
+    w = warehouse(spark, folder, malformed="quarantine")
+    w.set_up()
+    counts = w.load_bronze(deliver(folder, erp_cust_az12=text), [source])["erp_cust_az12"]
+    assert (counts.read, counts.inserted, counts.rejected, counts.malformed) == (6, 3, 1, 2)
+    assert rows(quarantined(w.layers, source), "verdict", "line", "CID") == [
+        ("malformed", "AW8,1981-01-01", "AW8"), ("malformed", "AW9,1982-02-02,F,more", "AW9"), ("no_key", None, "")
+    ]
+    assert "2 malformed" in w.log.task_runs().first().status_message
+    assert rows(w.layers.read("bronze", source.name).filter("CID like 'AW%'"), "CID") == [("AW2",), ("AW3",)]
+    typed = warehouse(spark, folder + "/typed", preset=presets.CURRENT, malformed="quarantine")
+    counts = typed.load_bronze(deliver(folder, erp_cust_az12=text.replace("2000-02-29", "soon")), [source])["erp_cust_az12"]
+    assert (counts.read, counts.inserted, counts.malformed) == (6, 3, 3)
+    assert rows(quarantined(typed.layers, source), "line") == [("AW3,soon,M",), ("AW8,1981-01-01",), ("AW9,1982-02-02,F,more",)]
+    assert rows(typed.layers.read("bronze", source.name), "CID", "BDATE") == [
+        (None, D(1980, 1, 1)), ("AW2", D(2999, 1, 1)), ("NASAW1", D(1990, 5, 5))
+    ]
+
+
+def test_lines_over_lines_and_no_lineage(spark, folder):
+    source = SOURCE_BY_NAME["erp_px_cat_g1v2"]
+    text = 'ID,CAT,SUBCAT,MAINTENANCE\r\n"A,1","say ""hi""","two\nlines",Yes\r\nB,,x,No\r\n'
+    w = warehouse(spark, folder, multiline=True, lineage=False)
+    w.set_up()
+    w.load_bronze(deliver(folder, erp_px_cat_g1v2=text), [source])
+    bronze = w.layers.read("bronze", source.name)
+    assert rows(bronze, "ID", "CAT", "SUBCAT", "batch_id") == [("A,1", 'say "hi"', "two\nlines", None), ("B", "", "x", None)]
+
+
+def test_bronze_rules_are_recorded(loaded):
+    w, _ = loaded
+    found = {(r.model_name, r.test_name): r.failed_row_count for r in w.log.read("data_quality_results").orderBy("checked_at").collect()}
+    assert found[("bronze.crm_sales_details", "valid_date_sls_order_dt")] == 1
+    assert found[("bronze.crm_cust_info", "converts_cst_create_date")] == 1
+    assert found[("bronze.crm_cust_info", "natural_key_cst_id")] == 0
+
+
 def test_country_map_can_be_replaced(spark):
     from terrace.plans.silver import locations
 
