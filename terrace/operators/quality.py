@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from terrace.functions.convert import to_bigint
 from terrace.functions.text import has_outer_blanks, is_present, text_length
 from terrace.operators.history import next_in_key
+from terrace.operators.joins import key_combinations, with_known
 from terrace.operators.joins import unconnected as unconnected_rows
 
 # The allowed results of a check.
@@ -44,6 +45,13 @@ class Rule:
         return df.filter(self.broken()) if self.find is None else self.find(df)
 
 
+@dataclass(frozen=True)
+class RuleSet:
+    """Rules that are counted together: ``count`` gives test_name, _severity, failed_row_count, details."""
+
+    count: Callable[[DataFrame], DataFrame]
+
+
 def duplicates(df: DataFrame, columns: Sequence[str], name: str = "duplicate_count") -> DataFrame:
     """Each value combination that occurs more than once, NULL being a value."""
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > 1)
@@ -185,6 +193,38 @@ def connected(dimensions: Sequence[tuple[str, DataFrame, str]], severity: str =
     return Rule(name, find=lambda df: unconnected_rows(df, dimensions), severity=severity)
 
 
+def relations(
+    dimensions: Sequence[tuple[str, DataFrame, str]], delivered: DataFrame | None = None, severity: str = FAIL
+) -> RuleSet:
+    """``related`` of each dimension, ``connected`` of all, and that there are as many rows as ``delivered``, from one scan.
+
+    The fact is aggregated to its key combinations; all rules are sums over these. More
+    or fewer rows than delivered mean that a join has multiplied or lost some.
+    """
+    columns = [c for c, _, _ in dimensions]
+
+    def count(df: DataFrame) -> DataFrame:
+        expected = delivered.count() if delivered is not None else None  # from file footers
+        judged = with_known(key_combinations(df, list(dict.fromkeys(columns))), dimensions)
+        known = [F.col(f"_known_{i}") for i in range(len(columns))]
+        tests = [(f"related_{c}", severity, F.col(c).isNotNull() & ~k, [c]) for c, k in zip(columns, known)]
+        tests.append((f"connected_{'_'.join(columns)}", WARN, ~reduce(and_, known), columns))
+        sums = [F.sum(F.when(broken, F.col("row_count"))) for _, _, broken, _ in tests]
+        shown = [F.min(F.when(broken, told(c))) for _, _, broken, c in tests]
+        one = judged.agg(
+            F.coalesce(F.sum("row_count"), F.lit(0)).alias("_rows"),
+            *[F.coalesce(n, F.lit(0)).alias(f"_n{i}") for i, n in enumerate(sums)], *[d.alias(f"_d{i}") for i, d in enumerate(shown)],
+        )
+        lines = [_line(name, level, F.col(f"_n{i}"), F.col(f"_d{i}")) for i, (name, level, _, _) in enumerate(tests)]
+        if expected is not None:
+            apart = F.abs(F.col("_rows") - expected)
+            shown = F.when(apart > 0, F.concat(F.col("_rows").cast("string"), F.lit(f" rows of {expected} delivered")))
+            lines.append(_line("rows_as_delivered", severity, apart, shown))
+        return one.select(F.inline(F.array(*lines)))
+
+    return RuleSet(count)
+
+
 def no_overlap(
     keys: Sequence[str], start: str, end: str, tie: Sequence[str] = ()
 ) -> Rule:
@@ -198,42 +238,49 @@ def no_overlap(
     return Rule(f"no_overlap_{start}", find=find, severity=WARN)
 
 
-def summarized(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: model_name, test_name, test_status, failed_row_count."""
+def told(columns: Sequence[str]) -> Column:
+    """Columns of a row as text, those that are NULL left out."""
+    shown = [F.concat(F.lit(f"{c}="), F.col(f"`{c}`").cast("string")) for c in columns]
+    return F.concat_ws(", ", *shown)
+
+
+def _line(name: str, severity: str, failed: Column, details: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("test_name"), F.lit(severity).alias("_severity"), failed.alias("failed_row_count"), details.alias("details")
+    )
+
+
+def summarized(model: str, df: DataFrame, rules: Sequence[Rule | RuleSet], shown: Sequence[str] | None = None) -> DataFrame:
+    """One row per rule: model_name, test_name, test_status, failed_row_count, details.
+
+    ``details`` is the smallest of the violating rows' texts, gathered with the count:
+    of rules on rows the columns ``shown`` (default: all), of others what they find.
+    """
     parts: list[DataFrame] = []
-    row_rules = [r for r in rules if r.find is None]
+    row_rules = [r for r in rules if isinstance(r, Rule) and r.find is None]
     if row_rules:
+        text = told([c for c, t in df.dtypes if t != "binary"] if shown is None else shown)
         counts = df.agg(
-            *[F.count_if(r.broken()).alias(f"_r{i}") for i, r in enumerate(row_rules)]
-        )
-        entries = F.array(
-            *[
-                F.struct(
-                    F.lit(r.name).alias("test_name"),
-                    F.lit(r.severity).alias("_severity"),
-                    F.col(f"_r{i}").alias("failed_row_count"),
-                )
-                for i, r in enumerate(row_rules)
-            ]
+            *[F.count_if(r.broken()).alias(f"_n{i}") for i, r in enumerate(row_rules)],
+            *[F.min(F.when(r.broken(), text)).alias(f"_d{i}") for i, r in enumerate(row_rules)],
         )
-        parts.append(counts.select(F.inline(entries)))
+        lines = [_line(r.name, r.severity, F.col(f"_n{i}"), F.col(f"_d{i}")) for i, r in enumerate(row_rules)]
+        parts.append(counts.select(F.inline(F.array(*lines))))
     for r in rules:
-        if r.find is not None:
-            parts.append(
-                r.violations(df)
-                .agg(F.coalesce(F.sum(r.weight), F.lit(0)).alias("failed_row_count") if r.weight else F.count(F.lit(1)).alias("failed_row_count"))
-                .select(
-                    F.lit(r.name).alias("test_name"),
-                    F.lit(r.severity).alias("_severity"),
-                    "failed_row_count",
-                )
-            )
+        if isinstance(r, RuleSet):
+            parts.append(r.count(df))
+        elif r.find is not None:
+            found = r.violations(df)
+            failed = F.coalesce(F.sum(r.weight), F.lit(0)) if r.weight else F.count(F.lit(1))
+            text = told([c for c, t in found.dtypes if t != "binary"])
+            line = found.agg(failed.alias("_n"), F.min(text).alias("_d"))
+            parts.append(line.select(F.inline(F.array(_line(r.name, r.severity, F.col("_n"), F.col("_d"))))))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
     status = F.when(F.col("failed_row_count") == 0, PASS).otherwise(F.col("_severity"))
     return every.select(
-        F.lit(model).alias("model_name"), "test_name", status.alias("test_status"), "failed_row_count"
+        F.lit(model).alias("model_name"), "test_name", status.alias("test_status"), "failed_row_count", "details"
     )
 
 

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 from decimal import Decimal
+from threading import Lock
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -31,9 +32,11 @@ class RunLog:
         self.root = f"{root.rstrip('/')}/ops"
         self.clock = clock
         self._started: dict[str, dict[str, Any]] = {}
+        self._appending = Lock()  # of two jobs that append to a folder the first to end clears the other's unfinished files
 
     def append(self, table: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.root}/{table}")
+        with self._appending:
+            rows.write.mode("append").parquet(f"{self.root}/{table}")
 
     def _append_one(self, table: str, values: Mapping[str, Any]) -> None:
         schema = OPS[table]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 
 from terrace.functions.convert import iso_date, to_bigint, to_money
 from terrace.operators import quality as q
-from terrace.operators.quality import Rule
+from terrace.operators.quality import Rule, RuleSet
 
 # Natural keys, and the columns of each table that must be filled.
 _REQUIRED = {
@@ -77,12 +77,13 @@ def gold_gates(table: str) -> list[Rule]:
     return [q.not_null(key), q.surrogate_key(key), q.not_null(needed)]
 
 
-def fact_rules(dim_product: DataFrame, dim_customer: DataFrame, versions_apply: bool) -> list[Rule]:
+def fact_rules(dim_product: DataFrame, dim_customer: DataFrame, sales: DataFrame, versions_apply: bool) -> list[Rule | RuleSet]:
+    """``sales`` are the cleaned rows the fact was made of: a row each."""
     dims = [
         ("customer_key", dim_customer, "customer_key"),
         ("product_key", dim_product, "product_key"),
     ]
-    rules = [q.related(c, dim, key) for c, dim, key in dims] + [q.connected(dims)]
+    rules: list[Rule | RuleSet] = [q.relations(dims, sales)]
     if versions_apply:
         rules.append(q.unique_together("order_number", "product_key"))
     return rules

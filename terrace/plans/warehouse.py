@@ -69,28 +69,36 @@ class Warehouse:
         self.layers.create_if_absent(wanted, self.clock())
 
     def load_bronze(self, paths: Mapping[str, str], sources: Sequence[Source] = SOURCES) -> dict[str, LoadCounts]:
-        """Load each source; every table commits on its own."""
-        batch, counts = str(uuid.uuid4()), {}
+        """Load the sources, several at a time; every table commits on its own."""
+        batch = str(uuid.uuid4())
         job = self.log.start_job("bronze_load")
-        for source in sources:
-            task = self.log.start_task(job, f"bronze.{source.name}")
-            try:
-                result = self._load(source, paths[source.name], batch)
-                loaded = result.counts
-                self.log.record_files(job, result.audit)
-                found = rules.bronze_rules(source.name, typed=self.preset.typed_bronze)
-                self._require(job, [checked(f"bronze.{source.name}", result.rewritten, [], found)])
-            except Exception as error:
-                self._failed(job, f"bronze.{source.name}", error, task)
-                raise
-            counts[source.name] = loaded
-            aside = f"; {loaded.malformed} malformed lines are in staging" if loaded.malformed else ""
-            self.log.finish_task(
-                task, "Success", f"{source.name}: bronze table is up to date{aside}.",
-                rows_read=loaded.read, rows_inserted=loaded.inserted,
-                rows_updated=loaded.updated, rows_rejected=loaded.rejected,
-            )
-        self.log.finish_job(job, "Success", f"bronze_load: {len(counts)} sources in place")
+        calls = [partial(self._load_one, job, batch, source, paths[source.name]) for source in sources]
+        try:
+            loaded = concurrently(self.spark, calls, self.threads)
+        except Exception as error:
+            self.log.finish_job(job, "Failed", f"bronze_load: {error}")
+            raise
+        self.log.finish_job(job, "Success", f"bronze_load: {len(loaded)} sources in place")
+        return {source.name: counts for source, counts in zip(sources, loaded)}
+
+    def _load_one(self, job: str, batch: str, source: Source, path: str) -> LoadCounts:
+        name = f"bronze.{source.name}"
+        task = self.log.start_task(job, name)
+        try:
+            result = self._load(source, path, batch)
+            self.log.record_files(job, result.audit)
+            found = rules.bronze_rules(source.name, typed=self.preset.typed_bronze)
+            self._require(job, [checked(name, result.rewritten, [], found)])
+        except Exception as error:
+            self.log.finish_task(task, "Failed", str(error))
+            self.log.alert(job, "Critical", f"Load failure: {name}", str(error))
+            raise
+        counts = result.counts
+        aside = f"; {counts.malformed} malformed lines are in staging" if counts.malformed else ""
+        self.log.finish_task(
+            task, "Success", f"{source.name}: bronze table is up to date{aside}.", rows_read=counts.read,
+            rows_inserted=counts.inserted, rows_updated=counts.updated, rows_rejected=counts.rejected,
+        )
         return counts
 
     def load_silver(self, rebuild: bool = True) -> None:
@@ -140,10 +148,8 @@ class Warehouse:
             raise
         self.log.finish_job(job, "Success", f"{name}: tables in place")
 
-    def _failed(self, job: str, where: str, error: Exception, task: str | None = None) -> None:
+    def _failed(self, job: str, where: str, error: Exception) -> None:
         message = str(error)
-        if task:
-            self.log.finish_task(task, "Failed", message)
         self.log.finish_job(job, "Failed", f"Failed at {where}: {message}")
         self.log.alert(job, "Critical", f"Load failure: {where}", message)
 
@@ -204,7 +210,7 @@ class Warehouse:
         plans = []
         for name, df in tables.items():
             gates = rules.gold_gates(name) if has_key or name != "fact_sales" else []
-            others = rules.fact_rules(dim_product, dim_customer, has_key) if name == "fact_sales" else []
+            others = rules.fact_rules(dim_product, dim_customer, sold, has_key) if name == "fact_sales" else []
             plans.append(partial(checked, f"gold.{name}", df, gates, others))
         self._require(job, concurrently(self.spark, plans, self.threads))
         self.layers.publish({("gold", n): p for n, p in zip(tables, paths)}, self.clock())
@@ -213,7 +219,8 @@ class Warehouse:
         """Record every rule; raise when a gate does not hold."""
         lines = [line for result in results for line in result.lines]
         if lines:
-            self.log.record_checks(job, self.spark.createDataFrame(lines))
+            kinds = "model_name string, test_name string, test_status string, failed_row_count bigint, details string"
+            self.log.record_checks(job, self.spark.createDataFrame(lines, kinds))
         broken = [problem for result in results for problem in result.broken_gates]
         if broken:
             raise CheckFailed(", ".join(broken))
@@ -227,7 +234,7 @@ class Checked:
     broken_gates: list[str]
 
 
-def checked(model: str, df: DataFrame, gates: Sequence[q.Rule], others: Sequence[q.Rule]) -> Checked:
+def checked(model: str, df: DataFrame, gates: Sequence[q.Rule], others: Sequence[q.Rule | q.RuleSet]) -> Checked:
     if not gates and not others:
         return Checked([], [])
     lines = q.summarized(model, df, [*gates, *others]).collect()  # one row per rule

@@ -95,13 +95,40 @@ def _line_rules(spark, sf_dir):
 
 
 def _summary(spark, sf_dir):
-    return q.summarized("lines", dirty_lines(spark, sf_dir), _line_rules(spark, sf_dir))
+    return q.summarized("lines", dirty_lines(spark, sf_dir), _line_rules(spark, sf_dir), ["l_orderkey", "l_linenumber", "raw_code"])
 
 
 def _summary_logged(spark, sf_dir):
     log = RunLog(spark, fresh_path(spark, "log"))
     log.record_checks(None, _summary(spark, sf_dir))
-    return log.read("data_quality_results").select("model_name", "test_name", "test_status", "failed_row_count")
+    return log.read("data_quality_results").select("model_name", "test_name", "test_status", "failed_row_count", "details")
+
+
+def _star_relations(spark, sf_dir):
+    """Lines with a customer or part that is unknown or missing, some of them twice; all rules from one scan of the keys."""
+    customers = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
+    parts = table(spark, sf_dir, "part").filter("p_size > 5")
+    lines = table(spark, sf_dir, "lineitem").select(
+        *_KEYS, F.when(F.col("l_linenumber") != 4, F.col("l_suppkey")).alias("customer"), F.when(F.col("l_returnflag") != "A", F.col("l_partkey")).alias("part")
+    )
+    fact = lines.unionByName(lines.where("l_linenumber = 2"))
+    rule = q.relations([("customer", customers, "c_custkey"), ("part", parts, "p_partkey")], lines)
+    return q.summarized("fact", fact, [rule])
+
+
+_STAR_SQL = """
+WITH lines AS (SELECT l_linenumber, CASE WHEN l_linenumber <> 4 THEN l_suppkey END AS customer, CASE WHEN l_returnflag <> 'A' THEN l_partkey END AS part
+  FROM lineitem), fact AS (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_linenumber = 2),
+judged AS (SELECT *, coalesce(customer IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'), false) AS has_customer,
+  coalesce(part IN (SELECT p_partkey FROM part WHERE p_size > 5), false) AS has_part FROM fact)
+SELECT 'fact' AS model_name, test_name, CASE WHEN n = 0 THEN 'Pass' ELSE status END AS test_status, n AS failed_row_count, details FROM (
+  SELECT 'related_customer' AS test_name, 'Fail' AS status, count(*) AS n, min('customer=' || customer) AS details
+    FROM judged WHERE customer IS NOT NULL AND NOT has_customer UNION ALL
+  SELECT 'related_part', 'Fail', count(*), min('part=' || part) FROM judged WHERE part IS NOT NULL AND NOT has_part UNION ALL
+  SELECT 'connected_customer_part', 'Warn', count(*), min(concat_ws(', ', 'customer=' || customer, 'part=' || part))
+    FROM judged WHERE NOT (has_customer AND has_part) UNION ALL
+  SELECT 'rows_as_delivered', 'Fail', f - l, CASE WHEN f <> l THEN f || ' rows of ' || l || ' delivered' END
+    FROM (SELECT (SELECT count(*) FROM fact) AS f, (SELECT count(*) FROM lines) AS l) x) t"""
 
 
 _BAD_COMPACT = (
@@ -119,7 +146,8 @@ _NO_DAY = (
 def _counted(name: str, condition: str, status: str = "Fail") -> str:
     return (
         f"SELECT 'lines' AS model_name, '{name}' AS test_name, CASE WHEN count(*) = 0 THEN 'Pass' ELSE '{status}' END"
-        f" AS test_status, count(*) AS failed_row_count FROM dirty WHERE {condition}"
+        f" AS test_status, count(*) AS failed_row_count, min(concat_ws(', ', 'l_orderkey=' || l_orderkey, 'l_linenumber=' || l_linenumber,"
+        f" 'raw_code=' || raw_code)) AS details FROM dirty WHERE {condition}"
     )
 
 
@@ -131,10 +159,12 @@ _SUMMARY_SQL = WITH_DIRTY + " " + " UNION ALL ".join(
         _counted("not_negative_price", "price IS NULL OR price < 0"),
         _counted("valid_date_raw_compact", _BAD_COMPACT),
         _counted("converts_raw_day", _NO_DAY, "Warn"),
-        "SELECT 'lines', 'unique_l_orderkey_l_linenumber', CASE WHEN count(*) = 0 THEN 'Pass' ELSE 'Fail' END, count(*) FROM"
-        " (SELECT l_orderkey FROM dirty GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d",
-        "SELECT 'lines', 'related_l_partkey', CASE WHEN count(*) = 0 THEN 'Pass' ELSE 'Fail' END, count(*) FROM"
-        " (SELECT l_partkey FROM dirty WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)) d",
+        "SELECT 'lines', 'unique_l_orderkey_l_linenumber', CASE WHEN count(*) = 0 THEN 'Pass' ELSE 'Fail' END, count(*),"
+        " min('l_orderkey=' || l_orderkey || ', l_linenumber=' || l_linenumber || ', duplicate_count=' || n) FROM"
+        " (SELECT l_orderkey, l_linenumber, count(*) AS n FROM dirty GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d",
+        "SELECT 'lines', 'related_l_partkey', CASE WHEN count(*) = 0 THEN 'Pass' ELSE 'Fail' END,"
+        " coalesce(sum(n), 0)::bigint, min('l_partkey=' || l_partkey || ', row_count=' || n) FROM (SELECT l_partkey, count(*) AS n FROM dirty"
+        " WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5) GROUP BY 1) d",
         _counted("not_null_l_orderkey", "l_orderkey IS NULL"),
     ]
 )
@@ -224,5 +254,6 @@ ENTRIES = {
         " cast(end_day AS varchar) AS end_day FROM chained WHERE n IS NOT NULL AND (end_day IS NULL OR end_day >= n)",
     ),
     "rules_summarized": (_summary, _SUMMARY_SQL),
+    "fact_relations_at_once": (_star_relations, _STAR_SQL),
     "rules_logged": (_summary_logged, _SUMMARY_SQL),
 }

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ class Layers:
         self.prefix = prefix
         self._known: tuple[int, dict[str, list[str]]] | None = None
         self._followed: set[str] = set()
+        self._publishing = Lock()
 
     # -- manifest ---------------------------------------------------------
     def refresh(self) -> None:
@@ -55,13 +57,14 @@ class Layers:
 
     def publish(self, paths: Mapping[tuple[str, str], str | Sequence[str]], at: datetime) -> int:
         """Switch the given tables to their new versions, all at once; registered views follow."""
-        sequence, tables = self._state()
-        tables = dict(tables)
-        tables.update({f"{layer}.{table}": [p] if isinstance(p, str) else list(p) for (layer, table), p in paths.items()})
-        row = [(sequence + 1, at, tables)]
-        line = self.spark.createDataFrame(row, _MANIFEST).coalesce(1)
-        line.write.mode("append").json(f"{self.root}/_manifest")
-        self._known = (sequence + 1, tables)
+        with self._publishing:
+            sequence, tables = self._state()
+            tables = dict(tables)
+            tables.update({f"{layer}.{table}": [p] if isinstance(p, str) else list(p) for (layer, table), p in paths.items()})
+            row = [(sequence + 1, at, tables)]
+            line = self.spark.createDataFrame(row, _MANIFEST).coalesce(1)
+            line.write.mode("append").json(f"{self.root}/_manifest")
+            self._known = (sequence + 1, tables)
         for layer, table in paths:
             if layer in self._followed:
                 self._point(layer, table)

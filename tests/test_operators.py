@@ -95,6 +95,30 @@ def test_orphaned_rows_are_counted(spark):
     assert rows(quality.summarized("m", child, [rule]), "failed_row_count") == [(3,)]
 
 
+def test_relations_of_a_fact_come_from_one_scan(spark):
+    dims = [spark.createDataFrame([(1,), (2,)], "id int"), spark.createDataFrame([("a",)], "name string")]
+    data = [(1, "a"), (1, "b"), (3, "a"), (3, "a"), (None, "a"), (2, None), (None, None)]
+    fact = spark.createDataFrame(data, "k int, s string")
+    rule = quality.relations([("k", dims[0], "id"), ("s", dims[1], "name")], spark.createDataFrame([(0,)] * 6, "x int"))
+    got = quality.summarized("m", fact, [rule])
+    assert rows(got, "test_name", "test_status", "failed_row_count", "details") == [
+        ("connected_k_s", "Warn", 6, ""), ("related_k", "Fail", 2, "k=3"), ("related_s", "Fail", 1, "s=b"),
+        ("rows_as_delivered", "Fail", 1, "7 rows of 6 delivered"),
+    ]
+    clean = quality.summarized("m", fact.limit(0), [quality.relations([("k", dims[0], "id")])])
+    assert rows(clean, "test_name", "test_status", "details") == [("connected_k", "Pass", None), ("related_k", "Pass", None)]
+    found = joins.unconnected(fact, [("k", dims[0], "id"), ("s", dims[1], "name")])
+    assert sorted(map(str, rows(found))) == sorted(map(str, data[1:]))
+
+
+def test_details_show_the_smallest_violation(spark):
+    df = spark.createDataFrame([(2, "x"), (1, None), (1, "y "), (1, "y ")], "k int, s string")
+    found = quality.summarized("m", df, [quality.not_null("s"), quality.no_outer_blanks("s"), quality.unique_together("k", "s")], ["k"])
+    assert rows(found, "test_name", "details") == [
+        ("no_outer_blanks_s", "k=1"), ("not_null_s", "k=1"), ("unique_k_s", "k=1, s=y , duplicate_count=2")
+    ]
+
+
 # -- histories ------------------------------------------------------------
 def test_next_in_key(spark):
     data = sorted(set((k, v) for k, v, _ in skewed()))

@@ -105,7 +105,9 @@ def test_run_log(loaded):
     assert jobs == [("bronze_load", "Success"), ("gold_load", "Success"), ("silver_load", "Success")]
     checks = {(r.model_name, r.test_name): r for r in w.log.read("data_quality_results").collect()}
     assert checks[("silver.crm_cust_info", "primary_key_cst_id")].test_status == "Pass"
-    assert checks[("gold.fact_sales", "connected_customer_key_product_key")].failed_row_count == 2
+    unconnected = checks[("gold.fact_sales", "connected_customer_key_product_key")]
+    assert (unconnected.failed_row_count, unconnected.test_status) == (2, "Warn") and unconnected.details is not None
+    assert checks[("gold.fact_sales", "rows_as_delivered")].test_status == "Pass"
     assert w.log.read("alerts").count() == 0
 
 
