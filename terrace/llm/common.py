@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.session import fresh_path
@@ -37,6 +37,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+class Scratch:
+    """Tables written between the steps of an operator, by label; each is deleted when its last reader has been written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[str, str] = {}
+
+    def put(self, df: DataFrame, label: str) -> DataFrame:
+        self._paths[label] = path = fresh_path(self.spark, label)
+        df.write.parquet(path)
+        schema = df.schema
+        release(self.spark)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(label))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps that are over.
 
@@ -55,13 +75,13 @@ KEY = ["row", "version"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """Rows known by doc_id and a hash of the text; a null id gets a number of its own, a null text is empty."""
-    return docs.select(
-        "doc_id",
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row"),
-        F.hash(text_or_empty()).alias("version"),
-        text_or_empty().alias("text"),
-    )
+    """Rows known by doc_id and a 128-bit hash of the text; a null id counts as the least number there is, a null text is empty."""
+    return docs.select("doc_id", *row_key(), text_or_empty().alias("text"))
+
+
+def row_key() -> list[Column]:
+    row = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    return [row.alias("row"), F.unhex(F.md5(text_or_empty().cast("binary"))).alias("version")]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -6,6 +6,8 @@ import re
 import numpy as np
 from helpers import corpus, frame, union_find, words
 
+from pyspark.sql import functions as F
+
 from terrace.llm import lines, neardup
 from terrace.llm.components import components
 
@@ -74,7 +76,10 @@ def test_near_duplicates(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
 
 
-STARTS = re.compile(r"(?s)(?:^|(?<=\s)|(?<=\S{16}))(?=(\S.{0,11}))")
+def shingles(line):
+    """Five characters from every place, in lower case, the line feed being the last; a shorter line as a whole."""
+    ended = line.lower() + "\n"
+    return {ended[k : k + lines.SHINGLE] for k in range(len(ended) - lines.SHINGLE + 1)} or {ended}
 
 
 def plain_lines(pairs):
@@ -84,7 +89,7 @@ def plain_lines(pairs):
         for k, line in enumerate((t or "").split("\n")):
             if line.strip():
                 first.setdefault(line, []).append((i, k))
-                sets.setdefault(line, set(STARTS.findall(line.lower())))
+                sets.setdefault(line, shingles(line))
     links = [
         (a, b) for a in sets for b in sets
         if a < b and len(sets[a] & sets[b]) >= lines.SIMILAR * len(sets[a] | sets[b])
@@ -107,12 +112,41 @@ def test_lines(spark):
     pairs = [p for p in dict(corpus()).items() if p[0] is not None]
     pairs += [(500, long), (501, "head\n" + long.replace(long.split()[20], "other")), (502, long.upper()), (503, "a\nb\na\n\na")]
     pairs += [(504, "x" * 400), (505, "x" * 399 + "y"), (506, "unbroken" * 40 + "a"), (507, "unbroken" * 40 + "b")]
+    pairs += [(508, "abcdefgh"), (509, "zabcdefgh"), (510, "mnopqrstuvw"), (511, "mnopqrstuvwx"), (512, "kurz"), (513, "kurze")]
     got = lines.without_repeated_lines(frame(spark, pairs))
     assert got.columns[:2] == ["doc_id", "lang"] and "node" in got.columns
     assert {r.doc_id: r.text for r in got.collect()} == plain_lines(pairs)
     assert lines.without_repeated_lines(frame(spark, [])).count() == 0
 
 
+def test_similar_short_lines_are_found(spark):
+    """Lines of 5 to 20 characters and copies with one more at an end, which reach 0.8 from 9 shingles on at the latest."""
+    rng = random.Random(9)
+    near, pairs = [], []
+    for k in range(400):
+        line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(7, 20)))
+        copy = rng.choice("0123456789") + line
+        a, b = shingles(line), shingles(copy)
+        if len(a & b) >= lines.SIMILAR * len(a | b):
+            near.append(1000 + k)
+        pairs += [(k, line), (1000 + k, copy)]
+    assert len(near) > 380
+    left = {r.doc_id: r.text for r in lines.without_repeated_lines(frame(spark, pairs)).collect()}
+    assert sum(left[k] == "" for k in near) >= 0.99 * len(near) and all(left[k] for k in range(400))
+
+
+def test_texts_of_one_short_hash_are_told_apart(spark):
+    """Texts whose 32-bit hashes agree, under one id and under none, keep their own lines and words."""
+    from terrace.llm import substring
+
+    drawn = spark.range(400_000).select(F.concat_ws(" ", *[F.hash("id", F.lit(k)) for k in range(40)]).alias("t"))
+    twins = drawn.groupBy(F.hash("t").alias("h")).agg(F.collect_list("t").alias("ts")).where("size(ts) > 1").first().ts
+    got = {r.text for r in lines.without_repeated_lines(frame(spark, [(5, twins[0]), (7, twins[0]), (7, twins[1])])).collect()}
+    assert got == {twins[0], "", twins[1]}
+    left = substring.without_repeats(frame(spark, [(None, twins[0]), (None, twins[1]), (1, twins[0])])).collect()
+    assert sorted((str(r.doc_id), r.n_removed) for r in left) == [("1", 40), ("None", 0), ("None", 40)]
+
+
 def test_repeated_rows_keep_the_same_lines(spark):
     got = lines.without_repeated_lines(frame(spark, [(1, "a line\nb line"), (1, "a line\nb line"), (None, None), (2, "b line\nc")])).collect()
     assert sorted((str(r.doc_id), r.text, r.n_removed) for r in got) == [("1", "a line\nb line", 0), ("1", "a line\nb line", 0), ("2", "c", 1), ("None", "", 0)]
