@@ -22,13 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import KEY, Words, keyed, mixed, pieces, run_hashes, stored
+from terrace.llm.common import KEY, Scratch, Words, mixed, pieces, run_hashes, text_or_empty
 
 WINDOW = 35
 SEED = 8
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """doc_id, row, version, text: rows known by two 64-bit hashes of doc_id, whether it is null, and text. Rows equal in these are one."""
+    text, none = text_or_empty(), F.col("doc_id").isNull()
+    return docs.select(
+        "doc_id", F.xxhash64("doc_id", none, text).alias("row"), F.xxhash64(text, none, "doc_id", F.lit(1)).alias("version"), text.alias("text")
+    )
+
+
 def _two(words: Words, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run_hashes(words.hash, starts, ends), run_hashes(mixed(words.hash ^ _SECOND), starts, ends)
 
@@ -74,7 +82,7 @@ def anchors(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row[part][doc], pa.int64()),
-                        pa.array(version[part][doc], pa.int32()),
+                        pa.array(version[part][doc], pa.int64()),
                         pa.array((at - first).astype(np.int32)),
                         pa.array(run_hashes(words.hash, at, at + seed).view(np.int64)),
                         pa.array(context.view(np.int64)),
@@ -82,7 +90,7 @@ def anchors(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
                     ["row", "version", "pos", "anchor", "context"],
                 )
 
-    kinds = "row bigint, version int, pos int, anchor bigint, context bigint"
+    kinds = "row bigint, version bigint, pos int, anchor bigint, context bigint"
     return rows.select(*KEY, "text").mapInArrow(found, kinds)
 
 
@@ -107,7 +115,7 @@ def _windows(rows: DataFrame, window: int, seed: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row[part][of], pa.int64()),
-                        pa.array(version[part][of], pa.int32()),
+                        pa.array(version[part][of], pa.int64()),
                         pa.array((start - words.bounds[of]).astype(np.int32)),
                         pa.array(run_hashes(words.hash, start, start + window).view(np.int64)),
                         pa.array((other >> np.uint64(33)).astype(np.int32)),
@@ -115,7 +123,7 @@ def _windows(rows: DataFrame, window: int, seed: int) -> DataFrame:
                     ["row", "version", "start", "w1", "w2"],
                 )
 
-    kinds = "row bigint, version int, start int, w1 bigint, w2 int"
+    kinds = "row bigint, version bigint, start int, w1 bigint, w2 int"
     return rows.select(*KEY, "text", "places").mapInArrow(listed, kinds)
 
 
@@ -125,22 +133,25 @@ def with_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataF
     A range may reach beyond the text's end, where the text ends then; spans is
     null where nothing repeats. Repeated rows repeat each other as a whole.
     """
-    rows = keyed(docs)
+    rows, scratch = identified(docs), Scratch(docs.sparkSession)
     seeds = anchors(rows, window, seed)
-    # Each step is written, so that joins on a hot anchor or context can be split.
-    met = stored(seeds.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
-    occurrences = stored(seeds.join(met, "anchor"), "occurrences")
+    # Each step is written, so that joins on a hot anchor or context can be split, and deleted when it has been read.
+    met = scratch.put(seeds.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
+    occurrences = scratch.put(seeds.join(met, "anchor"), "occurrences")
+    scratch.drop("repeated-anchors")
     one = F.xxhash64(*KEY, "pos")
-    contexts = stored(
+    every = scratch.put(
         occurrences.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("first")), "contexts"
     )
-    several = contexts.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("differs"))
-    contexts = stored(contexts.join(several, "anchor", "left").where("n > 1 or differs"), "contexts")
+    several = every.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("differs"))
+    contexts = scratch.put(every.join(several, "anchor", "left").where("n > 1 or differs"), "telling-contexts")
+    scratch.drop("contexts")
     # One occurrence of each context speaks for all of them.
     judged = occurrences.join(contexts, ["anchor", "context"]).select(
         *KEY, "pos", (F.col("n") > 1).alias("whole"), (F.col("differs").isNotNull() & (one == F.col("first"))).alias("extend")
     )
-    judged = stored(judged.where("whole or extend"), "judged-anchors")
+    judged = scratch.put(judged.where("whole or extend"), "judged-anchors")
+    scratch.drop("occurrences", "telling-contexts")
     places = judged.where("extend").groupBy(*KEY).agg(F.collect_set("pos").alias("places"))
     windows = _windows(rows.drop("doc_id").join(places.hint("shuffle_hash"), KEY), window, seed)
     # A text lists a window once, so two rows are two places (or rows that repeat as a whole).
