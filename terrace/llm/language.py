@@ -20,8 +20,7 @@ from pyspark.sql import types as T
 from terrace.llm.common import lowered, pieces, stored, text_or_empty
 
 CLASSES = 1 << 16  # of trigrams by hash
-SAMPLE = 20_000  # labelled documents the trigrams are counted in, at most about this many
-LANGUAGES = 64  # the most frequent ones of the sample are told apart
+SAMPLE = 5_000  # labelled documents of each language the trigrams are counted in, at most about this many
 MASS = 40.0  # a text counts as at most this many independent trigrams
 STRENGTH = 10.0  # rows a domain, or all rows, count for in the prior of a host
 
@@ -56,26 +55,29 @@ class Trigrams:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Trigrams:
-    """Count trigrams in about `sample` documents with a language, chosen by a hash; without any no language is known."""
+    """Count trigrams in about `sample` documents of each language, chosen by a hash of the row.
+
+    The languages are those of all labelled rows with a text, however rare; without any no language is known.
+    The model has a column of CLASSES numbers for each, so its size follows the languages, not the rows.
+    """
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    share = min(1.0, sample / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    languages = sorted(r.lang for r in chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language
+    languages = sorted(r.lang for r in sizes)
     number = {lang: k for k, lang in enumerate(languages)}
+    if not languages:
+        return Trigrams([], np.zeros((0, CLASSES)))
+    shares = docs.sparkSession.createDataFrame([(r.lang, int(min(1.0, sample / r.n) * (1 << 20))) for r in sizes], "lang string, share bigint")
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 20))
+    chosen = known.join(F.broadcast(shares), "lang").where(drawn < F.col("share"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), CLASSES), np.int64)
         for batch in batches:
-            langs = batch.column(0).to_pylist()
+            langs = np.array([number[x] for x in batch.column(0).to_pylist()])
             for part, texts in pieces(batch):
                 code, bounds = _trigrams(texts)
-                of = np.array([number.get(x, -1) for x in langs[part]])
-                of = np.repeat(of, np.diff(bounds))
-                total += np.bincount(of[of >= 0] * CLASSES + code[of >= 0], minlength=total.size).reshape(total.shape)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
+                at, n = np.unique(np.repeat(langs[part], np.diff(bounds)) * CLASSES + code, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
 
-    # At most LANGUAGES times CLASSES numbers, whatever the data.
     table = chosen.select("lang", "text").mapInArrow(counted, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(languages) * CLASSES)
     counts[table["at"].to_numpy()] = table["n"].to_numpy()
@@ -117,12 +119,13 @@ def identified(rows: DataFrame, model: Trigrams, label: str) -> DataFrame:
     as empty), and any further columns. Unknown evidence tells nothing. A row
     without any evidence has the prior over all rows. Ties go to the
     alphabetically first language; lang is null only if no language is known at all. Repeated rows
-    count as often as they occur.
+    count as often as they occur; texts of any length are read whole. Columns named like a
+    result column are replaced, all others may have any name; an empty table gives no rows.
     """
     context = rows.sparkSession.sparkContext
     shared, n = context.broadcast(model), len(model.languages)
     evidence = ["declared", "host", "domain", "suffix"]
-    plain = [c for c in rows.columns if c not in ("text", *evidence)]
+    plain = [c for c in rows.columns if c not in ("text", *evidence, "lang", "probability", "text_lang")]
     if n == 0:
         nothing = F.lit(None).cast("string")
         return rows.select(*plain, nothing.alias("lang"), F.lit(None).cast("double").alias("probability"), nothing.alias("text_lang"))
@@ -134,11 +137,13 @@ def identified(rows: DataFrame, model: Trigrams, label: str) -> DataFrame:
                 post = np.exp(scores - scores.max(axis=1, keepdims=True))
                 post /= post.sum(axis=1, keepdims=True)
                 lists = [pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), n).cast(pa.list_(pa.float64())) for v in (scores, post)]
-                kept = [batch.column(batch.schema.get_field_index(c)).slice(part.start, len(texts)) for c in (*plain, *evidence)]
-                yield pa.RecordBatch.from_arrays([*kept, *lists], [*plain, *evidence, "score", "post"])
+                kept = [batch.column(batch.schema.get_field_index(c)).slice(part.start, len(texts)) for c in ("given", *evidence)]
+                yield pa.RecordBatch.from_arrays([*kept, *lists], ["given", *evidence, "score", "post"])
 
-    filled = rows.select(*plain, *[text_or_empty(c).alias(c) for c in evidence], "text")
-    kinds = filled.select(*plain, *evidence).schema.add("score", T.ArrayType(T.DoubleType())).add("post", T.ArrayType(T.DoubleType()))
+    # Columns of rows travel in one, so that their names cannot clash.
+    given = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in plain]).alias("given")
+    filled = rows.select(given, *[text_or_empty(c).alias(c) for c in evidence], "text")
+    kinds = filled.select("given", *evidence).schema.add("score", T.ArrayType(T.DoubleType())).add("post", T.ArrayType(T.DoubleType()))
     table = stored(filled.mapInArrow(scored, kinds), f"language-{label}")
     totals = [f"n{k}" for k in range(n)]
     # The prior over all rows: one row.
@@ -176,4 +181,6 @@ def identified(rows: DataFrame, model: Trigrams, label: str) -> DataFrame:
     mass = F.aggregate(F.transform("total", lambda x: F.exp(x - F.col("top"))), F.lit(0.0), lambda a, x: a + x)
     best = F.get(names, (F.array_position("total", F.col("top")) - 1).cast("int"))
     by_text = F.get(names, (F.array_position("post", F.array_max("post")) - 1).cast("int"))
-    return fused.select(*plain, best.alias("lang"), (1 / mass).alias("probability"), by_text.alias("text_lang"))
+    # Named before the columns of rows come back, among which there may be a total or a top.
+    told = fused.select("given", best.alias("lang"), (1 / mass).alias("probability"), by_text.alias("text_lang"))
+    return told.select(*[F.col("given").getField(c).alias(c) for c in plain], "lang", "probability", "text_lang")

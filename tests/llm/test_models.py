@@ -40,6 +40,22 @@ def test_evidence_beside_the_text_counts(spark, docs):
     assert nothing.lang is None
 
 
+def test_rare_languages_and_clashing_columns(spark):
+    """70 languages, one of them in two of 30,000 rows; rows without an id are told apart by their text."""
+    def text(k, n):
+        return " ".join(chr(0x4E00 + 40 * k + (n + j) % 30) * 3 for j in range(12))
+
+    rows = [(None if n % 2 else n, text(n % 69, n), f"l{n % 69:02}") for n in range(30_000)] + [(None, text(69, 1), "l69"), (5, text(69, 2), "l69")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, sample=50)
+    assert model.languages == [f"l{k:02}" for k in range(70)]
+    asked = spark.createDataFrame([(k, text(k, 3), *["x"] * 6) for k in range(70)], "doc_id long, text string, score string, post string, total string, top string, lang string, given string")
+    given = asked.withColumns({c: F.lit("") for c in ("declared", "host", "domain", "suffix")})
+    found = language.identified(given, model, "t").collect()
+    assert [r.lang for r in sorted(found, key=lambda r: r.doc_id)] == model.languages
+    assert {(r.score, r.post, r.total, r.top, r.given) for r in found} == {("x",) * 5}
+
+
 def test_pages_are_taken_apart(spark):
     html = '<!DOCTYPE html><HTML class="x" lang=\'fr-CA\'><style>p{a:b}</style><script>var t="</p>";</script><!-- <p>no --><p>Bon <b>jour</b>'
     rows = [(1, "https://user@WWW.Ab.Example.fr:80/en/x?q", html), (2, None, None), (3, "no address", "plain")]
