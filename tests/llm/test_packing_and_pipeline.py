@@ -7,6 +7,7 @@ import pytest
 from helpers import corpus, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from terrace.llm import packing
 
@@ -114,6 +115,21 @@ def test_stages(spark, tmp_path):
         assert stage(spark, empty, sf).count() == 0
 
 
+def test_stages_carry_columns_of_any_name(spark, tmp_path):
+    """Columns named like those the operators add come through as they were."""
+    import corpus_pipeline as pipeline
+
+    sf = "/root/testdata/sf0.01"
+    names = ["n_lines", "n_removed", "severity", "toxic", "grade", "items", "score", "row", "version", "node", "root", "keep_id", "_row", "_others"]
+    given = frame(spark, [(1, "one line\ntwo lines"), (2, "two lines\nthree of them"), (3, None)]).drop("row", "version", "node")
+    given = given.withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, given, sf)
+        assert got.columns == given.columns, name
+        held = got.collect()
+        assert held and all(r[n] == f"own {n}" for r in held for n in names), name
+
+
 def test_near_dedup_stage_decides_by_row(spark):
     """Different texts under a null or repeated doc_id all stay; a near copy does not stay for its id's sake."""
     import corpus_pipeline as pipeline
