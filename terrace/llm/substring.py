@@ -163,7 +163,9 @@ def with_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataF
         F.greatest(F.lit(0), F.col("pos") - (window - seed)).alias("start"), (F.col("pos") + window).alias("end")
     )
     whole = judged.where("whole").select(*KEY, reach.alias("span"))
-    spans = whole.union(extended).groupBy(*KEY).agg(F.collect_set("span").alias("spans"))
+    # Written before the texts move, so that the shuffled windows are gone by then.
+    spans = scratch.put(whole.union(extended).groupBy(*KEY).agg(F.collect_set("span").alias("spans")), "spans")
+    scratch.drop("judged-anchors")
     return rows.join(spans.hint("shuffle_hash"), KEY, "left").select("doc_id", "text", "spans")
 
 
