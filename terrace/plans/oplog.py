@@ -67,7 +67,7 @@ class RunLog:
         return job
 
     def finish_job(self, job: str, status: str, message: str) -> None:
-        self._append_one("job_runs", self._ended(job, "pl_status", status, message))
+        self._append_one("job_runs", self._ended("job_runs", job, "pl_status", status, message))
 
     def start_task(self, job: str, name: str) -> str:
         task = str(uuid.uuid4())
@@ -80,12 +80,22 @@ class RunLog:
         return task
 
     def finish_task(self, task: str, status: str, message: str, **counts: int | None) -> None:
-        self._append_one("task_runs", {**self._ended(task, "task_status", status, message), **counts})
-
-    def _ended(self, run: str, state: str, status: str, message: str) -> dict[str, Any]:
+        self._append_one("task_runs", {**self._ended("task_runs", task, "task_status", status, message), **counts})
+
+    def _begun(self, table: str, run: str) -> dict[str, Any]:
+        """The row a run began with, from the log where another process began it."""
+        if run not in self._started:
+            key = OPS[table].names[0]
+            found = self.read(table).where(F.col(key) == run).orderBy(F.col("ended_at").asc_nulls_first()).first()
+            if found is None:
+                raise KeyError(f"{table} has no run {run}")
+            self._started[run] = found.asDict() | {"started_at": found.started_at.astimezone(timezone.utc)}
+        return self._started[run]
+
+    def _ended(self, table: str, run: str, state: str, status: str, message: str) -> dict[str, Any]:
         if status not in RUN_STATES:
             raise ValueError(f"unknown status {status!r}")
-        begun = self._started[run]
+        begun = self._begun(table, run)
         end = self.clock()
         millis = (end - begun["started_at"]).total_seconds() * 1000
         return {
@@ -99,6 +109,22 @@ class RunLog:
     def task_runs(self) -> DataFrame:
         return self._latest("task_runs", "task_run_id")
 
+    def unfinished(self, name: str) -> str | None:
+        """The last run of a pipeline, if it has not ended well."""
+        last = self.job_runs().where(F.col("pipeline_name") == name).orderBy(F.desc("started_at"), "job_run_id").first()
+        return last.job_run_id if last and last.pl_status != "Success" else None
+
+    def succeeded(self, job: str) -> set[str]:
+        """Names of a run's tasks that are done."""
+        done = self.task_runs().where((F.col("job_run_id") == job) & (F.col("task_status") == "Success"))
+        return {r.task_name for r in done.select("task_name").collect()}
+
+    def new_files(self, listed: DataFrame, source: str) -> DataFrame:
+        """Of listed files (see ``file_facts``) those no load of the source has recorded as they are now."""
+        same = ["source_file", "file_size_bytes", "file_modified_at"]
+        loaded = self.read("source_file_audit").where(F.col("source_name") == source).select(*same)
+        return listed.join(loaded, same, "left_anti")
+
     def _latest(self, table: str, key: str) -> DataFrame:
         return keep_one(self.read(table), [key], [F.col("ended_at").desc_nulls_last()])
 

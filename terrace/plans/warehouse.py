@@ -20,6 +20,7 @@ from terrace.plans.oplog import RunLog, utc_now
 from terrace.plans.presets import INCREMENTAL, Preset
 from terrace.schemas import GOLD, LAYERS, SILVER, SOURCES, Source, raw_schema
 from terrace.session import concurrently
+from terrace.sources.files import file_facts
 from terrace.sources.layers import Layers
 
 TABLES = (
@@ -68,11 +69,20 @@ class Warehouse:
         wanted = {("bronze", s.name): raw_schema(s) for s in SOURCES}
         self.layers.create_if_absent(wanted, self.clock())
 
-    def load_bronze(self, paths: Mapping[str, str], sources: Sequence[Source] = SOURCES) -> dict[str, LoadCounts]:
-        """Load the sources, several at a time; every table commits on its own."""
+    def load_bronze(
+        self, paths: Mapping[str, str], sources: Sequence[Source] = SOURCES, resume: str | None = None, only_new: bool = False
+    ) -> dict[str, LoadCounts]:
+        """Load the sources, several at a time; every table commits on its own.
+
+        ``resume`` names a run that did not end (``RunLog.unfinished``), perhaps of another process: it goes
+        on with the tables it has not loaded. With ``only_new`` files are left out that were
+        loaded before and have not changed since; upserts make it safe to load one twice.
+        """
         batch = str(uuid.uuid4())
-        job = self.log.start_job("bronze_load")
-        calls = [partial(self._load_one, job, batch, source, paths[source.name]) for source in sources]
+        job = resume or self.log.start_job("bronze_load")
+        done = self.log.succeeded(job) if resume else set()
+        sources = [s for s in sources if f"bronze.{s.name}" not in done]
+        calls = [partial(self._load_one, job, batch, source, paths[source.name], only_new) for source in sources]
         try:
             loaded = concurrently(self.spark, calls, self.threads)
         except Exception as error:
@@ -81,10 +91,17 @@ class Warehouse:
         self.log.finish_job(job, "Success", f"bronze_load: {len(loaded)} sources in place")
         return {source.name: counts for source, counts in zip(sources, loaded)}
 
-    def _load_one(self, job: str, batch: str, source: Source, path: str) -> LoadCounts:
+    def _load_one(self, job: str, batch: str, source: Source, path: str, only_new: bool) -> LoadCounts:
         name = f"bronze.{source.name}"
         task = self.log.start_task(job, name)
         try:
+            if only_new:
+                files = self.log.new_files(file_facts(self.spark, path), source.name)
+                path = [r.source_file for r in files.select("source_file").collect()]
+                if not path:
+                    counts = LoadCounts(0, 0, 0, 0)
+                    self.log.finish_task(task, "Success", f"{source.name}: no new file", rows_read=0, rows_inserted=0, rows_updated=0, rows_rejected=0)
+                    return counts
             result = self._load(source, path, batch)
             self.log.record_files(job, result.audit)
             found = rules.bronze_rules(source.name, typed=self.preset.typed_bronze)
@@ -129,7 +146,7 @@ class Warehouse:
         self.publish_counts()
 
     # -- inside a step ----------------------------------------------------
-    def _load(self, source: Source, path: str, batch: str) -> Loaded:
+    def _load(self, source: Source, path: str | list[str], batch: str) -> Loaded:
         if self.preset.typed_bronze:
             return replace_source(
                 self.layers, source, path, self.clock(), self.tolerate_malformed, self.malformed, self.multiline

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -209,6 +210,46 @@ def _two_loads(spark, sf_dir):
     return layers, log
 
 
+def _resumed(spark, sf_dir):
+    """A run that broke at one of two tables, ended by another process; then a folder with one file loaded before and one new."""
+    places, births = SOURCE_BY_NAME["erp_loc_a101"], SOURCE_BY_NAME["erp_cust_az12"]
+    root, folder = fresh_path(spark, "warehouse"), fresh_path(spark, "delivered")
+    rows = {s.name: raw(spark, sf_dir, s.name) for s in (places, births)}
+    paths = {s: _exported(r, s) for s, r in rows.items()}
+    first = Warehouse(spark, root)
+    first.set_up()
+    try:
+        first.load_bronze({**paths, births.name: fresh_path(spark, "absent")}, [places, births])
+        raise AssertionError("a missing file must fail the load")
+    except AnalysisException:
+        pass
+    second = Warehouse(spark, root)
+    job = second.log.unfinished("bronze_load")
+    second.load_bronze(paths, [places, births], resume=job)
+    tasks = second.log.task_runs().where(F.col("job_run_id") == job)
+    part = F.when(F.col("CID").isNull(), F.lit(0)).otherwise(F.length("CID") % 2)
+    delivered = rows[births.name].withColumn("part", part)
+    for k in (0, 1):
+        files.export_csv(delivered.where(f"part = {k}").drop("part").coalesce(1), f"{folder}/{k}")
+        counts = second.load_bronze({births.name: f"{folder}/*"}, [births], only_new=True)[births.name]
+    runs = tasks.groupBy("task_name", "task_status").agg(F.count(F.lit(1)).alias("tasks"), F.sum("rows_read").alias("rows_read"))
+    ended = second.log.job_runs().where(F.col("job_run_id") == job).select(
+        F.lit("the run").alias("task_name"), F.col("pl_status").alias("task_status"), F.lit(1).cast("bigint").alias("tasks"), F.lit(None).cast("bigint").alias("rows_read")
+    )
+    again = spark.range(1).select(
+        F.lit("second folder").alias("task_name"), F.lit("Success").alias("task_status"), F.lit(1).cast("bigint").alias("tasks"),
+        F.lit(counts.read).cast("bigint").alias("rows_read"),
+    )
+    return runs.unionByName(ended).unionByName(again)
+
+
+_RESUMED_SQL = f"""{with_raw("erp_loc_a101", "erp_cust_az12")}
+SELECT 'bronze.erp_loc_a101' AS task_name, 'Success' AS task_status, cast(1 AS bigint) AS tasks, (SELECT count(*) FROM raw_erp_loc_a101) AS rows_read
+UNION ALL SELECT 'bronze.erp_cust_az12', 'Failed', 1, NULL UNION ALL SELECT 'bronze.erp_cust_az12', 'Success', 1, (SELECT count(*) FROM raw_erp_cust_az12)
+UNION ALL SELECT 'the run', 'Success', 1, NULL
+UNION ALL SELECT 'second folder', 'Success', 1, (SELECT count(*) FROM raw_erp_cust_az12 WHERE "CID" IS NOT NULL AND length("CID") % 2 = 1)"""
+
+
 def _bronze_rows(spark, sf_dir):
     layers, _ = _two_loads(spark, sf_dir)
     return layers.read("bronze", _CUSTOMERS.name).select("cst_id", "cst_key", "cst_create_date")
@@ -316,6 +357,7 @@ SELECT 'bronze_load' AS name, 'Success' AS state, cast(NULL AS bigint) AS n UNIO
 SELECT 'loaded', 'Info', NULL UNION ALL SELECT 'crm_cust_info', 'audited',
   (SELECT count(*) FROM {_FIRST} f) + (SELECT count(*) FROM raw_cust_deliveries)""",
     ),
+    "run_resumed": (_resumed, _RESUMED_SQL),
     "layer_row_counts": (
         _layer_counts,
         "SELECT 'silver' AS schema_name, 'orders' AS table_name, count(*) AS row_count FROM orders UNION ALL"

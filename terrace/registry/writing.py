@@ -189,15 +189,17 @@ def _defaults(spark, sf_dir):
 
 
 def _relaxed(spark, sf_dir):
-    """Rows without metadata fit the table whose metadata may be missing."""
+    """Rows with a batch, then, when that may be missing, rows without; a column declared last is NULL in all files before."""
     layers = _layers(spark)
-    strict = StructType([field("c_name", table(spark, sf_dir, "customer").schema["c_name"].dataType, False),
-                         field("batch_id", IntegerType(), False)])
-    loose = layers.relax("bronze", "customer", strict, ["batch_id"])
-    layers.replace("bronze", "customer", empty(spark, loose), _AT)
-    rows = conformed(table(spark, sf_dir, "customer"), loose)
-    layers.replace("bronze", "customer", rows, _AT)
-    return layers.read("bronze", "customer")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    strict = StructType([field("c_custkey", LongType(), False), field("c_name", StringType()), field("batch_id", IntegerType(), False)])
+    layers.recreate({("bronze", "customer"): strict}, _AT)
+    layers.insert("bronze", "customer", customers.where("c_nationkey < 5").withColumn("batch_id", F.lit(1)), _AT)
+    layers.relax("bronze", "customer", ["batch_id"], _AT)
+    layers.insert("bronze", "customer", customers.where("c_nationkey BETWEEN 5 AND 14"), _AT)
+    layers.add_columns("bronze", "customer", [field("c_nationkey", LongType())], _AT)
+    layers.insert("bronze", "customer", customers.where("c_nationkey > 14"), _AT)
+    return Layers(spark, layers.root).read("bronze", "customer")
 
 
 ENTRIES = {
@@ -237,5 +239,9 @@ ENTRIES = {
         _defaults,
         f"SELECT o_orderkey, o_orderstatus, '{_STAMP}' AS meta_created_at FROM orders",
     ),
-    "metadata_made_optional": (_relaxed, "SELECT c_name, cast(NULL AS integer) AS batch_id FROM customer"),
+    "metadata_made_optional": (
+        _relaxed,
+        "SELECT c_custkey, c_name, cast(CASE WHEN c_nationkey < 5 THEN 1 END AS integer) AS batch_id,"
+        " cast(CASE WHEN c_nationkey > 14 THEN c_nationkey END AS bigint) AS c_nationkey FROM customer",
+    ),
 }

@@ -25,7 +25,7 @@ QUOTING = {"quote": '"', "escape": '"'}
 
 def scan_by_name(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: Sequence[str],
     keep_blank: bool = False,
     multiline: bool = False,
@@ -73,7 +73,7 @@ def scan_by_position(spark: SparkSession, path: str, schema: StructType, multili
 
 def scan_typed(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType,
     separator: str = ",",
     tolerate: bool = False,
@@ -134,7 +134,7 @@ def with_row_numbers(staged: DataFrame, name: str = "source_row_number") -> Data
     )
 
 
-def file_facts(spark: SparkSession, path: str) -> DataFrame:
+def file_facts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Path, size and modification time of each file; contents are not read.
 
     Spark plans no scan of a file of zero bytes, so such files are taken from the
@@ -150,9 +150,11 @@ def file_facts(spark: SparkSession, path: str) -> DataFrame:
         )
     )
     hidden = ("_", ".")
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    listed = [s for found in system.globStatus(root) or [] for s in (system.listStatus(found.getPath()) if found.isDirectory() else [found])]
+    listed = []
+    for one in [path] if isinstance(path, str) else path:
+        root = spark._jvm.org.apache.hadoop.fs.Path(one)
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        listed += [s for found in system.globStatus(root) or [] for s in (system.listStatus(found.getPath()) if found.isDirectory() else [found])]
     empty = [
         (re.sub("^([a-z0-9]+):/+", lambda m: f"{m[1]}:///" if m[1] == "file" else m[0], str(s.getPath())), 0, s.getModificationTime() / 1000.0)
         for s in listed

@@ -9,6 +9,7 @@ later one keeps those it did not change. One writer per warehouse is assumed.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
@@ -17,11 +18,11 @@ from threading import Lock
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from terrace.operators.conform import empty, relaxed
+from terrace.operators.conform import conformed, empty, missing_required, relaxed
 
-_MANIFEST = "sequence bigint, published_at timestamp, tables map<string,array<string>>"
+_MANIFEST = "sequence bigint, published_at timestamp, tables map<string,array<string>>, schemas map<string,string>"
 
 
 class Layers:
@@ -30,7 +31,7 @@ class Layers:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
-        self._known: tuple[int, dict[str, list[str]]] | None = None
+        self._known: tuple[int, dict[str, list[str]], dict[str, str]] | None = None
         self._followed: set[str] = set()
         self._publishing = Lock()
 
@@ -39,32 +40,40 @@ class Layers:
         """Look at the manifest again; needed when another session published."""
         self._known = None
 
-    def _state(self) -> tuple[int, dict[str, list[str]]]:
+    def _state(self) -> tuple[int, dict[str, list[str]], dict[str, str]]:
         if self._known is None:
             self._known = self._last_line()
         return self._known
 
-    def _last_line(self) -> tuple[int, dict[str, list[str]]]:
-        """Sequence and paths in force; one small row reaches the driver."""
+    def _last_line(self) -> tuple[int, dict[str, list[str]], dict[str, str]]:
+        """Sequence, paths and declared schemas in force; one small row reaches the driver."""
         try:
             log = self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest")
-            last = log.agg(F.max_by(F.struct("sequence", "tables"), "sequence").alias("m")).first()["m"]
+            last = log.agg(F.max_by(F.struct("sequence", "tables", "schemas"), "sequence").alias("m")).first()["m"]
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             last = None
-        return (last["sequence"], dict(last["tables"])) if last else (0, {})
+        return (last["sequence"], dict(last["tables"]), dict(last["schemas"] or {})) if last else (0, {}, {})
 
-    def publish(self, paths: Mapping[tuple[str, str], str | Sequence[str]], at: datetime) -> int:
-        """Switch the given tables to their new versions, all at once; registered views follow."""
+    def publish(
+        self,
+        paths: Mapping[tuple[str, str], str | Sequence[str]],
+        at: datetime,
+        schemas: Mapping[tuple[str, str], StructType] | None = None,
+    ) -> int:
+        """Switch the given tables to their new versions, all at once; registered views follow.
+
+        A table keeps the schema it was declared with, unless ``schemas`` has another.
+        """
         with self._publishing:
-            sequence, tables = self._state()
-            tables = dict(tables)
+            sequence, tables, declared = self._state()
+            tables, declared = dict(tables), dict(declared)
             tables.update({f"{layer}.{table}": [p] if isinstance(p, str) else list(p) for (layer, table), p in paths.items()})
-            row = [(sequence + 1, at, tables)]
-            line = self.spark.createDataFrame(row, _MANIFEST).coalesce(1)
+            declared.update({f"{layer}.{table}": s.json() for (layer, table), s in (schemas or {}).items()})
+            line = self.spark.createDataFrame([(sequence + 1, at, tables, declared)], _MANIFEST).coalesce(1)
             line.write.mode("append").json(f"{self.root}/_manifest")
-            self._known = (sequence + 1, tables)
+            self._known = (sequence + 1, tables, declared)
         for layer, table in paths:
             if layer in self._followed:
                 self._point(layer, table)
@@ -90,8 +99,14 @@ class Layers:
             raise KeyError(f"table {layer}.{table} was never published")
         return found
 
+    def schema(self, layer: str, table: str) -> StructType | None:
+        """The schema a table was declared with, if it was; NULL where columns may be."""
+        told = self._state()[2].get(f"{layer}.{table}")
+        return StructType.fromJson(json.loads(told)) if told else None
+
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.read_paths(self.paths(layer, table))
+        """A table in its declared schema; a column that older files lack is NULL there."""
+        return self.read_paths(self.paths(layer, table), self.schema(layer, table))
 
     def read_paths(self, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
@@ -105,8 +120,22 @@ class Layers:
         return sorted(n for n in names if layer in (None, n[0]))
 
     def replace(self, layer: str, table: str, df: DataFrame, at: datetime) -> None:
-        """Materialise a query as the new content of a table."""
-        self.publish({(layer, table): self.write(layer, table, df)}, at)
+        """Materialise a query as the new content of a table, whose columns are from now on those of the query."""
+        with_schema = {(layer, table): relaxed(df.schema)} if self.schema(layer, table) is not None else None
+        self.publish({(layer, table): self.write(layer, table, df)}, at, with_schema)
+
+    def insert(self, layer: str, table: str, df: DataFrame, at: datetime) -> None:
+        """Append rows that fit the declared schema; a NULL in a column that must not have one fails the load.
+
+        What is there already is not touched: the new version has one more directory.
+        """
+        schema = self.schema(layer, table)
+        if schema is None:
+            raise ValueError(f"table {layer}.{table} was not declared")
+        refused = F.raise_error(F.lit(f"a required column of {layer}.{table} is missing")).cast("boolean")
+        rows = conformed(df, schema)
+        path = self.write(layer, table, rows.where(F.when(missing_required(schema), refused).otherwise(True)))
+        self.publish({(layer, table): [*self.paths(layer, table), path]}, at)
 
     def create_if_absent(self, schemas: Mapping[tuple[str, str], StructType], at: datetime) -> list[tuple[str, str]]:
         """Publish empty tables for the names that do not exist yet."""
@@ -119,11 +148,21 @@ class Layers:
     def recreate(self, schemas: Mapping[tuple[str, str], StructType], at: datetime) -> None:
         """Publish empty tables, whatever was there before."""
         paths = {k: self.write(*k, empty(self.spark, s)) for k, s in schemas.items()}
-        self.publish(paths, at)
-
-    def relax(self, layer: str, table: str, schema: StructType, columns: list[str]) -> StructType:
-        """The schema under which the table accepts rows without these columns."""
-        return relaxed(schema, columns)
+        self.publish(paths, at, schemas)
+
+    def relax(self, layer: str, table: str, columns: Sequence[str], at: datetime) -> None:
+        """Let rows come without these columns from now on. Only the declaration changes, files stay as they are."""
+        schema = self.schema(layer, table)
+        if schema is None:
+            raise ValueError(f"table {layer}.{table} was not declared")
+        self.publish({}, at, {(layer, table): relaxed(schema, columns)})
+
+    def add_columns(self, layer: str, table: str, fields: Sequence[StructField], at: datetime) -> None:
+        """Declare further columns, which may be NULL; rows that are there have NULL in them."""
+        schema = self.schema(layer, table)
+        if schema is None:
+            raise ValueError(f"table {layer}.{table} was not declared")
+        self.publish({}, at, {(layer, table): StructType([*schema.fields, *relaxed(StructType(list(fields))).fields])})
 
     # -- names ------------------------------------------------------------
     def expose(self, layer: str) -> None:

@@ -162,6 +162,40 @@ def test_relaxed_and_empty(spark):
     assert typed_schema(SOURCE_BY_NAME["crm_prd_info"])["prd_start_dt"].dataType.typeName() == "timestamp"
 
 
+def test_a_table_keeps_its_schema(spark, folder):
+    layers = Layers(spark, folder)
+    with pytest.raises(ValueError):
+        layers.relax("bronze", "t", ["b"], at(1))
+    layers.recreate({("bronze", "t"): StructType([field("k", INT, False), field("b", TEXT, False)])}, at(1))
+    layers.insert("bronze", "t", spark.createDataFrame([(1, "x")], "k int, b string"), at(2))
+    files_before = layers.paths("bronze", "t")
+    with pytest.raises(Exception, match="required column"):
+        layers.insert("bronze", "t", spark.createDataFrame([(2,)], "k int"), at(3))
+    layers.relax("bronze", "t", ["b"], at(4))
+    layers.add_columns("bronze", "t", [field("d", DATE)], at(5))
+    assert layers.paths("bronze", "t") == files_before
+    layers.insert("bronze", "t", spark.createDataFrame([(2,)], "k int"), at(6))
+    other = Layers(spark, folder)
+    assert rows(other.read("bronze", "t"), "k", "b", "d") == [(1, "x", None), (2, None, None)]
+    assert [f.nullable for f in other.schema("bronze", "t")] == [False, True, True]
+    layers.replace("bronze", "t", spark.range(1), at(7))
+    assert rows(layers.read("bronze", "t"), "id") == [(0,)]
+
+
+def test_a_run_is_ended_by_another_process(spark, folder):
+    first, second = (RunLog(spark, folder, clock=lambda d=d: at(d)) for d in (1, 2))
+    job = first.start_job("load")
+    task = first.start_task(job, "a")
+    assert second.unfinished("load") == job and second.unfinished("other") is None
+    second.finish_task(task, "Success", "done", rows_read=3)
+    assert second.succeeded(job) == {"a"}
+    second.finish_job(job, "Success", "done")
+    assert rows(first.job_runs(), "pl_status", "duration_sec", "started_at") == [("Success", 86400, at(1).replace(tzinfo=None))]
+    assert first.unfinished("load") is None
+    with pytest.raises(KeyError):
+        second.finish_job("nobody", "Success", "")
+
+
 def test_defaults_fill_only_absent_columns(spark):
     df = with_defaults(spark.range(2), {"id": 9, "at": F.lit("x"), "n": 1})
     assert rows(df) == [(0, "x", 1), (1, "x", 1)]
