@@ -178,9 +178,10 @@ def plain(text: str) -> str:
     return text
 
 
-def with_raw(*names: str) -> str:
-    """A WITH list defining raw extracts as ``raw_<name>``."""
-    parts = [f"raw_{n} AS ({plain(RAW[n])})" for n in names]
+def with_raw(*names: str, as_text: bool = False) -> str:
+    """A WITH list defining raw extracts as ``raw_<name>``; ``as_text`` as a file holds them, NULL being empty."""
+    given = "SELECT coalesce(COLUMNS(*), '') FROM ({}) d" if as_text else "{}"
+    parts = [f"raw_{n} AS ({given.format(plain(RAW[n]))})" for n in names]
     return "WITH " + ",\n".join(parts)
 
 

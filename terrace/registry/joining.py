@@ -9,30 +9,37 @@ from terrace.registry.inputs import portable, table
 from terrace.session import written
 
 # Product versions: a start in every year a part was shipped, end the day
-# before the next start, the last one open.
+# before the next start, the last one open. Long histories: a start in every month a supplier shipped.
+_YEARLY, _MONTHLY = ("l_partkey", "year"), ("l_suppkey", "month")
 _VERSIONS_SQL = """
 starts AS (SELECT DISTINCT l_partkey AS part, cast(date_trunc('year', l_shipdate) AS date) AS start_day FROM lineitem),
 versions AS (SELECT part, start_day,
   cast(lead(start_day) OVER (PARTITION BY part ORDER BY start_day) - INTERVAL 1 DAY AS date) AS end_day FROM starts)"""
 
 
-def _starts(spark, sf_dir):
-    day = F.to_date(F.date_trunc("year", "l_shipdate")).alias("start_day")
-    starts = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part"), day).distinct()
+def _long(sql: str) -> str:
+    """The same SQL over the long histories."""
+    return sql.replace("l_partkey", "l_suppkey").replace("date_trunc('year'", "date_trunc('month'")
+
+
+def _starts(spark, sf_dir, kind=_YEARLY):
+    key, unit = kind
+    day = F.to_date(F.date_trunc(unit, "l_shipdate")).alias("start_day")
+    starts = table(spark, sf_dir, "lineitem").select(F.col(key).alias("part"), day).distinct()
     return written(starts, "starts")  # read twice by the slices
 
 
-def versions(spark, sf_dir):
-    open_ended = _starts(spark, sf_dir).withColumn("end_day", F.lit(None).cast("date"))
+def versions(spark, sf_dir, kind=_YEARLY):
+    open_ended = _starts(spark, sf_dir, kind).withColumn("end_day", F.lit(None).cast("date"))
     return history.with_end_dates(
         open_ended, ["part"], "start_day", "end_day", mode="recompute"
     )
 
 
-def _lines(spark, sf_dir):
+def _lines(spark, sf_dir, key="l_partkey"):
     """Line items; without a ship day in one line of each order."""
     day = F.when(F.col("l_linenumber") != 7, F.to_date("l_shipdate")).alias("day")
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", day)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", key, day)
 
 
 _LINES_SQL = """
@@ -67,13 +74,15 @@ def _two_lookups(spark, sf_dir):
     return joins.enriched(rows, regions, {"nation": "n_nationkey"}, {"n_name": "country"})
 
 
-def _in_force(starts_at=1997):
+def _in_force(kind=_YEARLY):
+    key = kind[0]
+
     def query(spark, sf_dir):
-        known = versions(spark, sf_dir).filter(F.year("start_day") >= starts_at)
+        known = versions(spark, sf_dir, kind).filter(F.year("start_day") >= 1997)
         rows = history.join_version_in_force(
-            _lines(spark, sf_dir), known, "l_partkey", "part", "day", "start_day", "end_day"
+            _lines(spark, sf_dir, key), known, key, "part", "day", "start_day", "end_day"
         )
-        return portable(rows.select("l_orderkey", "l_linenumber", "l_partkey", "day", "start_day", "end_day"))
+        return portable(rows.select("l_orderkey", "l_linenumber", key, "day", "start_day", "end_day"))
 
     return query
 
@@ -133,7 +142,7 @@ def _unconnected(spark, sf_dir):
     )
 
 
-def _histories(mode):
+def _histories(mode, kind=_YEARLY):
     """End dates before the start, on it and missing, by year of the version."""
 
     def query(spark, sf_dir):
@@ -142,7 +151,7 @@ def _histories(mode):
             F.when(years < 1998, F.date_sub("start_day", 100))
             .when(years < 2000, F.date_add("start_day", 100))
         )
-        rows = _starts(spark, sf_dir).withColumn("end_day", end)
+        rows = _starts(spark, sf_dir, kind).withColumn("end_day", end)
         return portable(history.with_end_dates(rows, ["part"], "start_day", "end_day", mode=mode))
 
     return query
@@ -156,10 +165,10 @@ chained AS (SELECT *, cast(lead(start_day) OVER (PARTITION BY part ORDER BY star
 SELECT part, cast(start_day AS varchar) AS start_day, cast({expression} AS varchar) AS end_day FROM chained"""
 
 
-def _next_start():
+def _next_start(kind=_YEARLY):
     def query(spark, sf_dir):
         rows = history.next_in_key(
-            _starts(spark, sf_dir), ["part"], ["start_day"], "start_day", "next_start"
+            _starts(spark, sf_dir, kind), ["part"], ["start_day"], "start_day", "next_start"
         )
         return portable(rows)
 
@@ -210,7 +219,7 @@ ENTRIES = {
         " ON lower(c_mktsegment) = lower(s)",
     ),
     "join_version_in_force": (_in_force(), _IN_FORCE_SQL),
-    "join_version_in_force_by_year": (_in_force(), _IN_FORCE_SQL),
+    "join_version_in_force_by_year": (_in_force(_MONTHLY), _long(_IN_FORCE_SQL)),
     "join_overlapping_versions": (
         _overlapping,
         f"WITH {_VERSIONS_SQL}, {_LINES_SQL} SELECT l_orderkey, l_linenumber, l_partkey,"
@@ -255,7 +264,7 @@ ENTRIES = {
         " WHERE c_custkey IS NULL OR l_orderkey IS NULL",
     ),
     "next_start_of_key": (_next_start(), _NEXT_SQL),
-    "next_start_of_key_in_slices": (_next_start(), _NEXT_SQL),
+    "next_start_of_key_in_slices": (_next_start(_MONTHLY), _long(_NEXT_SQL)),
     "next_row_of_hot_key": (
         _next_line,
         "SELECT l_returnflag, l_orderkey, quantity, lead(quantity) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey)"
@@ -267,8 +276,8 @@ ENTRIES = {
     ),
     "end_dates_recomputed": (_histories("recompute"), _histories_sql("d")),
     "end_dates_repaired_in_slices": (
-        _histories("repair"),
-        _histories_sql("CASE WHEN end_day < start_day THEN d ELSE end_day END"),
+        _histories("repair", _MONTHLY),
+        _long(_histories_sql("CASE WHEN end_day < start_day THEN d ELSE end_day END")),
     ),
     "versions_discontinued": (
         _closed,

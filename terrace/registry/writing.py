@@ -51,6 +51,26 @@ SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= '1997-01-01' THEN o_total
 FROM orders"""
 
 
+def _merged_by_two(spark, sf_dir):
+    """Customers keyed by number and nation; a delivery that leaves out the region of the lowest nations."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    earlier = F.lit(_EARLIER).cast("timestamp")
+    target = customers.filter("c_nationkey < 15").withColumns({"created_at": earlier, "updated_at": earlier})
+    source = customers.filter("c_nationkey >= 5").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    return upsert.upsert(
+        target, source, ["c_custkey", "c_nationkey"],
+        stamp=F.lit(_STAMP).cast("timestamp"), created="created_at", updated="updated_at", action="action",
+    )
+
+
+_MERGED_BY_TWO_SQL = f"""
+SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey >= 5 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+  CASE WHEN c_nationkey < 15 THEN '{_EARLIER}' ELSE '{_STAMP}' END AS created_at,
+  CASE WHEN c_nationkey >= 5 THEN '{_STAMP}' ELSE '{_EARLIER}' END AS updated_at,
+  CASE WHEN c_nationkey < 5 THEN 'kept' WHEN c_nationkey < 15 THEN 'updated' ELSE 'inserted' END AS action
+FROM customer"""
+
+
 def _counts(spark, sf_dir):
     return upsert.action_counts(_merged(spark, sf_dir), "action")
 
@@ -204,7 +224,7 @@ def _relaxed(spark, sf_dir):
 
 ENTRIES = {
     "upsert_large_source": (lambda s, d: portable(_merged(s, d)), _MERGED_SQL),
-    "upsert_measured_source": (lambda s, d: portable(_merged(s, d)), _MERGED_SQL),
+    "upsert_measured_source": (lambda s, d: portable(_merged_by_two(s, d)), _MERGED_BY_TWO_SQL),
     "upsert_in_buckets": (_in_buckets, _IN_BUCKETS_SQL),
     "upsert_counts": (
         _counts,
