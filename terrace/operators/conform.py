@@ -49,6 +49,11 @@ def missing_required(schema: StructType) -> Column:
     return test
 
 
+def unbounded(schema: StructType) -> StructType:
+    """The schema with texts of any length."""
+    return StructType([StructField(f.name, f.dataType, f.nullable, {k: v for k, v in f.metadata.items() if k != _LENGTH}) for f in schema])
+
+
 def relaxed(schema: StructType, columns: Sequence[str] | None = None) -> StructType:
     """The schema with the given columns (default all) made nullable."""
     return StructType(

@@ -10,9 +10,10 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from terrace.operators import quality as q
-from terrace.operators.conform import conformed, relaxed
+from terrace.operators.conform import conformed, relaxed, unbounded
 from terrace.operators.upsert import upsert
 from terrace.plans import gold, rules, silver
 from terrace.plans.bronze import LoadCounts, Loaded, load_source, replace_source
@@ -170,6 +171,9 @@ class Warehouse:
         self.log.finish_job(job, "Failed", f"Failed at {where}: {message}")
         self.log.alert(job, "Critical", f"Load failure: {where}", message)
 
+    def _declared(self, schema: StructType) -> StructType:
+        return relaxed(schema if self.preset.declared_lengths else unbounded(schema))
+
     def _today(self):
         return F.lit(self.as_of or self.clock().date()).cast("date")
 
@@ -189,7 +193,7 @@ class Warehouse:
             else:
                 rows = model.withColumns({"meta_created_at": stamp, "meta_updated_at": stamp})
             if not self.preset.typed_delivery:
-                rows = conformed(rows, relaxed(SILVER[name]))
+                rows = conformed(rows, self._declared(SILVER[name]))
             path = self.layers.write("silver", name, rows)
             gates = [] if self.preset.typed_delivery else rules.silver_gates(name)
             others = rules.silver_rules(name, today)
@@ -206,7 +210,7 @@ class Warehouse:
 
         def write(name: str, rows: DataFrame) -> str:
             if not self.preset.current_products:
-                rows = conformed(rows.withColumn("meta_created_at", stamp), relaxed(GOLD[name]))
+                rows = conformed(rows.withColumn("meta_created_at", stamp), self._declared(GOLD[name]))
             return self.layers.write("gold", name, rows)
 
         def customers() -> str:

@@ -277,3 +277,16 @@ def test_rule_is_silent_on_clean_rows_and_fires_on_broken_ones(spark, name):
     line = quality.summarized("m", dirty, [rule]).first()
     failed = 3 if name == "related" else count  # three rows share the one orphaned value
     assert (line.failed_row_count, line.test_status) == (failed, rule.severity)
+
+
+def test_unbounded_schema_takes_texts_of_any_length(spark):
+    from pyspark.sql.types import StructType
+
+    from terrace.operators.conform import conformed, unbounded, varchar
+
+    declared = StructType([varchar("name", 3, False)])
+    rows = spark.createDataFrame([("abcd",)], "name string")
+    assert conformed(rows, unbounded(declared)).first().name == "abcd"
+    assert not unbounded(declared)["name"].nullable
+    with pytest.raises(Exception, match="longer than 3"):
+        conformed(rows, declared).collect()
