@@ -178,6 +178,19 @@ def _file_facts(spark, sf_dir):
     )
 
 
+def _written_file_facts(spark, sf_dir):
+    """Sizes of files this query writes: one of names for each type and brand, a line each, and one without a byte."""
+    root = fresh_path(spark, "names")
+    names = table(spark, sf_dir, "part").select("p_type", "p_brand", "p_name")
+    names.repartition("p_type", "p_brand").write.partitionBy("p_type", "p_brand").text(root)
+    names.limit(0).select("p_name").coalesce(1).write.text(f"{root}/p_type=none/p_brand=none")
+    folders = F.split("source_file", "/")
+    held = [F.regexp_replace(F.url_decode(F.element_at(folders, -at)), "^[a-z_]+=", "").alias(c) for at, c in ((3, "p_type"), (2, "p_brand"))]
+    # The folder names were escaped once by the writer and once in the path.
+    again = [F.url_decode(c).alias(c) for c in ("p_type", "p_brand")]
+    return files.file_facts(spark, root, recursive=True).select(*held, "file_size_bytes").select(*again, "file_size_bytes")
+
+
 _CUSTOMERS = Source(
     "crm_cust_info",
     ("cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr", "cst_create_date"),
@@ -330,6 +343,14 @@ ENTRIES = {
         "SELECT p_partkey, p_name || ', \"' || p_brand || '\"' AS p_name, p_brand, true AS crlf FROM part",
     ),
     "source_file_facts": (_file_facts, None),
+    "written_file_facts": (
+        _written_file_facts,
+        """
+        SELECT p_type, p_brand, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS file_size_bytes
+        FROM part GROUP BY p_type, p_brand
+        UNION ALL SELECT 'none', 'none', CAST(0 AS BIGINT)
+        """,
+    ),
     "bronze_load": (
         _bronze_rows,
         f"""{with_raw("crm_cust_info", "cust_deliveries")},

@@ -134,36 +134,30 @@ def with_row_numbers(staged: DataFrame, name: str = "source_row_number") -> Data
     )
 
 
-def file_facts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Path, size and modification time of each file; contents are not read.
+def file_facts(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
+    """Path, size and modification time of each file, with ``recursive`` at any depth; contents are not read.
 
-    Spark plans no scan of a file of zero bytes, so such files are taken from the
-    file system's listing of the path: one entry each, empty deliveries only.
+    Spark lists the path, many folders in parallel. It plans no scan of a file of
+    zero bytes, so of the listed files those without a row are asked for their
+    time one by one: empty deliveries only. Paths are written as scans write them.
     """
-    filled = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_size").alias("file_size_bytes"),
-            F.col("_metadata.file_modification_time").alias("file_modified_at"),
-        )
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+    filled = listed.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_size").alias("file_size_bytes"),
+        F.col("_metadata.file_modification_time").alias("file_modified_at"),
     )
-    hidden = ("_", ".")
-    listed = []
-    for one in [path] if isinstance(path, str) else path:
-        root = spark._jvm.org.apache.hadoop.fs.Path(one)
-        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        listed += [s for found in system.globStatus(root) or [] for s in (system.listStatus(found.getPath()) if found.isDirectory() else [found])]
-    empty = [
-        (re.sub("^([a-z0-9]+):/+", lambda m: f"{m[1]}:///" if m[1] == "file" else m[0], str(s.getPath())), 0, s.getModificationTime() / 1000.0)
-        for s in listed
-        if not s.isDirectory() and s.getLen() == 0 and not s.getPath().getName().startswith(hidden)
-    ]
+    # The listing writes local paths with three slashes, a scan with one.
+    names = spark.createDataFrame([(re.sub("^file:/+", "file:/", name),) for name in listed.inputFiles()], "source_file string")
+    empty = []
+    for row in names.join(filled, "source_file", "left_anti").collect():
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.source_file))
+        status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+        empty.append((row.source_file, status.getLen(), status.getModificationTime()))
     if not empty:
         return filled
-    rows = spark.createDataFrame(empty, "source_file string, file_size_bytes bigint, at double")
-    return filled.unionByName(rows.select("source_file", "file_size_bytes", F.timestamp_micros((F.col("at") * 1_000_000).cast("bigint")).alias("file_modified_at")))
+    rows = spark.createDataFrame(empty, "source_file string, file_size_bytes bigint, at bigint")
+    return filled.unionByName(rows.select("source_file", "file_size_bytes", F.timestamp_millis("at").alias("file_modified_at")))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -233,3 +233,9 @@ def test_empty_files_are_listed(spark, folder):
     (Path(folder) / "b.csv").write_text("")
     got = [(r.source_file.rsplit("/", 1)[1], r.file_size_bytes) for r in files.file_facts(spark, folder).collect()]
     assert sorted(got) == [("a.csv", 4), ("b.csv", 0)]
+    (Path(folder) / "deep er" / "still").mkdir(parents=True)
+    (Path(folder) / "deep er" / "c d.csv").write_text("")
+    (Path(folder) / "deep er" / "still" / "e.csv").write_text("k\n")
+    got = files.file_facts(spark, folder, recursive=True)
+    assert sorted((r.source_file.rsplit("/", 1)[1], r.file_size_bytes) for r in got.collect()) == [("a.csv", 4), ("b.csv", 0), ("c%20d.csv", 0), ("e.csv", 2)]
+    assert got.filter("file_modified_at < current_timestamp() - interval 1 hour or file_modified_at is null").count() == 0
