@@ -11,16 +11,20 @@ document holds its shingles, and the words of its question and of its answer.
 
 from __future__ import annotations
 
+import pickle
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from terrace.llm.common import Words, lowered, pieces, run_hashes, stripped_hashes, text_or_empty
+from terrace.llm.common import Words, lowered, pieces, run_hashes, stored, stripped_hashes, text_or_empty
 
 CELL = 64  # words; a passage is two cells and starts every cell, so an entry of a cell's length lies within one
 THRESHOLD = 0.7  # of an item's own score, to be retrieved
@@ -28,6 +32,7 @@ SHINGLE, SIMILAR = 5, 0.8
 K1, B = 1.2, 0.75
 BLOCK = 8  # entries
 SHARD_CHARS = 2_000_000  # of item text in one index, the size of what is broadcast
+SUMS = 500_000  # of bounds held at once
 
 
 class Index:
@@ -60,9 +65,25 @@ class Index:
         weight = weight / np.bincount(entry, weight, minlength=n)[entry]
         self.first = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.entry, self.weight = entry, weight
-        self.bounds = np.zeros((len(self.terms), -(-n // BLOCK) if n else 0), np.float32)
-        np.maximum.at(self.bounds, (term, entry // BLOCK), weight.astype(np.float32))
-        self.most = self.bounds.max(axis=1) if self.bounds.size else np.zeros(len(self.terms), np.float32)
+        # Bounds of the blocks a term occurs in, term after term.
+        self.blocks = -(-n // BLOCK)
+        at = np.flatnonzero(np.diff(term * max(1, self.blocks) + entry // BLOCK, prepend=-1))
+        self.block = (entry // BLOCK)[at]
+        self.bound = np.maximum.reduceat(weight, at) if len(at) else weight
+        self.block_first = np.searchsorted(term[at], np.arange(len(self.terms) + 1))
+        self.most = np.maximum.reduceat(weight, self.first[:-1]) if len(weight) else weight
+
+    def block_bound(self, term: int, block: int) -> float:
+        low, high = self.block_first[term], self.block_first[term + 1]
+        at = low + np.searchsorted(self.block[low:high], block)
+        return float(self.bound[at]) if at < high and self.block[at] == block else 0.0
+
+    def best_blocks(self, terms: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
+        """For each of n passages the highest sum of bounds over blocks; `passage` numbers the terms' passages."""
+        sizes = self.block_first[terms + 1] - self.block_first[terms]
+        rows = np.repeat(self.block_first[terms] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        sums = np.bincount(np.repeat(passage, sizes) * self.blocks + self.block[rows], self.bound[rows], minlength=n * self.blocks)
+        return sums.reshape(n, self.blocks).max(axis=1)
 
     def retrieve(self, query: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: all (entry, score) of at least the threshold for distinct query terms."""
@@ -84,7 +105,7 @@ class Index:
                 return found
             ahead = [i for i in order if head[i] <= pivot]
             block = pivot // BLOCK
-            if sum(float(self.bounds[lists[i][3], block]) for i in ahead) < threshold:
+            if sum(self.block_bound(lists[i][3], block) for i in ahead) < threshold:
                 # No entry from here to the end of the block, or to the next list's head, can do it.
                 later = min((head[i] for i in order if head[i] > pivot), default=end)
                 target = min((block + 1) * BLOCK, later)
@@ -147,12 +168,12 @@ def _search(index: Index, texts: list[bytes], threshold: float) -> list[dict[int
     reach = np.add.reduceat(index.most[terms], begin)
     ends = np.append(begin[1:], len(terms))
     possible = np.flatnonzero(reach >= threshold)
-    for some in np.array_split(possible, max(1, len(possible) // 2048)):
+    for some in np.array_split(possible, len(possible) * index.blocks // SUMS + 1):
         if not len(some):
             continue
         sizes = ends[some] - begin[some]
         rows = np.repeat(begin[some] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        bound = np.add.reduceat(index.bounds[terms[rows]], np.cumsum(sizes) - sizes, axis=0).max(axis=1)
+        bound = index.best_blocks(terms[rows], np.repeat(np.arange(len(some)), sizes), len(some))
         for k in some[bound >= threshold - 1e-4]:
             of = int(np.searchsorted(base - 1, passage[begin[k]], side="right") - 1)
             for entry, score in index.retrieve(terms[begin[k] : ends[k]], threshold):
@@ -166,14 +187,41 @@ def _search(index: Index, texts: list[bytes], threshold: float) -> list[dict[int
     return out
 
 
-def indexes(items: DataFrame, shard_chars: int = SHARD_CHARS) -> Iterator[Index]:
-    """One index for each shard of items; the number of shards follows the text there is."""
-    items = items.select("item_id", text_or_empty().alias("text"))
+def indexes(items: DataFrame, shard_chars: int = SHARD_CHARS) -> DataFrame:
+    """shard, index: a pickled Index for each shard of the different items, built in tasks and written.
+
+    The number of shards follows the text there is. An empty table has none.
+    """
+    items = items.select("item_id", text_or_empty().alias("text")).where("text != ''").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = -(-total // shard_chars)
-    for k in range(shards):
-        held = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k)
-        yield Index([(r.item_id, r.text) for r in held.orderBy("item_id", "text").toLocalIterator()])
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, shards))))
+
+    def built(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
+        index = Index(sorted(zip(held["item_id"].tolist(), held["text"])))
+        return pd.DataFrame({"shard": [key[0]], "index": [pickle.dumps(index)]})
+
+    return stored(dealt.groupBy("shard").applyInPandas(built, "shard bigint, index binary"), "item-indexes")
+
+
+def _searched(docs: DataFrame, index: bytes, threshold: float, every: bool) -> tuple[DataFrame, Broadcast]:
+    """docs with items and score by one index, all rows or only those that hold some; and the broadcast to be given up later."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    names = [*docs.columns, "items", "score"]
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(shared.value)
+        for batch in batches:
+            for part, texts in pieces(batch):
+                found = _search(own, texts, threshold)
+                ids = pa.array([sorted({own.items[i][0] for i in f}) for f in found], pa.list_(pa.int64()))
+                best = pa.array([max(f.values(), default=0.0) for f in found], pa.float64())
+                rows = batch.slice(part.start, len(texts))
+                out = pa.RecordBatch.from_arrays([*rows.columns, ids, best], names)
+                yield out if every else out.filter(pa.array([bool(f) for f in found], pa.bool_()))
+
+    kinds = T.StructType([*docs.schema.fields, T.StructField("items", T.ArrayType(T.LongType())), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(searched, kinds), shared
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, shard_chars: int = SHARD_CHARS) -> DataFrame:
@@ -183,29 +231,38 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     is held when at least SIMILAR of its distinct shingles of five words occur
     in the document, and SIMILAR of the words of its question and of its answer.
     Null and empty texts hold nothing; items without words or without an id are
-    never held; repeated items and rows are treated alike. Empty tables give no
-    items. Columns of docs named like a result column are replaced.
+    never held; repeated items and rows are treated alike, texts of any length are
+    searched whole. Empty tables give no items. Columns of docs named like a
+    result column are replaced.
+
+    Of a benchmark of several shards one index at a time is held by the driver and
+    the executors: each is searched in a pass of its own that writes what it found,
+    by the texts' hashes, and what all found is joined to the rows.
     """
+    # Columns of any name travel in one, beside the text.
     plain = [c for c in docs.columns if c not in ("items", "score")]
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(index) for index in indexes(items.where("item_id IS NOT NULL"), shard_chars)]
-
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in pieces(batch):
-                ids: list[set[int]] = [set() for _ in texts]
-                best = np.zeros(len(texts))
-                for index in shared:
-                    for k, found in enumerate(_search(index.value, texts, threshold)):
-                        for item, score in found.items():
-                            ids[k].add(index.value.items[item][0])
-                            best[k] = max(best[k], score)
-                rows = batch.slice(part.start, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array([sorted(s) for s in ids], pa.list_(pa.int64())), pa.array(best)], [*plain, "items", "score"]
-                )
+    others = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in plain if c != "text"]).alias("_others")
+    rows = docs.select(others, "text")
+    result = [(F.col("text") if c == "text" else F.col("_others").getField(c)).alias(c) for c in plain]
+    built = indexes(items.where("item_id IS NOT NULL"), shard_chars)
+    shards = [r.shard for r in built.select("shard").collect()]
 
-    from pyspark.sql import types as T
+    def index_of(shard: int) -> bytes:
+        return bytes(built.where(F.col("shard") == shard).first()["index"])
 
-    kinds = docs.select(*plain).schema.add("items", T.ArrayType(T.LongType())).add("score", T.DoubleType())
-    return docs.select(*plain).mapInArrow(searched, kinds)
+    if not shards:
+        nothing = [F.array().cast("array<bigint>").alias("items"), F.lit(0.0).alias("score")]
+        return rows.select(*result, *nothing)
+    if len(shards) == 1:
+        return _searched(rows, index_of(shards[0]), threshold, every=True)[0].select(*result, "items", "score")
+    found = None
+    texts = docs.select(F.md5(text_or_empty().cast("binary")).alias("version"), "text")
+    for shard in shards:
+        some, shared = _searched(texts, index_of(shard), threshold, every=False)
+        some = stored(some.select("version", "items", "score").distinct(), "held-items")
+        shared.destroy()
+        found = some if found is None else found.union(some)
+    found = found.groupBy("version").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("score").alias("score"))
+    whole = rows.withColumn("version", F.md5(text_or_empty().cast("binary"))).join(found, "version", "left")
+    none = F.array().cast("array<bigint>")
+    return whole.select(*result, F.coalesce("items", none).alias("items"), F.coalesce("score", F.lit(0.0)).alias("score"))

@@ -59,3 +59,32 @@ def test_contaminated_documents(spark):
     assert {r.doc_id: r["items"] for r in again} == found
     none = dc.contaminated(frame(spark, pairs[:3]), extra.limit(0)).collect()
     assert [r["items"] for r in none] == [[], [], []]
+    # A hot item repeated a thousand times is one entry; clashing columns are carried or replaced.
+    hot = extra.union(spark.range(1000).selectExpr("5 AS item_id", f"'{known[5][1]}' AS text"))
+    clashing = frame(spark, pairs).select("doc_id", "text").selectExpr("*", "1 AS score", "2 AS `items`", "3 AS version", "4 AS shard", "5 AS _row", "6 AS `a.b`")
+    for chars in (dc.SHARD_CHARS, 4000):
+        got = dc.contaminated(clashing, hot, shard_chars=chars).collect()
+        assert {r.doc_id: r["items"] for r in got} == found and len(got) == len(pairs)
+        assert {(r.version, r.shard, r["_row"], r["a.b"]) for r in got} == {(3, 4, 5, 6)}
+        assert dc.contaminated(clashing.limit(0), hot, shard_chars=chars).count() == 0
+
+
+def test_long_text(spark):
+    rng = random.Random(5)
+    known = items(rng, 6)
+    text = f"{words(rng, 300_000, 900)} {known[4][1]} {words(rng, 20, 900)}"
+    for chars in (dc.SHARD_CHARS, 1500):
+        got = dc.contaminated(frame(spark, [(1, text)]), spark.createDataFrame(known, "item_id long, text string"), shard_chars=chars).collect()
+        assert [r["items"] for r in got] == [[4]]
+
+
+def test_bounds_by_block():
+    index = dc.Index(items(random.Random(4), 60))
+    dense = np.zeros((len(index.terms), index.blocks))
+    term = np.repeat(np.arange(len(index.terms)), np.diff(index.first))
+    np.maximum.at(dense, (term, index.entry // dc.BLOCK), index.weight)
+    draw = np.random.default_rng(2)
+    terms = [draw.choice(len(index.terms), k, replace=False) for k in (1, 7, 90)]
+    got = index.best_blocks(np.concatenate(terms), np.repeat(np.arange(3), [1, 7, 90]), 3)
+    assert np.allclose(got, [dense[t].sum(axis=0).max() for t in terms])
+    assert all(index.block_bound(t, b) == dense[t, b] for t in range(0, len(dense), 9) for b in range(index.blocks))
