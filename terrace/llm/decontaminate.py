@@ -73,10 +73,9 @@ class Index:
         self.block_first = np.searchsorted(term[at], np.arange(len(self.terms) + 1))
         self.most = np.maximum.reduceat(weight, self.first[:-1]) if len(weight) else weight
 
-    def block_bound(self, term: int, block: int) -> float:
-        low, high = self.block_first[term], self.block_first[term + 1]
-        at = low + np.searchsorted(self.block[low:high], block)
-        return float(self.bound[at]) if at < high and self.block[at] == block else 0.0
+    def block_bounds(self, term: int) -> dict[int, float]:
+        held = slice(self.block_first[term], self.block_first[term + 1])
+        return dict(zip(self.block[held].tolist(), self.bound[held].tolist()))
 
     def best_blocks(self, terms: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
         """For each of n passages the highest sum of bounds over blocks; `passage` numbers the terms' passages."""
@@ -87,7 +86,7 @@ class Index:
 
     def retrieve(self, query: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: all (entry, score) of at least the threshold for distinct query terms."""
-        lists = [(self.entry[a:b].tolist(), self.weight[a:b].tolist(), float(self.most[t]), t) for t in query for a, b in [self.first[t : t + 2]]]
+        lists = [(self.entry[a:b].tolist(), self.weight[a:b].tolist(), float(self.most[t]), self.block_bounds(t)) for t in query for a, b in [self.first[t : t + 2]]]
         at = [0] * len(lists)
         found, end = [], 1 << 60
         head = [x[0][0] for x in lists]
@@ -105,7 +104,7 @@ class Index:
                 return found
             ahead = [i for i in order if head[i] <= pivot]
             block = pivot // BLOCK
-            if sum(self.block_bound(lists[i][3], block) for i in ahead) < threshold:
+            if sum(lists[i][3].get(block, 0.0) for i in ahead) < threshold:
                 # No entry from here to the end of the block, or to the next list's head, can do it.
                 later = min((head[i] for i in order if head[i] > pivot), default=end)
                 target = min((block + 1) * BLOCK, later)

@@ -87,4 +87,4 @@ def test_bounds_by_block():
     terms = [draw.choice(len(index.terms), k, replace=False) for k in (1, 7, 90)]
     got = index.best_blocks(np.concatenate(terms), np.repeat(np.arange(3), [1, 7, 90]), 3)
     assert np.allclose(got, [dense[t].sum(axis=0).max() for t in terms])
-    assert all(index.block_bound(t, b) == dense[t, b] for t in range(0, len(dense), 9) for b in range(index.blocks))
+    assert all(index.block_bounds(t) == {b: dense[t, b] for b in np.flatnonzero(dense[t])} for t in range(len(dense)))
