@@ -239,3 +239,14 @@ def test_empty_files_are_listed(spark, folder):
     got = files.file_facts(spark, folder, recursive=True)
     assert sorted((r.source_file.rsplit("/", 1)[1], r.file_size_bytes) for r in got.collect()) == [("a.csv", 4), ("b.csv", 0), ("c%20d.csv", 0), ("e.csv", 2)]
     assert got.filter("file_modified_at < current_timestamp() - interval 1 hour or file_modified_at is null").count() == 0
+
+
+def test_ids_of_log_rows(spark, folder):
+    log = RunLog(spark, folder, lambda: at(1))
+    counts = spark.range(6).selectExpr("'gold' AS layer_name", "concat('t', id) AS table_name", "id AS row_count")
+    stamped = log._stamped("table_row_counts", counts)
+    key = stamped.columns[0]
+    first = rows(stamped.orderBy("table_name"), key)
+    assert first == rows(stamped.repartition(3).orderBy("table_name"), key) and len(set(first)) == 6
+    assert all([len(part) for part in value.split("-")] == [8, 4, 4, 4, 12] for (value,) in first)
+    assert not set(first) & set(rows(log._stamped("table_row_counts", counts), key))
