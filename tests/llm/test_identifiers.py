@@ -1,5 +1,8 @@
 import hashlib
+import random
 import re
+from collections import Counter
+from math import exp, log1p
 
 from helpers import frame
 
@@ -70,3 +73,52 @@ def test_contexts_of_discovered_instances_and_glued_contexts_count(spark):
     pairs += [(400 + k, f"tel:+1 555 111 {1000 + k}") for k in range(20)] + [(500, "tel:555-8888"), (600, "about 555-9999")]
     found = {r.doc_id: r.n_found for r in pii.personal_data(frame(spark, pairs)).collect()}
     assert (found[100], found[300], found[500], found[600]) == (1, 1, 1, 0)
+
+
+def confident(met, texts):
+    """The patterns that hold, scored one by one in plain Python from the matches (rows) and the texts."""
+    n, seeds, words = Counter(), {}, Counter()
+    spans = {doc_id: [] for doc_id in texts}
+    for m in met:
+        if m.kind is None:
+            continue
+        spans[m.doc_id].append((m.start, m.end))
+        for side in ("left", "right"):
+            if (m.holds or not m.base) and m[side]:
+                n[m.kind, side, m[side], m.match] += 1
+                seeds[m.kind, m.match] = seeds.get((m.kind, m.match), False) or m.holds
+    for doc_id, text in texts.items():
+        held = list(text)
+        for a, e in spans[doc_id]:
+            held[a:e] = " " * (e - a)
+        words.update("".join(held).lower().split())
+    beside = Counter()
+    for (kind, side, word, _), k in n.items():
+        beside[kind, side, word] += k
+    total = {word: max(words[word], *(k for (_, _, w), k in beside.items() if w == word)) for _, _, word in beside}
+    score, sure = {i: float(s) for i, s in seeds.items()}, {}
+    for _ in range(pii.ROUNDS):
+        good, support = Counter(), Counter()
+        for (kind, side, word, match), k in n.items():
+            good[kind, side, word] += k * score[kind, match]
+            support[kind, side, word] += score[kind, match] > pii.CONFIDENT
+        sure = {p: min(1.0, good[p] / total[p[2]]) for p in good if support[p] >= pii.SUPPORT}
+        for kind, match in score:
+            held = [min(0.999999, sure[k, s, w]) for k, s, w, m in n if (k, m) == (kind, match) and (k, s, w) in sure]
+            score[kind, match] = 1.0 if seeds[kind, match] else 1 - exp(sum(log1p(-x) for x in held))
+    return {p for p in sure if sure[p] >= pii.CONFIDENT}
+
+
+def test_scores_of_patterns_against_plain_python(spark):
+    rng = random.Random(6)
+    drawn = []
+    for k in range(400):
+        number = f"+1 555 {rng.randrange(30):03} {1000 + rng.randrange(20)}" if rng.random() < 0.3 else f"555-{rng.randrange(1000, 1040)}"
+        mail = f"u{rng.randrange(25)}@{'x.org' if rng.random() < 0.5 else 'host'}"
+        found = rng.choice([number, mail, "nothing"])
+        drawn.append((k, f"Pre {rng.choice(['tel', 'ring', 'fax', 'the', 'of', 'write'])} {found} {rng.choice(['now', 'or', 'the', 'of', 'ask'])} end the of"))
+    docs = frame(spark, drawn)
+    met = pii.stored(pii.occurrences(docs), "identifiers")
+    wanted = confident(met.collect(), dict(drawn))
+    got = {(r.kind, r.side, r.word) for r in pii.patterns(met, docs).collect()}
+    assert got == wanted and 0 < len(wanted) < 40
