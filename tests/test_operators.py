@@ -290,3 +290,19 @@ def test_unbounded_schema_takes_texts_of_any_length(spark):
     assert not unbounded(declared)["name"].nullable
     with pytest.raises(Exception, match="longer than 3"):
         conformed(rows, declared).collect()
+
+
+def test_where_repeated_chooses_among_repeated_keys_only(spark, monkeypatch):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("c", 5)], "k string, source_row_number int")
+    seen = []
+
+    def choose(some):
+        seen.append(some.count())
+        return dedup.keep_last_in_file(some, ["k"])
+
+    wanted = [("a", 1), ("b", 2), ("c", 5)]
+    assert rows(dedup.where_repeated(df, ["k"], choose)) == wanted
+    monkeypatch.setattr(dedup, "FEW_REPEATED", 0)
+    assert rows(dedup.where_repeated(df, ["k"], choose)) == wanted
+    assert seen == [2, 4]
+    assert rows(dedup.where_repeated(df.where("k != 'b'"), ["k"], choose)) == [("a", 1), ("c", 5)]
