@@ -265,3 +265,13 @@ def test_country_map_can_be_replaced(spark):
     raw = spark.createDataFrame([("AW-1", "DE"), ("AW-2", " "), ("AW-3", " USA ")], "CID string, CNTRY string")
     assert rows(locations(raw, german)) == [("AW1", "Germany"), ("AW2", "n/a"), ("AW3", "United States")]
     assert rows(locations(raw)) == [("AW1", "Denmark"), ("AW2", ""), ("AW3", "United States")]
+
+
+def test_empty_country_of_a_delivery_can_be_null(spark, folder):
+    place = SOURCE_BY_NAME["erp_loc_a101"]
+    paths = deliver(folder)
+    for told, wanted in ((False, ""), (True, None)):
+        w = Warehouse(spark, f"{folder}/{told}", empty_is_null=told, clock=Clock())
+        w.set_up()
+        w.load_bronze(paths, [place])
+        assert ("AW-3", wanted) in rows(w.layers.read("bronze", place.name), "CID", "CNTRY")
