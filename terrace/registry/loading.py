@@ -6,6 +6,7 @@ Spark first writes the shared tables as CSV into the shared folder.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -144,7 +145,11 @@ def _lineage(spark, sf_dir):
 
 
 def _row_numbers(spark, sf_dir):
-    """Lines sorted in several files. Numbers must follow the order: the weighted sum falls with any other numbering."""
+    """Lines sorted in several files. Numbers must follow the order: the weighted sum falls with any other numbering.
+
+    The weight grows with the third power of the rows. It is summed exactly; of one that no long holds, as
+    from some millions of rows on, the column has the low 64 bits.
+    """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     lines = table(spark, sf_dir, "lineitem").select(*keys)
     path = _exported(lines.repartitionByRange(5, "l_orderkey").sortWithinPartitions(*keys), "lines")
@@ -156,10 +161,13 @@ def _row_numbers(spark, sf_dir):
         F.coalesce(F.sum("b.n"), F.lit(0)).alias("before")
     )
     through = numbered.join(before, "source_file").withColumn("number", F.col("before") + F.col("source_row_number"))
-    return through.agg(
-        F.count(F.lit(1)).alias("row_count"), F.countDistinct("number").alias("numbers"), F.max("number").alias("highest"),
-        F.sum(F.col("number") * F.col("l_orderkey").cast("bigint")).alias("weight"),
+    weight = F.sum(F.col("number").cast("decimal(19,0)") * F.col("l_orderkey").cast("decimal(19,0)")).alias("weight")
+    found = through.agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("number").alias("numbers"), F.max("number").alias("highest"), weight
     )
+    turn, half = F.lit(Decimal(1 << 64)), F.lit(Decimal(1 << 63))
+    low = F.pmod(F.col("weight").cast("decimal(38,0)"), turn)
+    return found.withColumn("weight", F.when(low >= half, low - turn).otherwise(low).cast("bigint"))
 
 
 def _export_round_trip(spark, sf_dir):

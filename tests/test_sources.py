@@ -250,3 +250,41 @@ def test_ids_of_log_rows(spark, folder):
     assert first == rows(stamped.repartition(3).orderBy("table_name"), key) and len(set(first)) == 6
     assert all([len(part) for part in value.split("-")] == [8, 4, 4, 4, 12] for (value,) in first)
     assert not set(first) & set(rows(log._stamped("table_row_counts", counts), key))
+
+
+def test_upsert_that_redelivers_all_or_most_rows_equals_upsert(spark, folder):
+    from terrace.operators.upsert import upsert
+    from terrace.sources import buckets
+
+    held = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("c", 3, None)], "k string, n int, v string")
+    cases = {
+        "into nothing": (held.limit(0), [("a", 1, "x"), ("b", 2, None)]),
+        "all": (held, [("a", 9, "z"), ("b", 8, None), ("c", 7, "w"), ("d", 6, "q")]),
+        "most": (held, [("a", 9, "z"), ("c", 7, "w")]),
+        "no key": (held.unionByName(spark.createDataFrame([(None, 5, "n")], held.schema)), [("a", 9, "z"), ("d", 1, "e")]),
+        "key twice": (held.unionByName(held.where("k = 'a'")), [("a", 9, "z")]),
+    }
+    for label, (target, new) in cases.items():
+        incoming = spark.createDataFrame(new, held.schema)
+        got = buckets._merged(target, target.count(), incoming, len(new), ["k"], {})
+        assert sorted(map(str, got.collect())) == sorted(map(str, upsert(target, incoming, ["k"]).collect())), label
+
+
+def test_upsert_of_a_full_delivery_shuffles_keys_only(spark):
+    from terrace.sources import buckets
+
+    held = spark.range(50).selectExpr("cast(id as string) as k", "repeat('x', 50) as wide")
+    plan = buckets._merged(held, 50, held, 50, ["k"], {})._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan
+
+
+def test_weight_of_row_numbers_beyond_a_long(spark, folder):
+    from terrace.registry.loading import ENTRIES
+
+    big = 1 << 62
+    rows = [(big + i, 1, 1, 1, 1.0) for i in range(4)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double").write.parquet(folder + "/lineitem.parquet")
+    got = ENTRIES["file_row_numbers"][0](spark, folder).first()
+    exact = sum((i + 1) * (big + i) for i in range(4))
+    assert (got.row_count, got.numbers, got.highest) == (4, 4, 4)
+    assert got.weight == (exact + (1 << 63)) % (1 << 64) - (1 << 63)
