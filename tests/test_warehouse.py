@@ -4,6 +4,7 @@ import datetime as dt
 import tempfile
 from dataclasses import replace
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import BIRTHS, SALES, at, deliver, rows
@@ -13,6 +14,7 @@ from terrace.plans import presets
 from terrace.plans.bronze import quarantined
 from terrace.plans.warehouse import CheckFailed, Warehouse
 from terrace.schemas import SOURCE_BY_NAME
+from terrace.session import shared_folder
 
 D = dt.date
 
@@ -275,3 +277,21 @@ def test_empty_country_of_a_delivery_can_be_null(spark, folder):
         w.set_up()
         w.load_bronze(paths, [place])
         assert ("AW-3", wanted) in rows(w.layers.read("bronze", place.name), "CID", "CNTRY")
+
+
+def test_replaced_versions_and_scratch_tables_are_deleted(spark, folder):
+    """A second run leaves one version of each table, nothing beside it, and the same rows."""
+    moving = ("batch_id", "loaded_at", "meta_created_at", "meta_updated_at")
+
+    def held(table):
+        return rows(table.drop(*moving))
+
+    shared = Path(shared_folder(spark))
+    w, paths = warehouse(spark, folder, keep_old=False), deliver(folder)
+    w.run(paths)
+    before, beside = {t: held(w.layers.read(*t)) for t in w.layers.tables()}, set(shared.glob("*"))
+    w.run(paths)
+    assert set(shared.glob("*")) <= beside
+    assert {t: held(w.layers.read(*t)) for t in w.layers.tables()} == before
+    for layer, name in w.layers.tables():
+        assert len([p for p in Path(w.root, layer, name).glob("v-*") if list(p.rglob("*.parquet"))]) == 1
