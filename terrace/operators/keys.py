@@ -20,20 +20,20 @@ _SLICE = "_slice"
 _PARTITION_BITS = 33
 
 
-def in_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
+def in_slices(df: DataFrame, order: Sequence[str], slices: int | None = None, unwritten: Sequence[str] = ()) -> DataFrame:
     """Globally sorted rows, cut into slices and written.
 
     Adds ``_slice`` and ``_place``; places rise along the global order. The
     order must be total, or rows that tie are numbered in any order. Without
     ``slices`` adaptive execution merges neighbouring small slices, so a small
-    table does not become many tiny files.
+    table does not become many tiny files. Columns named by ``unwritten`` serve the order only.
     """
     ordered = [F.col(f"`{c}`").asc_nulls_first() for c in order]
     ranged = df.repartitionByRange(slices, *ordered) if slices else df.repartitionByRange(*ordered)
     placed = ranged.sortWithinPartitions(*ordered).withColumn(
         _PLACE, F.monotonically_increasing_id()
     )
-    rows = written(placed, "slices")
+    rows = written(placed.drop(*unwritten), "slices")
     release(df.sparkSession)
     return rows.withColumn(_SLICE, F.shiftright(_PLACE, _PARTITION_BITS))
 
@@ -53,12 +53,13 @@ def dense_key(
     name: str,
     first: int = 1,
     slices: int | None = None,
+    unwritten: Sequence[str] = (),
 ) -> DataFrame:
-    """Number the rows ``first, first + 1, ...`` along ``order`` without gaps."""
-    sliced = in_slices(df, order, slices)
+    """Number the rows ``first, first + 1, ...`` along ``order`` without gaps; columns ``unwritten`` are left out."""
+    sliced = in_slices(df, order, slices, unwritten)
     offsets = F.broadcast(slice_offsets(sliced))
     number = F.col("_before") + F.col(_PLACE) - F.col("_first") + first
-    return sliced.join(offsets, _SLICE).select(number.cast("bigint").alias(name), *df.columns)
+    return sliced.join(offsets, _SLICE).select(number.cast("bigint").alias(name), *[c for c in df.columns if c not in unwritten])
 
 
 def highest_number(df: DataFrame, c: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators import dedup, history, joins, keys, quality, upsert
 from terrace.plans.gold import sales_with_keys
+from terrace.registry.inputs import raw
 
 D = dt.date
 
@@ -306,3 +307,31 @@ def test_where_repeated_chooses_among_repeated_keys_only(spark, monkeypatch):
     assert rows(dedup.where_repeated(df, ["k"], choose)) == wanted
     assert seen == [2, 4]
     assert rows(dedup.where_repeated(df.where("k != 'b'"), ["k"], choose)) == [("a", 1), ("c", 5)]
+
+
+def test_line_items_are_dealt_once_for_sales(spark, folder):
+    """By order: the grouping by order and part and the join to the orders take them as they lie."""
+    items = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_tax double, l_shipdate timestamp"
+    lines = [(1, 7, 1, 2.0, 0.05, D(2001, 1, 1)), (1, 7, 2, 3.0, 0.01, D(2001, 1, 2)), (2, 8, 6, 1.0, 0.0, D(2001, 1, 3)), (None, 8, 1, 1.0, 0.0, None)]
+    lines = [(*r[:5], r[5] and dt.datetime(*r[5].timetuple()[:6])) for r in lines]
+    spark.createDataFrame(lines, items).write.parquet(f"{folder}/lineitem.parquet")
+    orders = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp"
+    held = [(1, 5, "O", "5-LOW", dt.datetime(2000, 12, 1)), (2, 6, "F", "5-LOW", dt.datetime(2000, 12, 2))]
+    spark.createDataFrame(held, orders).write.parquet(f"{folder}/orders.parquet")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = raw(spark, folder, "crm_sales_details")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert rows(got, "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_sales") == [(" SO1", "P7", " 3", ""), (" SO2", "P8", "0", "5")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_column_may_serve_the_order_only(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 2), ("c", 0)], "k string, v int")
+    numbered = keys.dense_key(df, ["k"], "key", unwritten=["k"])
+    assert numbered.columns == ["key", "v"]
+    assert rows(numbered) == [(1, 2), (2, 1), (3, 0)]
+    assert "k" not in keys.in_slices(df, ["k"], unwritten=["k"]).columns
