@@ -27,6 +27,7 @@ LEAST_DOCS = 8  # documents of the sample a feature must occur in
 CLEAR = 16.0  # log likelihood ratio (G squared) its occurrence in toxic and other documents must reach
 RIDGE, STEPS = 1e-3, 300
 REJECT = 0.4  # probability of a grade above 0 from which a document counts as toxic
+BLOCK = 1 << 18  # features of the sample the driver works on at once
 
 
 def features(texts: list[bytes], n_features: int = FEATURES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,14 +68,37 @@ def _told_apart(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> n
     return g
 
 
+def _blocks(bounds: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Documents, and the places of their features, of about BLOCK features each time."""
+    first = 0
+    while first < len(bounds) - 1:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + BLOCK, side="right")) - 1)
+        yield slice(first, last), slice(int(bounds[first]), int(bounds[last]))
+        first = last
+
+
+def _documents_with(value: np.ndarray, bounds: np.ndarray, toxic: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each feature the toxic documents that have it, and the others."""
+    bad, good = np.zeros(n_features, np.int64), np.zeros(n_features, np.int64)
+    for docs, places in _blocks(bounds):
+        side = np.repeat(toxic[docs], np.diff(bounds[docs.start : docs.stop + 1]))
+        bad += np.bincount(value[places][side], minlength=n_features)
+        good += np.bincount(value[places][~side], minlength=n_features)
+    return bad, good
+
+
 def fitted(value: np.ndarray, count: np.ndarray, bounds: np.ndarray, grade: np.ndarray, n_features: int = FEATURES) -> Model:
     """Maximum likelihood with a ridge on the weights, by Adam; thresholds stay ordered by construction."""
-    doc = np.repeat(np.arange(len(grade)), np.diff(bounds))
-    bad, good = (np.bincount(value[(grade > 0)[doc] == side], minlength=n_features) for side in (True, False))
+    bad, good = _documents_with(value, bounds, grade > 0, n_features)
     n_bad, n_good = max(1, (grade > 0).sum()), max(1, (grade == 0).sum())
     clear = _told_apart(bad, good, n_bad, n_good) >= CLEAR
-    keep = (clear & (bad + good >= LEAST_DOCS))[value]
-    value, doc, x = value[keep], doc[keep], np.log1p(count[keep])
+    tells = clear & (bad + good >= LEAST_DOCS)
+    kept = []
+    for docs, places in _blocks(bounds):
+        held = np.flatnonzero(tells[value[places]])
+        doc = np.repeat(np.arange(docs.start, docs.stop), np.diff(bounds[docs.start : docs.stop + 1]))
+        kept.append((value[places][held], doc[held], np.log1p(count[places][held].astype(np.int64))))
+    value, doc, x = (np.concatenate(parts) for parts in zip(*kept)) if kept else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     used, column = np.unique(value, return_inverse=True)
     top = int(grade.max()) if len(grade) else 0
     n, k = len(grade), GRADES - 1
@@ -116,12 +140,14 @@ def grades(value: np.ndarray, count: np.ndarray, bounds: np.ndarray, toxic: np.n
     A feature tells when its smoothed share among toxic documents is at least
     eight times that among the others. Toxic documents are cut into thirds.
     """
-    doc = np.repeat(np.arange(len(toxic)), np.diff(bounds))
-    bad = np.bincount(value[toxic[doc] == 1], minlength=n_features)
-    good = np.bincount(value[toxic[doc] == 0], minlength=n_features)
+    bad, good = _documents_with(value, bounds, toxic == 1, n_features)
     n_bad, n_good = max(1, toxic.sum()), max(1, (toxic == 0).sum())
     tells = ((bad + 0.5) / n_bad > 8 * (good + 0.5) / n_good) & (bad >= LEAST_DOCS)
-    share = np.bincount(doc, count * tells[value], minlength=len(toxic)) / np.maximum(1, np.bincount(doc, count, minlength=len(toxic)))
+    share = np.zeros(len(toxic))
+    for docs, places in _blocks(bounds):
+        lengths = np.diff(bounds[docs.start : docs.stop + 1])
+        doc, n = np.repeat(np.arange(len(lengths)), lengths), count[places].astype(np.int64)
+        share[docs] = np.bincount(doc, n * tells[value[places]], minlength=len(lengths)) / np.maximum(1, np.bincount(doc, n, minlength=len(lengths)))
     out = np.zeros(len(toxic), np.int64)
     rank = np.argsort(np.argsort(share[toxic == 1], kind="stable"), kind="stable")
     out[toxic == 1] = 1 + np.minimum(GRADES - 2, rank * (GRADES - 1) // max(1, len(rank)))
@@ -150,12 +176,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"])
     rows = rows.select("doc_id", F.col("toxic").cast("int"), "text")
     table = rows.mapInArrow(extracted, "doc_id bigint, toxic int, value array<int>, count array<int>").orderBy("doc_id").toArrow()
-    value = table["value"].combine_chunks()
-    bounds = np.concatenate(([0], np.cumsum(np.asarray(table["value"].combine_chunks().value_lengths())))).astype(np.int64)
-    flat = np.asarray(value.flatten(), dtype=np.int64)
-    count = np.asarray(table["count"].combine_chunks().flatten(), dtype=np.int64)
     toxic = np.asarray(table["toxic"], dtype=np.int64)
-    return fitted(flat, count, bounds, grades(flat, count, bounds, toxic))
+    lists = table["value"].combine_chunks()
+    bounds = np.concatenate(([0], np.cumsum(np.asarray(lists.value_lengths())))).astype(np.int64)
+    value, count = (np.asarray(column.flatten()) for column in (lists, table["count"].combine_chunks()))
+    # The driver keeps the features as they came, 32-bit numbers, once.
+    del table, lists
+    return fitted(value, count, bounds, grades(value, count, bounds, toxic))
 
 
 def severities(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,5 +1,7 @@
 """Language and toxicity on held-out rows of the small tables."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from helpers import frame
@@ -103,3 +105,21 @@ def test_gradient_raises_the_likelihood():
     model = toxicity.fitted(np.array(value), np.array(count), np.array(bounds), grade)
     over = model.exceeding(np.array(value), np.array(count), np.array(bounds)).sum(axis=1)
     assert over[grade == 0].mean() < over[grade == 1].mean() < over[grade == 3].mean()
+
+
+def test_the_model_is_fitted_in_little_memory():
+    """The driver holds the sample's features once, however many; the work on them is done in blocks."""
+    rng = np.random.default_rng(5)
+    n, each = 400, 10_000
+    toxic = np.arange(n) % 4 // 3
+    value = rng.integers(0, 1000, n * each).astype(np.int32)
+    value[::each] = np.where(toxic == 1, 7777, 5)
+    count, bounds = np.ones(n * each, np.int32), np.arange(n + 1) * each
+    tracemalloc.start()
+    grade = toxicity.grades(value, count, bounds, toxic)
+    model = toxicity.fitted(value, count, bounds, grade)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ((grade > 0) == (toxic == 1)).all()
+    assert model.weights[7777] > 0
+    assert peak < 2 * (value.nbytes + count.nbytes)
