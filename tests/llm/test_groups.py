@@ -1,15 +1,19 @@
 """Components, near duplicates and fuzzy lines against plain versions."""
 
+import math
 import random
 import re
+from pathlib import Path
 
 import numpy as np
+import pytest
 from helpers import corpus, frame, union_find, words
 
 from pyspark.sql import functions as F
 
 from terrace.llm import lines, neardup
-from terrace.llm.components import components
+from terrace.llm.components import _ranked, components
+from terrace.session import shared_folder
 
 
 def test_components(spark):
@@ -172,3 +176,19 @@ def test_lines_with_one_letter_changed_are_found(spark):
     left = {r.doc_id: r.text for r in lines.without_repeated_lines(frame(spark, pairs)).collect()}
     assert all(left[k] for k in range(300))
     assert sum(left[k] == "" for k in near) >= 0.98 * len(near)
+
+
+def test_ranked_writes_what_a_set_can_be_found_by(spark):
+    """Of the shingles only those a similar set must share one of, and one of each set; the sets are deleted."""
+    shared = Path(shared_folder(spark))
+    shared.mkdir(parents=True, exist_ok=True)
+    before = set(shared.glob("*"))
+    sets = [(node, s, 1.0) for node in range(1, 6) for s in range(20)] + [(6, 100 + s, 1.0) for s in range(20)]
+    prefixes, centrality = _ranked(spark.createDataFrame(sets, "node long, shingle long, weight double"), 0.8)
+    found = sorted((r.node, r.shingle, r.before, r.size) for r in prefixes.collect())
+    assert found == [(node, s, float(s), 20.0) for node in range(1, 6) for s in range(5)]
+    told = {r.node: r.shared for r in centrality.collect()}
+    assert told == pytest.approx({**{node: math.log(5) for node in range(1, 6)}, 6: 0.0})
+    left = set(shared.glob("*")) - before
+    assert [p.name.split("-")[0] for p in left] == ["ranked"]
+    assert spark.read.parquet(str(left.pop())).count() == 5 * 5 + 1
