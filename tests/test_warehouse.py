@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pytest
 from conftest import BIRTHS, SALES, at, deliver, rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from terrace.plans import presets
@@ -15,6 +16,8 @@ from terrace.plans.bronze import quarantined
 from terrace.plans.warehouse import CheckFailed, Warehouse
 from terrace.schemas import SOURCE_BY_NAME
 from terrace.session import shared_folder
+from terrace.sources import buckets
+from terrace.sources.layers import Layers
 
 D = dt.date
 
@@ -295,3 +298,32 @@ def test_replaced_versions_and_scratch_tables_are_deleted(spark, folder):
     assert {t: held(w.layers.read(*t)) for t in w.layers.tables()} == before
     for layer, name in w.layers.tables():
         assert len([p for p in Path(w.root, layer, name).glob("v-*") if list(p.rglob("*.parquet"))]) == 1
+
+
+def test_staging_is_emptied_before_the_next_load_unless_old_versions_are_kept(spark, folder):
+    place, paths = SOURCE_BY_NAME["erp_loc_a101"], deliver(folder)
+    for keep in (True, False):
+        w = Warehouse(spark, f"{folder}/{keep}", keep_old=keep, clock=Clock())
+        w.set_up()
+        w.load_bronze(paths, [place])
+        staged, loaded = (w.layers.read(layer, place.name) for layer in ("staging", "bronze"))
+        n, rows_loaded, columns = staged.count(), loaded.count(), staged.columns
+        with pytest.raises(AnalysisException):
+            w.load_bronze({place.name: f"{folder}/absent"}, [place])
+        left = w.layers.read("staging", place.name)
+        assert n > 0 and (left.count(), left.columns) == (n if keep else 0, columns)
+        assert w.layers.read("bronze", place.name).count() == rows_loaded
+
+
+def test_buckets_are_written_in_passes(spark, folder, monkeypatch):
+    """The table is as after one pass: updated, inserted and kept rows, of null keys too."""
+    ended = []
+    monkeypatch.setattr(buckets, "release", lambda spark: ended.append(1))
+    layers, kinds = Layers(spark, folder + "/wh"), "k string, v string"
+    layers.replace("bronze", "t", spark.createDataFrame([(str(i), "old") for i in range(40)] + [(None, "none")], kinds), at(1))
+    new = spark.createDataFrame([(str(i), "new") for i in range(20, 60)], kinds)
+    told = buckets.upsert_buckets(layers, "bronze", "t", new, ["k"], rows_per_bucket=10)
+    layers.publish({("bronze", "t"): told.paths}, at(2))
+    expected = [(str(i), "old" if i < 20 else "new") for i in range(60)] + [(None, "none")]
+    assert sorted(rows(layers.read("bronze", "t"), "k", "v"), key=str) == sorted(expected, key=str)
+    assert (told.inserted, told.updated, len(ended)) == (20, 20, buckets.PASSES)
