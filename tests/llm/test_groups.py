@@ -192,3 +192,25 @@ def test_ranked_writes_what_a_set_can_be_found_by(spark):
     left = set(shared.glob("*")) - before
     assert [p.name.split("-")[0] for p in left] == ["ranked"]
     assert spark.read.parquet(str(left.pop())).count() == 5 * 5 + 1
+
+
+def test_line_dedup_deletes_what_is_not_read_any_more(spark):
+    """Of its tables are left those the result reads, and the few links; pairs of unlike lines are told by their sketches."""
+    shared = Path(shared_folder(spark))
+    shared.mkdir(parents=True, exist_ok=True)
+    before = set(shared.rglob("*.parquet"))
+    rng = random.Random(3)
+    long = ["".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(3)]
+    texts = [*long, long[0][:200] + "#" + long[0][201:]]
+    got = lines.without_repeated_lines(frame(spark, list(enumerate(texts)))).collect()
+    assert sorted(r.doc_id for r in got if r.text) == [0, 1, 2]
+    left = {p.relative_to(shared).parts[0].rsplit("-", 5)[0].split("-")[0] for p in set(shared.rglob("*.parquet")) - before}
+    assert left <= {"line", "found", "links"}
+    signed = lines._signed(spark.createDataFrame(list(enumerate(texts)), "node long, line string")).collect()
+    bits = {r.node: [r[f"bits_{k}"] for k in range(lines.WORDS)] for r in signed}
+    apart = lambda a, b: sum(bin((x ^ y) & ((1 << 64) - 1)).count("1") for x, y in zip(bits[a], bits[b]))
+    sets = [shingles(t) for t in texts]
+    for a in range(4):
+        for b in range(a):
+            assert apart(a, b) <= len(sets[a] ^ sets[b])
+    assert apart(3, 0) < 20 and apart(1, 0) > (len(sets[0]) + len(sets[1])) / 9
