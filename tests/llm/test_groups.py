@@ -214,3 +214,39 @@ def test_line_dedup_deletes_what_is_not_read_any_more(spark):
         for b in range(a):
             assert apart(a, b) <= len(sets[a] ^ sets[b])
     assert apart(3, 0) < 20 and apart(1, 0) > (len(sets[0]) + len(sets[1])) / 9
+
+
+def test_union_find_joins_a_long_chain_and_leaves_one_table(spark):
+    """The smallest node of a chain is the root of all of it; only the roots are left of the rounds' tables."""
+    shared = Path(shared_folder(spark))
+    shared.mkdir(parents=True, exist_ok=True)
+    before = set(shared.glob("*"))
+    order = list(range(40))
+    random.Random(2).shuffle(order)
+    links = [*zip(order, order[1:]), (100, 101), (7, 7)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{node: 0 for node in range(40)}, 100: 100, 101: 100}
+    assert [p.name.split("-")[0] for p in set(shared.glob("*")) - before] == ["found"]
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_sketches_tell_long_lines_apart(spark):
+    """Pairs of long unlike lines are dropped by their sketches, near copies never."""
+    rng = random.Random(5)
+    long = ["".join(rng.choice("abcdefgh ") for _ in range(1800)) for _ in range(4)]
+    near = [t[:300] + "#" + t[301:] for t in long]
+    signed = lines._signed(spark.createDataFrame(list(enumerate(long + near)), "node long, line string"))
+    a, b = (signed.drop("line").toDF(*[f"{c}_{x}" for c in signed.drop("line").columns]) for x in "ab")
+    able = a.join(b, lines._able(lines.SIMILAR)).where("node_a < node_b").select("node_a", "node_b").collect()
+    assert sorted(map(tuple, able)) == [(k, k + 4) for k in range(4)]
+
+
+def test_lines_are_found_in_passes(spark, monkeypatch):
+    """Each line stays in the first document that has it or a near copy, in however many passes the tables are written."""
+    monkeypatch.setattr(lines, "PASS_ROWS", 10)
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(90)).strip() for _ in range(30)]
+    chosen = [[rng.randrange(30) for _ in range(3)] for _ in range(40)]
+    docs = frame(spark, [(k, "\n".join(base[x] + rng.choice(["", "x"]) for x in xs)) for k, xs in enumerate(chosen)])
+    firsts = [len(set(xs) - {x for other in chosen[:k] for x in other}) for k, xs in enumerate(chosen)]
+    assert {r.doc_id: 3 - r.n_removed for r in lines.without_repeated_lines(docs).collect()} == dict(enumerate(firsts))
