@@ -327,3 +327,24 @@ def test_buckets_are_written_in_passes(spark, folder, monkeypatch):
     expected = [(str(i), "old" if i < 20 else "new") for i in range(60)] + [(None, "none")]
     assert sorted(rows(layers.read("bronze", "t"), "k", "v"), key=str) == sorted(expected, key=str)
     assert (told.inserted, told.updated, len(ended)) == (20, 20, buckets.PASSES)
+
+
+def test_old_and_new_rows_lie_side_by_side_for_one_share_only(spark, folder, monkeypatch):
+    """Where replaced versions are not kept, a pass deletes what it replaced before the next one writes."""
+    layers, kinds = Layers(spark, folder + "/wh", keep_old=False), "k string, v string"
+    layers.replace("bronze", "t", spark.createDataFrame([], kinds), at(1))
+    for turn, first in (("old", 0), ("new", 20)):
+        new = spark.createDataFrame([(str(i), turn) for i in range(first, first + 60)], kinds)
+        seen, publish = [], layers.publish
+
+        def counted(*args):
+            seen.append(len(list(Path(folder, "wh/bronze/t").glob("v-*/of-*/bucket=*"))))
+            return publish(*args)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(layers, "publish", counted)
+            told = buckets.upsert_buckets(layers, "bronze", "t", new, ["k"], rows_per_bucket=8, at=at(2))
+            layers.publish({("bronze", "t"): told.paths}, at(2))
+    assert (told.inserted, told.updated) == (20, 40)
+    assert sorted(rows(layers.read("bronze", "t"), "k", "v")) == sorted((str(i), "old" if i < 20 else "new") for i in range(80))
+    assert len(seen) == buckets.PASSES and max(seen) <= 8 + 2
