@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from conftest import at, rows
@@ -335,3 +336,13 @@ def test_a_column_may_serve_the_order_only(spark):
     assert numbered.columns == ["key", "v"]
     assert rows(numbered) == [(1, 2), (2, 1), (3, 0)]
     assert "k" not in keys.in_slices(df, ["k"], unwritten=["k"]).columns
+
+
+def test_a_lookup_is_not_broadcast_by_the_size_of_its_files(spark, folder):
+    """Rows that take a few bytes each in a file take many times as much in memory."""
+    spark.range(400_000).selectExpr("xxhash64(id) as k", "id % 3 as v").write.parquet(folder + "/lookup")
+    lookup = spark.read.parquet(folder + "/lookup")
+    files = sum(p.stat().st_size for p in Path(folder, "lookup").glob("*.parquet"))
+    assert files < 10 << 20
+    joined = joins.enriched(spark.range(1000), lookup, {"id": "k"}, {"v": "v"})
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
