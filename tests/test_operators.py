@@ -346,3 +346,13 @@ def test_a_lookup_is_not_broadcast_by_the_size_of_its_files(spark, folder):
     assert files < 10 << 20
     joined = joins.enriched(spark.range(1000), lookup, {"id": "k"}, {"v": "v"})
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_the_test_of_a_rule_is_made_once_for_a_row(spark):
+    df = spark.createDataFrame([("x1",), ("y",), (None,), ("x0",)], "a string")
+    rules = [quality.Rule("starts_with_x", lambda: F.col("a").rlike("^x[0-9]")), quality.not_null("a")]
+    found = quality.summarized("m", df, rules)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+    assert rows(found.select("test_name", "test_status", "failed_row_count", "details")) == [
+        ("not_null_a", "Fail", 1, ""), ("starts_with_x", "Fail", 2, "a=x0")
+    ]

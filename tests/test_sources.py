@@ -1,7 +1,9 @@
 """Scans, exports, versioned layers and schema operations."""
 
 import datetime as dt
+import gzip
 import hashlib
+import zlib
 from pathlib import Path
 
 import pytest
@@ -89,6 +91,15 @@ def test_export_keeps_blanks_and_uses_crlf(spark, folder):
     assert rows(back, "x", "y") == [(" a ", ""), ("b,c", "")]
 
 
+def test_gzipped_export_takes_the_fastest_level(spark, folder):
+    words = [(" ".join(hashlib.md5(str(k * j).encode()).hexdigest()[:3] for j in range(12)),) for k in range(4000)]
+    files.export_csv(spark.createDataFrame(words, "x string").coalesce(1), folder + "/out", "gzip")
+    packed = next(Path(folder, "out").glob("*.csv.gz")).read_bytes()
+    plain = gzip.decompress(packed)
+    assert len(packed) > (len(zlib.compress(plain, 6)) + len(zlib.compress(plain, 1))) / 2
+    assert sorted(plain.decode().split("\r\n")) == sorted(["x", "", *(w for w, in words)])
+
+
 def test_file_facts(spark, folder):
     put(folder, "a.csv", "12345")
     put(folder, "b.csv", "n\n")
