@@ -12,7 +12,7 @@ from helpers import corpus, frame, union_find, words
 from pyspark.sql import functions as F
 
 from terrace.llm import lines, neardup
-from terrace.llm.components import _ranked, components
+from terrace.llm.components import _ranked, classes, components
 from terrace.session import shared_folder
 
 
@@ -250,3 +250,21 @@ def test_lines_are_found_in_passes(spark, monkeypatch):
     docs = frame(spark, [(k, "\n".join(base[x] + rng.choice(["", "x"]) for x in xs)) for k, xs in enumerate(chosen)])
     firsts = [len(set(xs) - {x for other in chosen[:k] for x in other}) for k, xs in enumerate(chosen)]
     assert {r.doc_id: 3 - r.n_removed for r in lines.without_repeated_lines(docs).collect()} == dict(enumerate(firsts))
+
+
+def test_copies_in_a_large_bucket_of_lines_are_not_paired_with_each_other(spark):
+    """The first star, around a line unlike all others, links none; the pairs compared stay in proportion to the copies."""
+    copies, asked = 400, []
+
+    def similar(pairs):
+        asked.append(pairs.count())
+        return pairs.where("a > 0")
+
+    def weighed(nodes):
+        shingle = F.when(F.col("node") == 0, F.lit("alone")).otherwise(F.lit("common"))
+        return nodes.select("node", shingle.alias("shingle"), F.lit(1.0).alias("weight"))
+
+    members = spark.range(copies + 1).select(F.lit(7).cast("long").alias("bucket"), F.col("id").alias("node"))
+    roots, _ = classes(members, similar, weighed, lines.SIMILAR, lines.SMALL)
+    assert {r.root for r in roots.where("node > 0").collect()} == {1} and roots.where("node > 0").count() == copies
+    assert sum(asked) <= 3 * copies, asked
